@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_WHOLE_NUMBERS = {"tinyint", "smallint", "int", "bigint"}
+
+
 def lenient_cast(column: Column, data_type: T.DataType | str) -> Column:
     """``try_cast``; integers may also be written in scientific notation (1.54E+12)."""
-    kind = T._parse_datatype_string(data_type) if isinstance(data_type, str) else data_type
-    if isinstance(kind, T.ArrayType | T.StructType | T.MapType):
-        return column.cast(kind)
-    plain = column.try_cast(kind)
-    if isinstance(kind, T.ByteType | T.ShortType | T.IntegerType | T.LongType):
-        return F.coalesce(plain, column.try_cast("string").try_cast("double").try_cast(kind))
+    if isinstance(data_type, T.ArrayType | T.StructType | T.MapType):
+        return column.cast(data_type)
+    plain = column.try_cast(data_type)
+    name = data_type if isinstance(data_type, str) else data_type.simpleString()
+    if name in _WHOLE_NUMBERS:
+        return F.coalesce(plain, column.try_cast("string").try_cast("double").try_cast(data_type))
     return plain
 
 

@@ -13,23 +13,48 @@ from pyspark.sql import types as T
 from starloom.functions.casts import lenient_cast
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING, INT, LONG, TINY = T.StringType(), T.IntegerType(), T.LongType(), T.ByteType()
+DOUBLE, TIMESTAMP, STRINGS = T.DoubleType(), T.TimestampType(), T.ArrayType(T.StringType())
+
+
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # ---- fixed values: input layouts -------------------------------------------------
 
 STAGING_EVENTS = _schema(
-    "artist string, auth string, firstName string, gender string, itemInSession int, "
-    "lastName string, length double, level string, location string, method string, "
-    "page string, registration double, sessionId int, song string, status int, "
-    "ts bigint, userAgent string, userId int"
+    artist=STRING,
+    auth=STRING,
+    firstName=STRING,
+    gender=STRING,
+    itemInSession=INT,
+    lastName=STRING,
+    length=DOUBLE,
+    level=STRING,
+    location=STRING,
+    method=STRING,
+    page=STRING,
+    registration=DOUBLE,
+    sessionId=INT,
+    song=STRING,
+    status=INT,
+    ts=LONG,
+    userAgent=STRING,
+    userId=INT,
 )
 
 STAGING_SONGS = _schema(
-    "num_songs int, artist_id string, artist_latitude double, artist_longitude double, "
-    "artist_location string, artist_name string, song_id string, title string, "
-    "duration double, year int"
+    num_songs=INT,
+    artist_id=STRING,
+    artist_latitude=DOUBLE,
+    artist_longitude=DOUBLE,
+    artist_location=STRING,
+    artist_name=STRING,
+    song_id=STRING,
+    title=STRING,
+    duration=DOUBLE,
+    year=INT,
 )
 
 APP_LOG_CSV_COLUMNS = [
@@ -49,52 +74,109 @@ MUSIC_MODEL = {
     "staging_events": STAGING_EVENTS,
     "staging_songs": STAGING_SONGS,
     "songplays": _schema(
-        "songplay_id string, start_time timestamp, user_id int, level string, "
-        "song_id string, artist_id string, session_id int, location string, "
-        "user_agent string"
+        songplay_id=STRING,
+        start_time=TIMESTAMP,
+        user_id=INT,
+        level=STRING,
+        song_id=STRING,
+        artist_id=STRING,
+        session_id=INT,
+        location=STRING,
+        user_agent=STRING,
     ),
     "users": _schema(
-        "user_id int, first_name string, last_name string, gender string, level string"
+        user_id=INT,
+        first_name=STRING,
+        last_name=STRING,
+        gender=STRING,
+        level=STRING,
     ),
     "songs": _schema(
-        "song_id string, title string, artist_id string, year int, duration decimal(15,5)"
+        song_id=STRING,
+        title=STRING,
+        artist_id=STRING,
+        year=INT,
+        duration=T.DecimalType(15, 5),
     ),
     "artists": _schema(
-        "artist_id string, name string, location string, latitude decimal(12,6), "
-        "longitude decimal(12,6)"
+        artist_id=STRING,
+        name=STRING,
+        location=STRING,
+        latitude=T.DecimalType(12, 6),
+        longitude=T.DecimalType(12, 6),
     ),
     "time": _schema(
-        "start_time timestamp, hour int, day int, week int, month int, year int, weekday int"
+        start_time=TIMESTAMP,
+        hour=INT,
+        day=INT,
+        week=INT,
+        month=INT,
+        year=INT,
+        weekday=INT,
     ),
 }
 
 CITY_MODEL = {
     "trip_fact": _schema(
-        "vendor_key int, pickup_location_key int, drop_off_location_key int, date_key int, "
-        "passenger_count int, total_payment_amount decimal(18,2), trip_count int"
+        vendor_key=INT,
+        pickup_location_key=INT,
+        drop_off_location_key=INT,
+        date_key=INT,
+        passenger_count=INT,
+        total_payment_amount=T.DecimalType(18, 2),
+        trip_count=INT,
     ),
     "date_dim": _schema(
-        "date_key int, day tinyint, week tinyint, month tinyint, quarter tinyint, year int"
+        date_key=INT,
+        day=TINY,
+        week=TINY,
+        month=TINY,
+        quarter=TINY,
+        year=INT,
+    ),
+    "vendor_dim": _schema(
+        vendor_key=TINY,
+        name=STRING,
+    ),
+    "location_dim": _schema(
+        location_key=INT,
+        zone=STRING,
+        borough=STRING,
     ),
-    "vendor_dim": _schema("vendor_key tinyint, name string"),
-    "location_dim": _schema("location_key int, zone string, borough string"),
     "crash_dim": _schema(
-        "date_key int, location_key int, crash_count bigint, person_injury_count bigint, "
-        "person_kill_count bigint, contributing_factor_list array<string>, "
-        "impacted_participant_list array<string>, vehicle_type_list array<string>"
+        date_key=INT,
+        location_key=INT,
+        crash_count=LONG,
+        person_injury_count=LONG,
+        person_kill_count=LONG,
+        contributing_factor_list=STRINGS,
+        impacted_participant_list=STRINGS,
+        vehicle_type_list=STRINGS,
     ),
 }
 
 LOOKUP_MODEL = {
     "session_music": _schema(
-        "sessionId int, itemInSession int, artist string, song string, length double"
+        sessionId=INT,
+        itemInSession=INT,
+        artist=STRING,
+        song=STRING,
+        length=DOUBLE,
     ),
     "song_per_session": _schema(
-        "userId int, sessionId int, itemInSession int, artist string, song string, "
-        "firstName string, lastName string"
+        userId=INT,
+        sessionId=INT,
+        itemInSession=INT,
+        artist=STRING,
+        song=STRING,
+        firstName=STRING,
+        lastName=STRING,
     ),
     "song_listen_history": _schema(
-        "song string, userId int, firstName string, lastName string"
+        song=STRING,
+        userId=INT,
+        firstName=STRING,
+        lastName=STRING,
     ),
 }
 

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
-_FEATURES = T.StructType.fromDDL(
+_FEATURES = (
     "features array<struct<"
     "geometry:struct<type:string,coordinates:string>,"
     "properties:map<string,string>>>"
