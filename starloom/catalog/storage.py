@@ -1,3 +1,312 @@
-from starloom.catalog.base import Registry
+"""Sources and sinks: write the tables out, read them back, compare with the original.
+
+Every run writes to new folders on the shared storage named by ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.catalog import inputs
+from starloom.catalog.base import Registry, table
+from starloom.operators.sinks import (
+    append_table,
+    insert_new_rows,
+    load_dimension,
+    load_fact,
+    materialize,
+    overwrite_table,
+    upsert_table,
+    write_csv_quoted,
+    write_parquet,
+)
+from starloom.operators.spatial import locate_points
+from starloom.plans import city, music
+from starloom.plans.model import create_model
+from starloom.schemas import LOOKUP_MODEL, PLAY_LOG_COLUMNS, STAGING_EVENTS
+from starloom.session import work_path
+from starloom.sources.files import merge_csv, read_csv_strings, read_json, read_parquet, read_table
+from starloom.sources.geo import read_zone_polygons
+from starloom.sources.staging import stage_json, stage_json_text
+from starloom.streaming.incremental import stage_incremental
 
 QUERIES = Registry()
+
+_LOG_COLUMNS = [
+    "artist", "firstName", "gender", "itemInSession", "lastName", "length", "level",
+    "location", "page", "sessionId", "song", "ts", "userAgent", "userId",
+]
+_LOG_SQL = ", ".join(
+    f'CAST("{c}" AS BIGINT) AS "{c}"' if c in ("itemInSession", "sessionId", "userId", "ts") else f'"{c}"'
+    for c in _LOG_COLUMNS
+)
+_PLAYS_SQL = f"WITH {inputs.EVENTS_SQL} SELECT {_LOG_SQL} FROM log WHERE artist <> ''"
+
+
+def _temporary_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
+    """A new external table on the shared storage under a fixed name."""
+    return create_model(
+        spark, {name: schema}, recreate=True, location=work_path(spark, name)
+    )[0]
+
+
+# ---- JSON ------------------------------------------------------------------------
+
+_PROPS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.IntegerType())])
+
+
+@QUERIES.add("""
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def json_path_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns picked from nested JSON text by path."""
+    text = table(spark, sf_dir, "events").select(
+        F.concat(
+            F.lit('{"id": '), F.col("event_id"), F.lit(', "detail": '), F.col("props"), F.lit("}")
+        ).alias("line")
+    )
+    return stage_json_text(text, "line", _PROPS, {"event_id": "$['id']", "k": "$.detail.k"})
+
+
+@QUERIES.add(f"WITH {inputs.EVENTS_SQL} SELECT {_LOG_SQL} FROM log")
+def json_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log written as JSON lines into nested folders and read with its schema."""
+    path = work_path(spark, "json_log")
+    log = inputs.events(spark, sf_dir)
+    log.withColumns({"p": F.col("level"), "q": F.col("gender")}).write.partitionBy("p", "q").json(path)
+    return read_json(spark, f"{path}/*/*/*.json", STAGING_EVENTS).select(*_LOG_COLUMNS)
+
+
+@QUERIES.add(f"WITH {inputs.EVENTS_SQL} SELECT {_LOG_SQL} FROM log")
+def json_auto_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON fields matched to the staging columns by name in any letter case."""
+    path = work_path(spark, "json_stage")
+    log = inputs.events(spark, sf_dir)
+    log.select(*[F.col(c).alias(c.upper()) for c in log.columns]).write.json(path)
+    return stage_json(spark, path, STAGING_EVENTS).select(*_LOG_COLUMNS)
+
+
+@QUERIES.add(f"WITH {inputs.EVENTS_SQL} SELECT {_LOG_SQL} FROM log")
+def stage_incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files staged by a stream that runs three times: each file is loaded once."""
+    source, target = work_path(spark, "incoming"), work_path(spark, "staged")
+    checkpoint = work_path(spark, "stage_checkpoint")
+    log = inputs.events(spark, sf_dir)
+    log.where(F.col("level") == "paid").write.json(source)
+    stage_incremental(spark, source, STAGING_EVENTS, target, checkpoint)
+    log.where(F.col("level") == "free").write.mode("append").json(source)
+    stage_incremental(spark, source, STAGING_EVENTS, target, checkpoint)
+    stage_incremental(spark, source, STAGING_EVENTS, target, checkpoint)
+    return read_parquet(spark, target).select(*_LOG_COLUMNS)
+
+
+# ---- CSV -------------------------------------------------------------------------
+
+
+@QUERIES.add("""
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, nullif(o_orderstatus, 'P') AS o_orderstatus
+FROM orders
+""")
+def csv_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of quoted CSV files, each with its header, read as one typed dataset."""
+    path = work_path(spark, "csv")
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    )
+    write_csv_quoted(orders.repartition(4, "o_orderkey"), path)
+    schema = T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType()),
+            T.StructField("o_custkey", T.LongType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_totalprice", T.DoubleType()),
+            T.StructField("o_orderdate", T.TimestampType()),
+            T.StructField("o_orderpriority", T.StringType()),
+        ]
+    )
+    return merge_csv(spark, path, schema)
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_SQL}
+SELECT {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in PLAY_LOG_COLUMNS if c != "length")}
+FROM log WHERE artist <> ''
+""")
+def csv_play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play rows written as the quoted play log and read back as text."""
+    path = work_path(spark, "play_log")
+    write_csv_quoted(music.play_rows(inputs.events(spark, sf_dir)), path, PLAY_LOG_COLUMNS)
+    return read_csv_strings(spark, path).drop("length")
+
+
+@QUERIES.add(f"WITH {inputs.TRIPS_SQL} SELECT * FROM trip_fact")
+def csv_trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips as CSV text, read through a file-name pattern and rolled up."""
+    path = work_path(spark, "trips")
+    inputs.raw_trips(spark, sf_dir).write.option("header", "true").csv(path)
+    return city.trip_fact(city.clean_trips(read_csv_strings(spark, f"{path}/part-*.csv")))
+
+
+# ---- GeoJSON ---------------------------------------------------------------------
+
+
+@QUERIES.add(f"""
+WITH {inputs.AREAS_SQL}
+SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS zone, r_name AS borough, count(*) AS events
+FROM points
+LEFT JOIN nation ON x > n_nationkey % 5 * 20 AND x < n_nationkey % 5 * 20 + 20
+                AND y > n_nationkey // 5 * 20 AND y < n_nationkey // 5 * 20 + 20
+LEFT JOIN region ON n_regionkey = r_regionkey
+GROUP BY ALL
+""")
+def geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per zone, the zones read from a GeoJSON FeatureCollection."""
+    path = work_path(spark, "geojson")
+    corner = lambda e: F.array(e["x1"], e["y1"])
+    ring = F.transform("edges", corner)
+    closed = F.concat(ring, F.slice(ring, 1, 1))
+    many = F.col("ord") % 2 == 1
+    feature = F.struct(
+        F.col("ord"),
+        F.concat(
+            F.lit('{"type":"Feature","geometry":{"type":"'),
+            F.when(many, "MultiPolygon").otherwise("Polygon"),
+            F.lit('","coordinates":'),
+            F.when(many, F.to_json(F.array(F.array(closed)))).otherwise(F.to_json(F.array(closed))),
+            F.lit('},"properties":'),
+            F.to_json(
+                F.struct(F.col("location_id").cast("string").alias("location_id"), "zone", "borough")
+            ),
+            F.lit("}"),
+        ).alias("text"),
+    )
+    document = inputs.zone_polygons(spark, sf_dir).agg(
+        F.concat(
+            F.lit('{"type":"FeatureCollection","features":['),
+            F.array_join(F.transform(F.sort_array(F.collect_list(feature)), lambda f: f["text"]), ","),
+            F.lit("]}"),
+        ).alias("value")
+    )
+    document.write.text(path)
+    zones = read_zone_polygons(spark, path)
+    return (
+        locate_points(inputs.event_points(spark, sf_dir), zones, "x", "y", alias="z")
+        .groupBy("z.location_id", "z.zone", "z.borough")
+        .agg(F.count(F.lit(1)).alias("events"))
+    )
+
+
+# ---- Parquet and tables ------------------------------------------------------------
+
+
+@QUERIES.add("""
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_returnflag, l_linestatus FROM lineitem
+WHERE l_returnflag = 'R'
+""")
+def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in folders per flag and status; the filter reads only one flag's folders."""
+    path = work_path(spark, "partitioned")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    )
+    write_parquet(rows, path, ["l_returnflag", "l_linestatus"], sort_within=["l_orderkey"])
+    return read_parquet(spark, path).where(F.col("l_returnflag") == "R")
+
+
+@QUERIES.add("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE 'old' END AS version, o_orderstatus
+FROM orders
+""")
+def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh of one partition leaves the other folders as they are."""
+    path = work_path(spark, "dynamic")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    write_parquet(orders.withColumn("version", F.lit("old")), path, ["o_orderstatus"])
+    changed = orders.where(F.col("o_orderstatus") == "F").withColumn("version", F.lit("new"))
+    write_parquet(changed, path, ["o_orderstatus"], dynamic=True)
+    return read_parquet(spark, path)
+
+
+@QUERIES.add("SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY ALL")
+def materialize_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second call finds the stored table and ignores its own input."""
+    spark.sql("DROP TABLE IF EXISTS materialized_orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = work_path(spark, "materialized")
+    materialize(orders, "materialized_orders", path=path)
+    stored = materialize(orders.where("false"), "materialized_orders", reuse=True, path=path)
+    return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+_ACCOUNTS = T.StructType(
+    [
+        T.StructField("account", T.IntegerType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("balance", T.DecimalType(18, 2)),
+    ]
+)
+
+
+def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, columns in another order and of other types than the table's."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_acctbal").alias("BALANCE"),
+        F.col("c_name").alias("name"),
+        F.col("c_custkey").cast("string").alias("account"),
+    )
+
+
+@QUERIES.add("""
+SELECT c_custkey AS account, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE) AS balance,
+       2 AS copies
+FROM customer
+""")
+def table_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite, append, truncate and insert on one table: two copies remain."""
+    name = _temporary_table(spark, "accounts", _ACCOUNTS)
+    rows = _accounts(spark, sf_dir)
+    append_table(rows, name)
+    overwrite_table(rows, name)
+    load_fact(rows, name)
+    load_dimension(rows, name, "truncate")
+    load_dimension(rows, name, "insert")
+    return (
+        read_table(spark, name)
+        .groupBy("account", "name", "balance")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+
+
+@QUERIES.add("""
+SELECT c_custkey AS account, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE) AS balance
+FROM customer
+""")
+def insert_new_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the AUTOMOBILE segment first, then all twice: nothing is doubled."""
+    name = _temporary_table(spark, "new_accounts", _ACCOUNTS)
+    rows = _accounts(spark, sf_dir)
+    segment = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "AUTOMOBILE")
+    first = rows.join(segment.select(F.col("c_custkey").cast("string").alias("account")), "account")
+    insert_new_rows(first, name, ["account"])
+    insert_new_rows(rows, name, ["account"], null_aware=True)
+    insert_new_rows(rows, name, ["account"])
+    return read_table(spark, name)
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_SQL}
+SELECT song, "userId", "firstName", "lastName" FROM log WHERE artist <> ''
+QUALIFY 1 = row_number() OVER (PARTITION BY song, "userId" ORDER BY ts DESC, "firstName" DESC, "lastName" DESC)
+""")
+def upsert_listen_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listen history filled by two upserts of overlapping rows."""
+    name = _temporary_table(spark, "song_listen_history", LOOKUP_MODEL["song_listen_history"])
+    played = music.play_rows(inputs.events(spark, sf_dir)).select(
+        "song", "userId", "firstName", "lastName", "ts", "level"
+    )
+    upsert_table(played.where(F.col("level") == "free").drop("level"), name, ["song", "userId"], ["ts"])
+    upsert_table(played.drop("level"), name, ["song", "userId"], ["ts"])
+    return read_table(spark, name)

@@ -47,11 +47,11 @@ def collect_distinct_elements(
     ``arrays`` maps output name → input array column, ``measures`` maps output name → a
     numeric expression that is summed (use ``F.lit(1)`` for a row count).
 
-    Works in two steps so that a group with a very large share of the rows stays cheap.
-    The rows are first reduced to distinct (keys, array, element), which combines on the
-    map side and spreads one group's elements over many tasks; only the elements that
-    end up in the result are then gathered. The measures ride on one extra row per input
-    row, so there is one scan and they are never multiplied.
+    The elements are exploded before they are gathered, so each task first reduces its
+    own rows to one set of distinct elements per group. What is shuffled and held for a
+    group is thereby bounded by the vocabulary that ends up in its result, whatever share
+    of the rows the group has; sets of whole arrays would grow with their combinations.
+    The measures ride on one extra row per input row: one scan, and never multiplied.
     """
     measures = dict(measures or {})
     names = list(arrays)
@@ -64,16 +64,12 @@ def collect_distinct_elements(
         *[expression.alias(f"_m_{name}") for name, expression in measures.items()],
         F.explode(F.concat(carrier, *tagged)).alias("_item"),
     )
-    distinct_items = items.groupBy(
-        *keys, F.col("_item.kind").alias("_kind"), F.col("_item.value").alias("_value")
-    ).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.when(is_carrier, F.col(f"_m_{name}"))).alias(f"_m_{name}") for name in measures],
-    )
-    return distinct_items.groupBy(*keys).agg(
-        *[F.sum(f"_m_{name}").alias(name) for name in measures],
+    return items.groupBy(*keys).agg(
+        *[F.sum(F.when(is_carrier, F.col(f"_m_{name}"))).alias(name) for name in measures],
         *[
-            F.sort_array(F.collect_list(F.when(F.col("_kind") == i, F.col("_value")))).alias(name)
+            F.sort_array(
+                F.collect_set(F.when(F.col("_item.kind") == i, F.col("_item.value")))
+            ).alias(name)
             for i, name in enumerate(names)
         ],
     )
