@@ -28,14 +28,6 @@ def count_elements(
     )
 
 
-def _tag_elements(column: str, kind: int) -> Column:
-    present = F.coalesce(F.col(column), F.array().cast("array<string>"))
-    return F.transform(
-        F.array_distinct(F.array_compact(present)),
-        lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")),
-    )
-
-
 def collect_distinct_elements(
     df: DataFrame,
     keys: Sequence[str],
@@ -51,25 +43,23 @@ def collect_distinct_elements(
     own rows to one set of distinct elements per group. What is shuffled and held for a
     group is thereby bounded by the vocabulary that ends up in its result, whatever share
     of the rows the group has; sets of whole arrays would grow with their combinations.
-    The measures ride on one extra row per input row: one scan, and never multiplied.
+    One scan and one shuffle serve all arrays and measures: the arrays of a row are
+    exploded side by side, and only the first element row carries the row's measures.
     """
     measures = dict(measures or {})
-    names = list(arrays)
-    tagged = [_tag_elements(column, i) for i, column in enumerate(arrays.values())]
-    carrier = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(None).cast("string").alias("value")))
-    is_carrier = F.col("_item.kind") == -1
-
+    side_by_side = F.arrays_zip(
+        *[
+            F.coalesce(F.col(column), F.array().cast("array<string>")).alias(name)
+            for name, column in arrays.items()
+        ]
+    )
     items = df.select(
         *keys,
         *[expression.alias(f"_m_{name}") for name, expression in measures.items()],
-        F.explode(F.concat(carrier, *tagged)).alias("_item"),
+        F.posexplode_outer(side_by_side).alias("_place", "_element"),
     )
+    first_of_row = F.coalesce(F.col("_place"), F.lit(0)) == 0
     return items.groupBy(*keys).agg(
-        *[F.sum(F.when(is_carrier, F.col(f"_m_{name}"))).alias(name) for name in measures],
-        *[
-            F.sort_array(
-                F.collect_set(F.when(F.col("_item.kind") == i, F.col("_item.value")))
-            ).alias(name)
-            for i, name in enumerate(names)
-        ],
+        *[F.sum(F.when(first_of_row, F.col(f"_m_{name}"))).alias(name) for name in measures],
+        *[F.sort_array(F.collect_set(F.col("_element")[name])).alias(name) for name in arrays],
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import skew_join
@@ -116,10 +116,8 @@ def grid_candidates(
         "_cx", "_cy", "_ord", "_zone", "_inside", F.when(F.col("_boundary"), F.col("_band")).alias("_edges")
     )
     # a polygon that fills the cell hides all later ones there
-    covered = (
-        kept.where("_inside").groupBy("_cx", "_cy").agg(F.min("_ord").alias("_cover"))
-    )
-    visible = kept.join(covered, ["_cx", "_cy"], "left").where(
+    cover = F.min(F.when(F.col("_inside"), F.col("_ord"))).over(Window.partitionBy("_cx", "_cy"))
+    visible = kept.withColumn("_cover", cover).where(
         F.col("_cover").isNull() | (F.col("_ord") <= F.col("_cover"))
     )
     return visible.groupBy("_cx", "_cy").agg(
