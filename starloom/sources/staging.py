@@ -116,7 +116,7 @@ def stage_json_text(
 
 def read_json_paths(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, str]:
     """Mapping file ``{"jsonpaths": ["$['a']", ...]}``: n-th path fills n-th column."""
-    document = spark.read.option("wholetext", "true").text(path).first()[0]
+    document = spark.read.text(path, wholetext=True).first()[0]
     entries = json.loads(document)["jsonpaths"]
     if len(entries) != len(schema):
         raise ValueError(f"{len(entries)} paths for {len(schema)} columns")
