@@ -18,7 +18,7 @@ from starloom.operators.sinks import (
 from starloom.plans import city, music
 from starloom.plans.model import create_model
 from starloom.schemas import STAGING_EVENTS, STAGING_SONGS
-from starloom.sources.files import read_csv_strings, read_json
+from starloom.sources.files import read_csv_strings
 from starloom.sources.geo import read_zone_polygons
 from starloom.sources.staging import stage_json
 
@@ -86,14 +86,14 @@ def run_lake_pipeline(spark: SparkSession, log_path: str, song_path: str, output
     unpartitioned. The plays are stored once in columnar form and read from there by the
     three jobs that need them.
     """
-    songs = read_json(spark, song_path, STAGING_SONGS, recursive=True)
+    songs = stage_json(spark, song_path, STAGING_SONGS, recursive=True)
     write_parquet(
         music.songs_dim(songs, "one_per_key"), f"{output}/songs_table", ["year", "artist_id"]
     )
     write_parquet(music.artists_dim(songs, "one_per_key"), f"{output}/artists_table")
 
     write_parquet(
-        music.plays(read_json(spark, log_path, STAGING_EVENTS)), f"{output}/plays_staged"
+        music.plays(stage_json(spark, log_path, STAGING_EVENTS)), f"{output}/plays_staged"
     )
     played = spark.read.parquet(f"{output}/plays_staged")
     write_parquet(music.users_dim(played, "per_level"), f"{output}/users_table")

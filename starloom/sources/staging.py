@@ -86,6 +86,7 @@ def stage_json(
     path: str,
     schema: T.StructType,
     paths: Mapping[str, str] | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Stage JSON lines into ``schema``.
 
@@ -93,7 +94,7 @@ def stage_json(
     name in any letter case. Values that do not fit the column type become NULL, and
     epoch milliseconds are accepted for timestamp columns.
     """
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    lines = spark.read.text(path, recursiveFileLookup=recursive).where(F.length(F.trim("value")) > 0)
     return stage_json_text(lines, "value", schema, paths)
 
 
