@@ -41,7 +41,7 @@ def skew_join(
     if how.lower() not in _SPLITTABLE:
         raise ValueError(f"skew_join cannot split the left side of a {how} join")
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg((F.count(F.lit(1)) * hot_share).alias("_t")).scalar()
+    total = counts.agg((F.sum("_n") * hot_share).alias("_t")).scalar()
     hot = (
         counts.where(F.col("_n") > total)
         .dropna(subset=on)

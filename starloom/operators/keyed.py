@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,12 +65,15 @@ def upsert(
 ) -> DataFrame:
     """``target`` with rows of equal key replaced by the last incoming one.
 
-    Incoming rows beat target rows; among incoming rows ``order_by`` is write order.
+    ``target`` holds one row per key; among incoming rows ``order_by`` is write order.
+    The incoming rows are reduced to one per key and the target loses the keys they
+    bring, so a small batch is broadcast and a large target is neither sorted nor
+    shuffled. NULL keys count as equal.
     """
-    merged = target.withColumn("_incoming", F.lit(0)).unionByName(
-        incoming.select(*target.columns).withColumn("_incoming", F.lit(1))
-        if not order_by
-        else incoming.withColumn("_incoming", F.lit(1)),
-        allowMissingColumns=bool(order_by),
+    columns = target.columns
+    latest = keyed_table(incoming, keys, [*order_by, *columns], columns)
+    replaced = latest.select(*[F.col(f"`{k}`").alias(f"_new_{k}") for k in keys])
+    same_key = reduce(
+        Column.__and__, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_new_{k}`")) for k in keys]
     )
-    return keyed_table(merged, keys, ["_incoming", *order_by], columns=target.columns)
+    return target.join(replaced, same_key, "left_anti").unionByName(latest)

@@ -52,33 +52,47 @@ def _struct(tree: dict) -> T.StructType:
     )
 
 
-def project_json(text: Column, schema: T.StructType, paths: Mapping[str, str]) -> list[Column]:
-    """Typed columns picked from a JSON text column.
-
-    Plain object paths share a single parse of the text; a path with array steps is
-    extracted on its own. Columns without a path are NULL.
-    """
+def _by_path(
+    df: DataFrame, column: str, schema: T.StructType, paths: Mapping[str, str]
+) -> DataFrame:
+    """Plain object paths share one parse of the text; a path with array steps is taken alone."""
     plain = {c: s for c, p in paths.items() if (s := _steps(p)) is not None}
-    ordered = list(plain.values())
     # a path that is also a prefix of another must keep its raw text
-    prefixes = {
-        c for c, s in plain.items() if any(o != s and o[: len(s)] == s for o in ordered)
+    shared = {
+        c: s
+        for c, s in plain.items()
+        if not any(o != s and o[: len(s)] == s for o in plain.values())
     }
-    shared = {c: s for c, s in plain.items() if c not in prefixes}
-    parsed = F.from_json(text, _struct(_tree(list(shared.values())))) if shared else None
+    text = F.col(f"`{column}`")
+    parsed = df.select(
+        text.alias("_text"),
+        *([F.from_json(text, _struct(_tree(list(shared.values())))).alias("_parsed")] if shared else []),
+    )
 
-    columns = []
-    for field in schema:
+    def raw(field: T.StructField) -> Column:
         if field.name in shared:
-            raw = parsed
+            value = F.col("_parsed")
             for step in shared[field.name]:
-                raw = raw.getField(step)
-        elif field.name in paths:
-            raw = F.get_json_object(text, paths[field.name])
-        else:
-            raw = F.lit(None).cast("string")
-        columns.append(_typed(raw, field))
-    return columns
+                value = value.getField(step)
+            return value
+        if field.name in paths:
+            return F.get_json_object("_text", paths[field.name])
+        return F.lit(None).cast("string")
+
+    return parsed.select(*[_typed(raw(f), f) for f in schema])
+
+
+def _by_name(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+    """Top-level fields by lower-cased name; of repeated names the first counts."""
+    fields = df.select(F.from_json(F.col(f"`{column}`"), "map<string,string>").alias("_map")).select(
+        F.transform(F.map_keys("_map"), F.lower).alias("_names"), F.map_values("_map").alias("_values")
+    )
+
+    def raw(field: T.StructField) -> Column:
+        place = F.array_position("_names", field.name.lower()) - 1
+        return F.get("_values", place.cast("int"))
+
+    return fields.select(*[_typed(raw(f), f) for f in schema])
 
 
 def stage_json(
@@ -102,17 +116,9 @@ def stage_json_text(
     df: DataFrame, column: str, schema: T.StructType, paths: Mapping[str, str] | None = None
 ) -> DataFrame:
     """As :func:`stage_json`, for JSON text that is already a column."""
-    text = F.col(f"`{column}`")
     if paths is not None:
-        return df.select(*project_json(text, schema, paths))
-    by_name = df.select(
-        F.transform_keys(
-            F.from_json(text, "map<string,string>"), lambda k, _: F.lower(k)
-        ).alias("_fields")
-    )
-    return by_name.select(
-        *[_typed(F.col("_fields").getItem(f.name.lower()), f) for f in schema]
-    )
+        return _by_path(df, column, schema, paths)
+    return _by_name(df, column, schema)
 
 
 def read_json_paths(spark: SparkSession, path: str, schema: T.StructType) -> dict[str, str]:

@@ -201,3 +201,11 @@ def test_work_paths_lie_in_the_shared_folder_and_differ(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     first, second = work_path(spark, "x"), work_path(spark, "x")
     assert first != second and first.startswith(shared_dir(spark) + "/")
+
+
+def test_repeated_field_names_take_the_first(spark):
+    from starloom.sources.staging import stage_json_text
+
+    df = spark.createDataFrame([('{"userId": 1, "USERID": 2, "song": null}',), ("not json",)], "v string")
+    got = [tuple(r) for r in stage_json_text(df, "v", TARGET).collect()]
+    assert got == [(1, None, None, None), (None, None, None, None)]
