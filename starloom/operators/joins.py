@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 _SPLITTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"}
@@ -29,33 +30,35 @@ def skew_join(
     how: str = "inner",
     hot_share: float = 0.01,
     salts: int = 64,
+    min_hot_rows: int = 100_000,
 ) -> DataFrame:
     """Equi join whose hot left keys are spread over ``salts`` tasks each.
 
-    Keys holding more than ``hot_share`` of the left rows are found by one extra count
-    over the key columns. There can be at most ``1 / hot_share`` of them, so that list is
-    broadcast safely. Right rows of hot keys are repeated once per salt; all other rows
-    are joined as usual. The result equals the plain join, NULL keys included.
+    One count over the left key columns finds the keys that hold more than ``hot_share``
+    of the rows (and ``min_hot_rows`` at least, fewer are no burden to one task); there
+    can be at most ``1 / hot_share`` of them, so the list is fetched and broadcast
+    safely. Without any, this is the plain join. Otherwise the left rows of
+    hot keys are spread, the right rows of those keys are repeated once per salt, and all
+    other rows are joined as usual. The result equals the plain join, NULL keys included.
     """
     on = list(on)
     if how.lower() not in _SPLITTABLE:
         raise ValueError(f"skew_join cannot split the left side of a {how} join")
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg((F.sum("_n") * hot_share).alias("_t")).scalar()
-    hot = (
-        counts.where(F.col("_n") > total)
-        .dropna(subset=on)
-        .select(*on, F.lit(True).alias("_hot"))
+    hot_rows = _hot_keys(left, on, hot_share, min_hot_rows)
+    if not hot_rows:
+        return left.join(right, on, how)
+    hot = F.broadcast(
+        left.sparkSession.createDataFrame(hot_rows, left.select(*on).schema)
+        .dropna()
+        .withColumn("_hot", F.lit(True))
     )
-    any_null = F.lit(False)
-    for key in on:
-        any_null = any_null | F.col(f"`{key}`").isNull()
+    any_null = reduce(Column.__or__, [F.col(f"`{key}`").isNull() for key in on])
     # rows with a NULL key match nothing, so they may be spread as well
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
+    salted_left = left.join(hot, on, "left").withColumn(
         "_salt",
         F.when(F.col("_hot").isNotNull() | any_null, row_spread(left, salts)).otherwise(F.lit(0)),
     )
-    salted_right = right.join(F.broadcast(hot), on, "left").withColumn(
+    salted_right = right.join(hot, on, "left").withColumn(
         "_salt",
         F.explode(
             F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
@@ -66,6 +69,14 @@ def skew_join(
     return salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, min_rows: int) -> list[Row]:
+    """Key values, NULLs included, of more than ``share`` of the rows: at most 1 / share."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    threshold = counts.agg((F.sum("_n") * share).alias("_t")).scalar()
+    hot = counts.where((F.col("_n") > threshold) & (F.col("_n") >= min_rows))
+    return hot.select(*keys).collect()
+
+
 def explode_keys(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     """One row per distinct non-NULL value among ``keys``, named ``alias``."""
     values = F.array_distinct(F.array_compact(F.array(*[F.col(f"`{k}`") for k in keys])))

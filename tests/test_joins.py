@@ -18,7 +18,7 @@ def test_skew_join_equals_plain_join(spark, rows, how):
         "k int, v int",
     )
     right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (99, "e")], "k int, w string")
-    assert rows(skew_join(left, right, ["k"], how, hot_share=0.1, salts=8)) == rows(
+    assert rows(skew_join(left, right, ["k"], how, hot_share=0.1, salts=8, min_hot_rows=0)) == rows(
         left.join(right, ["k"], how)
     )
 
@@ -30,7 +30,13 @@ def test_skew_join_spreads_copies_of_one_row(spark):
 
     buckets = left.select(row_spread(left, 16).alias("b")).distinct().count()
     assert buckets > 1
-    assert skew_join(left, right, ["k"]).count() == 4000
+    assert skew_join(left, right, ["k"], min_hot_rows=0).count() == 4000
+
+
+def test_skew_join_leaves_even_keys_alone(spark, plan):
+    left, right = spark.range(1000).toDF("k"), spark.range(10).toDF("k")
+    assert "_salt" not in plan(skew_join(left, right, ["k"], min_hot_rows=0))
+    assert "_salt" in plan(skew_join(left, right, ["k"], hot_share=0.0001, min_hot_rows=0))
 
 
 def test_skew_join_rejects_right_outer(spark):
