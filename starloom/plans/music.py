@@ -112,13 +112,15 @@ def enrich_plays(
     how: str = "inner",
     duration_scale: int | None = None,
     spread_hot_keys: bool = True,
+    distinct_songs: bool = False,
 ) -> DataFrame:
     """Plays joined to song metadata on title, artist and/or duration.
 
     ``how="left"`` keeps plays without a song. ``duration_scale`` rounds both durations
     before they are compared (0 compares whole seconds). Songs with several metadata
     rows return one row each. ``spread_hot_keys`` splits the plays of a hit song over
-    many tasks; off, the join is left to AQE.
+    many tasks; off, the join is left to AQE. ``distinct_songs`` drops repeats of the same
+    match before the join, for callers that want distinct results anyway.
     """
 
     def comparable(column: Column, name: str) -> Column:
@@ -135,6 +137,8 @@ def enrich_plays(
         "artist_id",
         *[comparable(F.col(n), n).alias(k) for k, n in zip(keys, match_on, strict=True)],
     )
+    if distinct_songs:
+        right = right.distinct()
     if how == "inner":
         left, right = left.dropna(subset=keys), right.dropna(subset=keys)
     joined = skew_join(left, right, keys, how) if spread_hot_keys else left.join(right, keys, how)
@@ -173,7 +177,9 @@ def songplays(
     )
     if existing is not None:
         played = insert_new(played, existing, new_by)
-    fact = enrich_plays(played, songs, match_on, how, duration_scale, spread_hot_keys).select(
+    fact = enrich_plays(
+        played, songs, match_on, how, duration_scale, spread_hot_keys, distinct_songs=distinct
+    ).select(
         "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"
     )
     if distinct:
