@@ -25,6 +25,7 @@ from starloom.operators.joins import skew_join
 _MAX_CELLS_PER_SIDE = 64
 _MARGIN = 1e-6
 _BROADCAST_BYTES = 64 * 1024 * 1024
+_LIST_LIMIT = 256
 
 
 def crossings(edges: Column, x: Column, y: Column) -> Column:
@@ -75,9 +76,17 @@ def choose_cell_size(polygons: DataFrame) -> float:
 
 
 def grid_candidates(
-    polygons: DataFrame, order_by: Sequence[str], payload: Sequence[str], cell_size: float
+    polygons: DataFrame,
+    order_by: Sequence[str],
+    payload: Sequence[str],
+    cell_size: float,
+    list_limit: int = _LIST_LIMIT,
 ) -> DataFrame:
-    """(cell) → candidates in ``order_by`` order, each with the edges that matter there."""
+    """(cell, list number) → candidates, each with the edges that matter there.
+
+    A cell's candidates are in ``order_by`` order, ``list_limit`` per list, so a cell that
+    very many polygons cross has many short lists and no long one.
+    """
     size = F.lit(float(cell_size))
     order = F.struct(*order_by)
     # copies of one shape: only the first can ever be the answer
@@ -116,20 +125,29 @@ def grid_candidates(
         "_cx", "_cy", "_ord", "_zone", "_inside", F.when(F.col("_boundary"), F.col("_band")).alias("_edges")
     )
     # a polygon that fills the cell hides all later ones there
-    cover = F.min(F.when(F.col("_inside"), F.col("_ord"))).over(Window.partitionBy("_cx", "_cy"))
+    in_cell = Window.partitionBy("_cx", "_cy")
+    cover = F.min(F.when(F.col("_inside"), F.col("_ord"))).over(in_cell)
     visible = kept.withColumn("_cover", cover).where(
         F.col("_cover").isNull() | (F.col("_ord") <= F.col("_cover"))
     )
-    return visible.groupBy("_cx", "_cy").agg(
-        F.sort_array(F.collect_list(F.struct("_ord", "_zone", "_edges"))).alias("_candidates")
+    place = F.row_number().over(in_cell.orderBy("_ord"))
+    return (
+        visible.withColumn("_list", F.floor((place - 1) / list_limit).cast("int"))
+        .groupBy("_cx", "_cy", "_list")
+        .agg(F.sort_array(F.collect_list(F.struct("_ord", "_zone", "_edges"))).alias("_candidates"))
     )
 
 
-def _candidate_bytes(cells: DataFrame) -> int:
+def _measure(cells: DataFrame) -> tuple[int, int]:
+    """Size of the cut-up polygons in bytes (about), and the number of lists of the fullest cell."""
     edges = F.aggregate(
         "_candidates", F.lit(0), lambda n, c: n + F.lit(4) + F.coalesce(F.size(c["_edges"]), F.lit(0))
     )
-    return cells.agg(F.coalesce(F.sum(edges * F.lit(40)), F.lit(0)).alias("b")).first()["b"]
+    row = cells.agg(
+        F.coalesce(F.sum(edges * F.lit(40)), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max("_list") + 1, F.lit(1)).alias("lists"),
+    ).first()
+    return row["bytes"], row["lists"]
 
 
 def locate_points(
@@ -142,6 +160,7 @@ def locate_points(
     alias: str = "zone_of_point",
     cell_size: float | None = None,
     broadcast_bytes: int = _BROADCAST_BYTES,
+    list_limit: int = _LIST_LIMIT,
 ) -> DataFrame:
     """Add the first polygon (by ``order_by``) that strictly contains each point.
 
@@ -151,21 +170,27 @@ def locate_points(
 
     While the cut-up polygons are below ``broadcast_bytes`` they are broadcast and the
     points are not shuffled at all; above it both sides are joined by cell, with the
-    points of crowded cells spread over many tasks.
+    points of crowded cells spread over many tasks. Cells with more than ``list_limit``
+    candidates are joined list by list, and the first list with a hit wins.
     """
     size = cell_size or choose_cell_size(polygons)
-    cells = grid_candidates(polygons, order_by, payload, size).persist()
-    keyed = points.withColumns(
-        {"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)}
-    )
-    if _candidate_bytes(cells) <= broadcast_bytes:
-        joined = keyed.join(F.broadcast(cells), ["_cx", "_cy"], "left")
-    else:
-        joined = skew_join(keyed, cells, ["_cx", "_cy"], "left")
-    px, py = F.col(x), F.col(y)
-    hit = F.filter(
-        "_candidates", lambda c: c["_edges"].isNull() | contains(c["_edges"], px, py)
-    )
-    return joined.select(
-        *points.columns, F.try_element_at(hit, F.lit(1))["_zone"].alias(alias)
-    )
+    cells = grid_candidates(polygons, order_by, payload, size, list_limit).persist()
+    total_bytes, lists = _measure(cells)
+    on, px, py = ["_cx", "_cy"], F.col(x), F.col(y)
+    located = points.withColumns({"_cx": _cell(px, size), "_cy": _cell(py, size)})
+    hits = []
+    for number in range(lists):
+        candidates, hit = f"_candidates_{number}", f"_hit_{number}"
+        part = cells.where(F.col("_list") == number).select(
+            *on, F.col("_candidates").alias(candidates)
+        )
+        if total_bytes <= broadcast_bytes:
+            located = located.join(F.broadcast(part), on, "left")
+        else:
+            located = skew_join(located, part, on, "left")
+        containing = F.filter(
+            candidates, lambda c: c["_edges"].isNull() | contains(c["_edges"], px, py)
+        )
+        located = located.withColumn(hit, F.get(containing, F.lit(0))["_zone"]).drop(candidates)
+        hits.append(hit)
+    return located.select(*points.columns, F.coalesce(*hits).alias(alias))

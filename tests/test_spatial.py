@@ -119,11 +119,11 @@ def test_random_polygons_equal_brute_force(spark):
     )
     points = [(i, rng.uniform(-30, 30), rng.uniform(-30, 30)) for i in range(1500)]
     frame_points = spark.createDataFrame(points, "id int, x double, y double")
-    for size in (None, 5.0):
-        got = {
-            r["id"]: r["z"] and r["z"]["location_id"]
-            for r in locate_points(frame_points, frame, "x", "y", alias="z", cell_size=size).collect()
-        }
+    for size, limit in ((None, 256), (5.0, 256), (8.0, 3)):
+        located = locate_points(
+            frame_points, frame, "x", "y", alias="z", cell_size=size, list_limit=limit
+        )
+        got = {r["id"]: r["z"] and r["z"]["location_id"] for r in located.collect()}
         assert got == {i: brute_force(polygons, x, y) for i, x, y in points}
 
 
