@@ -1,7 +1,7 @@
 """Time the queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
 Every query is built and run to a no-op sink: one warm-up, then the median of
-``$BENCH_RUNS`` runs (default 3). Query names as arguments restrict the run.
+``$BENCH_RUNS`` runs (default 2). Query names as arguments restrict the run.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",

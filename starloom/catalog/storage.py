@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starloom.catalog import inputs
 from starloom.catalog.base import Registry, table
+from starloom.operators.keyed import cluster_for_lookup, lookup
 from starloom.operators.sinks import (
     append_table,
     insert_new_rows,
@@ -42,7 +43,6 @@ _LOG_SQL = ", ".join(
     f'CAST("{c}" AS BIGINT) AS "{c}"' if c in ("itemInSession", "sessionId", "userId", "ts") else f'"{c}"'
     for c in _LOG_COLUMNS
 )
-_PLAYS_SQL = f"WITH {inputs.EVENTS_SQL} SELECT {_LOG_SQL} FROM log WHERE artist <> ''"
 
 
 def _temporary_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
@@ -310,3 +310,25 @@ def upsert_listen_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert_table(played.where(F.col("level") == "free").drop("level"), name, ["song", "userId"], ["ts"])
     upsert_table(played.drop("level"), name, ["song", "userId"], ["ts"])
     return read_table(spark, name)
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_SQL},
+latest AS (
+  SELECT "userId", "sessionId", "itemInSession", artist, song FROM log WHERE artist <> ''
+  QUALIFY 1 = row_number() OVER (
+    PARTITION BY "userId", "sessionId", "itemInSession"
+    ORDER BY ts DESC, artist DESC, song DESC, "firstName" DESC, "lastName" DESC)
+)
+SELECT CAST("itemInSession" AS BIGINT) AS "itemInSession", artist, song FROM latest
+WHERE "userId" = 10 AND "sessionId" = 1018
+""")
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The songs-per-session table stored in key order; the lookup skips other key ranges."""
+    path = work_path(spark, "song_per_session")
+    keyed = music.song_per_session(inputs.events(spark, sf_dir))
+    cluster_for_lookup(keyed, ["userId", "sessionId"], ["itemInSession"]).write.parquet(path)
+    stored = read_parquet(spark, path)
+    return lookup(stored, ["itemInSession"], userId=10, sessionId=1018).select(
+        "itemInSession", "artist", "song"
+    )

@@ -4,8 +4,14 @@ from starloom.operators.aggregates import (
     duplicate_keys,
     global_count,
 )
-from starloom.operators.joins import any_key_join, insert_new, skew_join
-from starloom.operators.keyed import dedupe_by_key, keyed_table, lookup, upsert
+from starloom.operators.joins import any_key_join, explode_keys, insert_new, skew_join
+from starloom.operators.keyed import (
+    cluster_for_lookup,
+    dedupe_by_key,
+    keyed_table,
+    lookup,
+    upsert,
+)
 from starloom.operators.quality import (
     DataQualityError,
     casing_variants,
@@ -22,6 +28,7 @@ from starloom.operators.sinks import (
     load_fact,
     materialize,
     overwrite_table,
+    stage_table,
     upsert_table,
     write_csv_quoted,
     write_parquet,
@@ -34,11 +41,13 @@ __all__ = [
     "any_key_join",
     "append_table",
     "casing_variants",
+    "cluster_for_lookup",
     "collect_distinct_elements",
     "count_elements",
     "dedupe_by_key",
     "dense_id",
     "duplicate_keys",
+    "explode_keys",
     "global_count",
     "insert_new",
     "insert_new_rows",
@@ -55,6 +64,7 @@ __all__ = [
     "row_id",
     "run_checks",
     "skew_join",
+    "stage_table",
     "top_k",
     "top_n_per_group",
     "upsert",

@@ -115,12 +115,13 @@ def insert_new(
     ``null_aware=True`` (single key) follows SQL ``NOT IN``: with an empty target every
     row is new; with a NULL among the target keys none is; else NULL keys are not new.
     SQL's own form can only run by broadcasting the target; this one joins by key and
-    takes the two NULL rules from scalar subqueries, so the target may be any size.
+    takes the two NULL rules from scalar subqueries, so the target may be any size. The
+    target's keys are reduced to distinct ones before the shuffle that the join needs.
     """
     keys = list(keys)
     existing = target.select(
         *[F.col(f"`{t}`").alias(k) for k, t in zip(keys, target_keys or keys, strict=True)]
-    )
+    ).distinct()
     fresh = incoming.join(existing, keys, "left_anti").select(*incoming.columns)
     if not null_aware:
         return fresh

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import insert_new
 from starloom.operators.keyed import upsert
 from starloom.schemas import align
 from starloom.session import shared_dir
+from starloom.sources.staging import stage_json
 
 
 def write_parquet(
@@ -86,6 +87,18 @@ def load_dimension(df: DataFrame, table: str, mode: str = "insert") -> None:
     modes[mode.lower()](df, table)
 
 
+def stage_table(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    paths: Mapping[str, str] | None = None,
+    mode: str = "append",
+) -> None:
+    """Stage JSON files into an existing table: by field name, or by ``paths`` where given."""
+    rows = stage_json(spark, path, spark.table(table).schema, paths)
+    {"append": append_table, "overwrite": overwrite_table}[mode](rows, table)
+
+
 def load_fact(df: DataFrame, table: str) -> None:
     append_table(df, table)
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.quality import CheckSpec, run_checks
 from starloom.operators.sinks import (
-    append_table,
     load_dimension,
     load_fact,
     materialize,
     overwrite_table,
+    stage_table,
     write_parquet,
 )
 from starloom.plans import city, music
@@ -48,9 +48,9 @@ def run_music_pipeline(
     def table(name: str) -> str:
         return _qualified(database, name)
 
-    write = overwrite_table if restage else append_table
-    write(stage_json(spark, log_path, STAGING_EVENTS, log_paths), table("staging_events"))
-    write(stage_json(spark, song_path, STAGING_SONGS), table("staging_songs"))
+    mode = "overwrite" if restage else "append"
+    stage_table(spark, log_path, table("staging_events"), log_paths, mode)
+    stage_table(spark, song_path, table("staging_songs"), mode=mode)
     events, songs = spark.table(table("staging_events")), spark.table(table("staging_songs"))
 
     fact = music.songplays(

@@ -41,8 +41,7 @@ def rows_of(columns: list[str], rows: list) -> list[tuple[str, ...]]:
     return sorted(tuple(_value(row[i]) for i in order) for row in rows)
 
 
-def compare(query, spark, sf_dir: str, connection) -> tuple[bool, str]:
-    df = query.build(spark, sf_dir)
+def compare(query, df, connection) -> tuple[bool, str]:
     ours = rows_of(df.columns, df.collect())
     if query.sql is None:
         return bool(ours), f"{len(ours)} rows, no SQL"
@@ -75,7 +74,7 @@ def main() -> int:
     for name in args or ALL:
         began = time.time()
         try:
-            ok, note = compare(ALL[name], spark, sf_dir, connection)
+            ok, note = compare(ALL[name], ALL[name].build(spark, sf_dir), connection)
         except Exception as error:  # noqa: BLE001
             ok, note = False, f"{type(error).__name__}: {str(error)[:600]}"
         bad += not ok

@@ -209,3 +209,12 @@ def test_repeated_field_names_take_the_first(spark):
     df = spark.createDataFrame([('{"userId": 1, "USERID": 2, "song": null}',), ("not json",)], "v string")
     got = [tuple(r) for r in stage_json_text(df, "v", TARGET).collect()]
     assert got == [(1, None, None, None), (None, None, None, None)]
+
+
+def test_stage_table_appends_or_overwrites(spark, accounts, tmp_path, rows):
+    path = write_lines(tmp_path / "a.json", [{"K": 1, "V": "x"}])
+    op.stage_table(spark, path, accounts)
+    op.stage_table(spark, path, accounts, {"k": "$.K"})
+    assert rows(read_table(spark, accounts)) == [(1, None), (1, "x")]
+    op.stage_table(spark, path, accounts, mode="overwrite")
+    assert rows(read_table(spark, accounts)) == [(1, "x")]
