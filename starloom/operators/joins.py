@@ -78,9 +78,17 @@ def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, min_rows: int) -
 
 
 def explode_keys(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
-    """One row per distinct non-NULL value among ``keys``, named ``alias``."""
-    values = F.array_distinct(F.array_compact(F.array(*[F.col(f"`{k}`") for k in keys])))
-    return df.withColumn(alias, F.explode(values))
+    """One row per distinct non-NULL value among ``keys``, named ``alias``.
+
+    A key equal to an earlier one is blanked with plain comparisons, which stay inside
+    generated code; array functions would cost several times as much per row.
+    """
+    columns = [F.col(f"`{k}`") for k in keys]
+    first_seen = [columns[0]]
+    for i, column in enumerate(columns[1:], start=1):
+        repeated = reduce(Column.__or__, [column.eqNullSafe(c) for c in columns[:i]])
+        first_seen.append(F.when(~repeated, column))
+    return df.withColumn(alias, F.explode(F.array(*first_seen))).where(F.col(alias).isNotNull())
 
 
 def any_key_join(
