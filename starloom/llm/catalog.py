@@ -188,7 +188,7 @@ def _rules_sql() -> str:
     return " OR ".join(broken)
 
 
-_STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
+_STOPS = ", ".join(f"'{w}'" for w in rules.STOP_FORMS)
 _RULES_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -206,8 +206,7 @@ c AS (
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     len(regexp_extract_all(t, '[!?]')) AS n_marks,
     len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
-    len(list_filter(w, lambda x: list_contains([{_STOPS}],
-      rtrim(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?')))) AS n_stop_words,
+    len(list_filter(w, lambda x: list_contains([{_STOPS}], x))) AS n_stop_words,
     len(list_distinct(w)) AS n_distinct_words, len(l) AS n_lines,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BLANKS, let, lower_ascii, text_of, word_array
+from starloom.llm.common import let, text_of, word_array
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent short words of English, German, French and Spanish (fixed values).
@@ -23,6 +23,8 @@ STOP_WORDS = (
     "le", "la", "les", "de", "des", "et", "un", "une", "du", "que", "qui", "dans", "pour",
     "el", "los", "las", "y", "en", "por", "con", "una", "para", "se", "del",
 )
+#: A stop word counts in lower case and with a capital.
+STOP_FORMS = tuple(dict.fromkeys(form for word in STOP_WORDS for form in (word, word.capitalize())))
 _WINDOW = 8
 
 
@@ -85,31 +87,41 @@ def _repeat_words(words: Column) -> Column:
     def of_windows(hashes: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(repeated(hashes))
 
-    starts = F.sequence(F.lit(1), F.size(words) - (_WINDOW - 1))
-    windows = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, _WINDOW)))
-    return F.when(F.size(words) <= _WINDOW, F.lit(0)).otherwise(let(windows, of_windows))
+    def joined(hashes: Column, step: int, windows: Column) -> Column:
+        """Hashes of runs of 2 * step words from those of ``step`` words."""
+        return F.slice(F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + step))), 1, windows)
+
+    n = F.size(words)
+    fours = let(
+        F.transform(words, lambda w: F.xxhash64(w)),
+        lambda ones: let(joined(ones, 1, n - 1), lambda twos: joined(twos, 2, n - 3)),
+    )
+    # a window that occurs again takes five runs of four words with it
+    again = lambda f: F.size(f) - F.size(F.array_distinct(f)) >= 5
+    return F.when(n <= _WINDOW, F.lit(0)).otherwise(
+        let(fours, lambda f: F.when(again(f), let(joined(f, 4, n - 7), of_windows)).otherwise(F.lit(0)))
+    )
 
 
-def _removed(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+def _occurrences(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
 def counts(text: Column) -> Column:
     """Struct of every count the rules may name; all are whole numbers."""
 
     def of_words(words: Column, lines: Column) -> Column:
-        trimmed = F.transform(words, lambda w: F.rtrim(lower_ascii(w), F.lit(".,;:!?")))
-        whole_lines = F.filter(lines, lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+        whole_lines = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
         return let(
             whole_lines,
             lambda rows: F.struct(
                 F.lit(1).cast("long").alias("one"),
                 F.size(words).cast("long").alias("n_words"),
-                (F.length(text) - _removed(text, BLANKS)).cast("long").alias("word_chars"),
-                _removed(text, SYMBOLS).alias("n_symbols"),
-                _removed(text, "!?").alias("n_marks"),
-                F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
-                F.size(F.filter(trimmed, lambda w: w.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+                (F.length(text) - _occurrences(text, r"[\x20\x09-\x0D]")).alias("word_chars"),
+                _occurrences(text, f"[{SYMBOLS}]").alias("n_symbols"),
+                _occurrences(text, "[!?]").alias("n_marks"),
+                _occurrences(text, r"\p{Lu}").alias("n_capitals"),
+                F.size(F.filter(words, lambda w: w.isin(*STOP_FORMS))).cast("long").alias("n_stop_words"),
                 F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
                 F.size(rows).cast("long").alias("n_lines"),
                 (F.size(rows) - F.size(F.array_distinct(rows))).cast("long").alias("n_dup_lines"),
