@@ -43,19 +43,30 @@ def product_code(dim: int, size: int, seed: int) -> tuple[np.ndarray, tuple[np.n
     return rotation, (halves[0], halves[1])
 
 
-def decode(vectors: np.ndarray, size: int, cap: float, seed: int) -> list[np.ndarray]:
-    """For each unit vector the sorted numbers of the filters with a score of ``cap`` or more."""
+def decode(vectors: np.ndarray, size: int, cap: float, floor: int, seed: int) -> list[np.ndarray]:
+    """For each unit vector the sorted numbers of the filters with a score of ``cap`` or more.
+
+    A vector that lies badly for the code, with fewer than ``floor`` such filters, gets a
+    lower cap: the score of its ``floor``-th best filter. That one lies among the sums of
+    the i-th and j-th best block scores with i * j <= floor.
+    """
     rotation, (first, second) = product_code(vectors.shape[1], size, seed)
     turned = vectors @ rotation
     half = first.shape[1]
     a = turned[:, :half] @ first.T / math.sqrt(2)
     b = turned[:, half:] @ second.T / math.sqrt(2)
+    floor = min(floor, size * size)
+    pairs = [(i, j) for i in range(min(floor, size)) for j in range(min(floor // (i + 1), size))]
+    left_best, right_best = (np.array(side) for side in zip(*pairs, strict=True))
     order = np.argsort(-b, axis=1)
     found = []
     for k in range(len(vectors)):
         best = b[k, order[k]]
-        left = np.flatnonzero(a[k] >= cap - best[0])
-        counts = np.searchsorted(-best, a[k, left] - cap, side="right")
+        top = -np.partition(-a[k], min(floor, size) - 1)[: min(floor, size)]
+        sums = -np.sort(-top)[left_best] + best[right_best]
+        own = min(cap, -np.partition(-sums, floor - 1)[floor - 1])
+        left = np.flatnonzero(a[k] >= own - best[0])
+        counts = np.searchsorted(-best, a[k, left] - own, side="right")
         total = int(counts.sum())
         place = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
         found.append(np.sort(np.repeat(left, counts).astype(np.int64) * size + order[k, place]))
@@ -106,7 +117,8 @@ def _links_of_block(
 def link_vectors(
     vectors: DataFrame,
     least: float = 0.9,
-    filters_per_vector: float = 28,
+    filters_per_vector: float = 24,
+    least_filters: int = 24,
     filters_per_row: float = 64,
     block: int = 512,
     seed: int = 7,
@@ -151,7 +163,7 @@ def link_vectors(
             lengths = batch["v"].map(len)
             for dim in sorted(lengths.unique()):
                 part = batch[lengths == dim]
-                found = decode(_unit(list(part["v"])), size, cap_of(dim), seed)
+                found = decode(_unit(list(part["v"])), size, cap_of(dim), least_filters, seed)
                 yield pd.DataFrame(
                     {
                         "rep": part["rep"].to_numpy(),
