@@ -118,7 +118,7 @@ def link_vectors(
     vectors: DataFrame,
     least: float = 0.9,
     filters_per_vector: float = 24,
-    least_filters: int = 24,
+    filters_per_doubling: float = 2.2,
     filters_per_row: float = 64,
     block: int = 512,
     seed: int = 7,
@@ -133,6 +133,9 @@ def link_vectors(
     vectors link with each other. A repeated id is a vector per row. A null id
     links with nothing and is its own component (null). An empty table gives an
     empty result; other columns are not read.
+
+    Pairs right at a cosine of 0.9 share a filter with a chance of about 0.97,
+    pairs at 0.95 of 0.99 (64 dimensions, see the tests).
     """
     python_ready(vectors.sparkSession)
     source = vectors.select(
@@ -151,6 +154,8 @@ def link_vectors(
     )
     count = classes.count()
     size = max(16, math.ceil(math.sqrt(filters_per_row * max(count, 1))))
+    # a larger code has higher caps, under which fewer filters are shared: more filters make up for it
+    floor = math.ceil(filters_per_doubling * math.log2(max(count, 2)))
     tail = min(0.5, filters_per_vector / size**2)
     z = NormalDist().inv_cdf(1 - tail)
 
@@ -163,7 +168,7 @@ def link_vectors(
             lengths = batch["v"].map(len)
             for dim in sorted(lengths.unique()):
                 part = batch[lengths == dim]
-                found = decode(_unit(list(part["v"])), size, cap_of(dim), least_filters, seed)
+                found = decode(_unit(list(part["v"])), size, cap_of(dim), floor, seed)
                 yield pd.DataFrame(
                     {
                         "rep": part["rep"].to_numpy(),
