@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import let, lower_ascii, python_ready, settled, text_of, word_array
+from starloom.llm.common import let, python_ready, settled, text_of, word_array
 
 FEATURES = (
     "words", "word_length", "symbols", "marks", "capitals", "digits", "stops",
@@ -28,35 +28,36 @@ _SHORT_WORDS = (
     "the", "of", "and", "to", "in", "a", "is", "it", "der", "die", "das", "und", "ist", "ein", "nicht",
     "le", "la", "les", "de", "des", "et", "un", "une", "du", "que", "el", "los", "y", "en", "por", "con", "se",
 )
+_SHORT_FORMS = tuple(dict.fromkeys(form for word in _SHORT_WORDS for form in (word, word.capitalize())))
 
 
 def statistics(text: Column) -> Column:
     """array<double> of the FEATURES of a text; an empty text has finite values too."""
 
-    def log_share(part: Column, whole: Column, floor: float) -> Column:
-        return F.log(part / F.greatest(whole, F.lit(1)) + F.lit(floor))
+    def log_share(part: Column, whole: Column, floor: float, usual: float, weight: int) -> Column:
+        """Log of a share, drawn to a usual one in short texts as if they had ``weight`` more."""
+        return F.log((part + usual * weight) / (whole + weight) + F.lit(floor))
 
-    def removed(characters: str) -> Column:
-        return F.length(text) - F.length(F.translate(text, characters, ""))
+    def share_of_chars(pattern: str, chars: Column, floor: float, usual: float = 0.0) -> Column:
+        return log_share(F.regexp_count(text, F.lit(pattern)), chars, floor, usual, 100)
 
     def of(words: Column, lines: Column) -> Column:
-        n = F.size(words)
-        chars = F.length(text) - removed(" \t\n\x0b\x0c\r")
-        lowered = F.transform(words, lower_ascii)
+        n, rows = F.size(words), F.size(lines)
+        chars = F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))
         doubled = F.filter(words, lambda w, i: F.coalesce(w == F.get(words, i - 1), F.lit(False)))
         values = (
-            F.log1p(n),
-            F.log((chars + 1) / (n + 1)),
-            log_share(removed("#*$%&|<>~^=_{}[]\\/@"), chars, 0.002),
-            log_share(removed("!?"), chars, 0.002),
-            log_share(F.regexp_count(text, F.lit(r"\p{Lu}")), chars, 0.01),
-            log_share(F.regexp_count(text, F.lit(r"\p{Nd}")), chars, 0.002),
-            log_share(F.size(F.filter(lowered, lambda w: w.isin(*_SHORT_WORDS))), n, 0.02),
-            F.log((F.size(F.array_distinct(words)) + 1) / (n + 1)),
-            log_share(F.size(doubled), n, 0.01),
-            F.log((n + 1) / F.size(lines)),
-            log_share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines), 0.02),
-            log_share(F.size(F.filter(words, lambda w: F.length(w) > 12)), n, 0.01),
+            F.log(n + 20),
+            F.log((chars + 100) / (n + 20)),
+            share_of_chars(r"[#*$%&|<>~^=_{}\[\]\\/@]", chars, 0.002),
+            share_of_chars(r"[!?]", chars, 0.002),
+            share_of_chars(r"\p{Lu}", chars, 0.01, 0.03),
+            share_of_chars(r"\p{Nd}", chars, 0.002),
+            log_share(F.size(F.filter(words, lambda w: w.isin(*_SHORT_FORMS))), n, 0.02, 0.3, 20),
+            log_share(F.size(F.array_distinct(words)), n, 0.01, 0.8, 20),
+            log_share(F.size(doubled), n, 0.01, 0.02, 20),
+            F.log((n + 60) / (rows + 1)),
+            log_share(rows - F.size(F.array_distinct(lines)), rows, 0.02, 0.0, 3),
+            log_share(F.size(F.filter(words, lambda w: F.length(w) > 12)), n, 0.01, 0.05, 20),
         )
         return F.array(*[v.cast("double") for v in values])
 
