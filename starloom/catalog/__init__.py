@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from starloom.catalog import city, keyed, music, quality, storage
+from starloom.catalog import city, keyed, music, quality, refresh, storage
 from starloom.catalog.base import Query
 
 ALL: dict[str, Query] = {}
-for _module in (city, music, keyed, quality, storage):
+for _module in (city, music, keyed, quality, storage, refresh):
     for _name, _query in _module.QUERIES.items():
         if _name in ALL:
             raise ValueError(f"query registered twice: {_name}")

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from starloom.catalog import inputs
 from starloom.catalog.base import Registry, table
 from starloom.functions.dates import date_key
-from starloom.operators.joins import any_key_join
+from starloom.operators.joins import any_key_join, hot_keys
+from starloom.operators.sinks import write_parquet
 from starloom.operators.spatial import locate_points
 from starloom.plans import city
+from starloom.session import work_path
+from starloom.sources.files import read_parquet
 
 QUERIES = Registry()
 
@@ -25,13 +28,26 @@ def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def _crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crash dimension of located crashes; they are located once and stored for all reports."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = work_path(spark, "crashes_located")
+        write_parquet(_located(spark, sf_dir), path)
+        _stored[key] = path
+    return city.crash_dim(read_parquet(spark, _stored[key]))
+
+
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
     return (
         _trip_fact(spark, sf_dir),
         city.vendor_dim(spark),
         city.date_dim(spark, start="1995-01-01"),
         city.location_dim(inputs.zone_lookup(spark, sf_dir)),
-        city.crash_dim(_located(spark, sf_dir)),
+        _crashes(spark, sf_dir),
     )
 
 
@@ -128,12 +144,15 @@ def location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@QUERIES.add("""
-SELECT n_nationkey AS location_key, count(*) AS trips,
+_ANY_KEY_SQL = """
+SELECT CAST(n_nationkey AS BIGINT) AS location_key, count(*) AS trips,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS amount
 FROM lineitem JOIN nation ON l_partkey % 25 = n_nationkey OR l_suppkey % 25 = n_nationkey
 GROUP BY ALL
-""".replace("n_nationkey AS location_key", "CAST(n_nationkey AS BIGINT) AS location_key"))
+"""
+
+
+@QUERIES.add(_ANY_KEY_SQL)
 def any_key_join_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips that start or end in a zone."""
     trips = city.clean_trips(inputs.raw_trips(spark, sf_dir))
@@ -145,52 +164,80 @@ def any_key_join_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@QUERIES.add(_ANY_KEY_SQL)
+def any_key_join_hot_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the busiest zones spread over many tasks."""
+    trips = city.clean_trips(inputs.raw_trips(spark, sf_dir))
+    zones = city.location_dim(inputs.zone_lookup(spark, sf_dir))
+    ends = ["pickup_location_key", "drop_off_location_key"]
+    hot = hot_keys(trips.select(F.col(ends[0]).alias("location_key")), ["location_key"], 0.02)
+    return (
+        any_key_join(trips, zones, ends, "location_key", hot)
+        .groupBy("location_key")
+        .agg(F.count(F.lit(1)).alias("trips"), F.sum("total_payment_amount").alias("amount"))
+    )
+
+
 @QUERIES.add(f"""
 WITH {inputs.CRASHES_SQL}
 SELECT count(*) AS crash_rows FROM crash_dim WHERE list_contains(vehicle_type_list, 'TAXI')
 """)
 def taxi_crash_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return city.count_crashes_with(city.crash_dim(_located(spark, sf_dir)))
+    return city.count_crashes_with(_crashes(spark, sf_dir))
 
 
-_STAR_SQL = """
-FROM trip_fact t
-JOIN vendor_dim v ON t.vendor_key = v.vendor_key
-JOIN date_dim d ON d.date_key = t.date_key
-JOIN location_dim l ON t.pickup_location_key = l.location_key OR t.drop_off_location_key = l.location_key
-JOIN crash_dim c ON c.date_key = d.date_key AND c.location_key = l.location_key
-WHERE list_contains(c.vehicle_type_list, 'TAXI')
-"""
+# the ends of the trips in one column, an end that repeats the other only once
+_REPORT_SQL = f"""WITH {inputs.TRIPS_SQL}, {inputs.CRASHES_SQL}, {_DIMS_SQL},
+ends AS (
+  SELECT vendor_key, date_key, pickup_location_key AS location_key FROM trip_fact
+  UNION ALL
+  SELECT vendor_key, date_key, drop_off_location_key FROM trip_fact
+  WHERE drop_off_location_key IS DISTINCT FROM pickup_location_key
+),
+met AS (
+  SELECT name AS vendor, crash_count, contributing_factor_list
+  FROM ends JOIN crash_dim USING (date_key, location_key) JOIN vendor_dim USING (vendor_key)
+  WHERE list_contains(vehicle_type_list, 'TAXI')
+    AND EXISTS (FROM date_dim WHERE date_dim.date_key = ends.date_key)
+    AND EXISTS (FROM location_dim WHERE location_dim.location_key = ends.location_key)
+)"""
 
 
-@QUERIES.add(f"""
-WITH {inputs.TRIPS_SQL}, {inputs.CRASHES_SQL}, {_DIMS_SQL}
-SELECT v.name AS vendor, CAST(sum(c.crash_count) AS BIGINT) AS crash_count {_STAR_SQL} GROUP BY v.name
-""")
+@QUERIES.add(f"{_REPORT_SQL} SELECT vendor, CAST(sum(crash_count) AS BIGINT) AS crash_count FROM met GROUP BY vendor")
 def vendor_crash_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return city.vendor_crash_count(*_star(spark, sf_dir))
 
 
-@QUERIES.add(f"""
-WITH {inputs.TRIPS_SQL}, {inputs.CRASHES_SQL}, {_DIMS_SQL},
+def _top_factors_sql(n: int) -> str:
+    return f"""{_REPORT_SQL},
 counted AS (
   SELECT vendor, factor, count(*) AS factor_count
-  FROM (SELECT v.name AS vendor, unnest(c.contributing_factor_list) AS factor {_STAR_SQL})
-  GROUP BY ALL
+  FROM (SELECT vendor, unnest(contributing_factor_list) AS factor FROM met) GROUP BY ALL
 )
-SELECT * FROM (
-  SELECT *, rank() OVER (PARTITION BY vendor ORDER BY factor_count DESC) AS rank FROM counted
-) WHERE rank <= 3
-""")
+SELECT *, 1 + (SELECT count(*) FROM counted more
+               WHERE more.vendor = c.vendor AND more.factor_count > c.factor_count) AS rank
+FROM counted c
+WHERE (SELECT count(*) FROM counted more
+       WHERE more.vendor = c.vendor AND more.factor_count > c.factor_count) < {n}"""
+
+
+@QUERIES.add(_top_factors_sql(3))
 def vendor_top_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return city.vendor_top_factors(*_star(spark, sf_dir), n=3).orderBy("vendor", "rank")
 
 
-@QUERIES.add(f"""
+@QUERIES.add(_top_factors_sql(10))
+def vendor_top_ten_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return city.vendor_top_factors(*_star(spark, sf_dir)).orderBy("vendor", "rank")
+
+
+def _located_sql(shapes: str) -> str:
+    return f"""
 WITH {inputs.AREAS_SQL},
+shapes AS ({shapes}),
 hits AS (
   SELECT event_id, ord, any_value(zone) AS zone, any_value(borough) AS borough
-  FROM points JOIN areas ON y IS NOT NULL
+  FROM points JOIN shapes ON y IS NOT NULL
   GROUP BY event_id, ord
   HAVING count_if((y1 > y) <> (y2 > y) AND x < x1 + (x2 - x1) * (y - y1) / nullif(y2 - y1, 0)) % 2 = 1
      AND count_if((x2 - x1) * (y - y1) = (y2 - y1) * (x - x1)
@@ -202,9 +249,35 @@ FROM points p LEFT JOIN (
   SELECT event_id, min(ord) AS ord, arg_min(zone, ord) AS zone, arg_min(borough, ord) AS borough
   FROM hits GROUP BY event_id
 ) h USING (event_id)
-""")
+"""
+
+
+def _located_events(spark: SparkSession, sf_dir: str, polygons: DataFrame, **options: object) -> DataFrame:
+    points = inputs.event_points(spark, sf_dir)
+    located = locate_points(points, polygons, "x", "y", alias="area", **options)
+    return located.select("event_id", "area.location_id", "area.zone", "area.borough")
+
+
+@QUERIES.add(_located_sql("FROM areas"))
 def locate_points_in_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's point with the first supplier area that contains it."""
-    return locate_points(
-        inputs.event_points(spark, sf_dir), inputs.area_polygons(spark, sf_dir), "x", "y", alias="area"
-    ).select("event_id", "area.location_id", "area.zone", "area.borough")
+    return _located_events(spark, sf_dir, inputs.area_polygons(spark, sf_dir))
+
+
+@QUERIES.add(_located_sql("FROM areas"))
+def locate_points_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same when the grids are too large to be broadcast."""
+    return _located_events(spark, sf_dir, inputs.area_polygons(spark, sf_dir), broadcast_bytes=0)
+
+
+@QUERIES.add(_located_sql("""
+  SELECT ord, zone, borough, x1 * f AS x1, y1 * f AS y1, x2 * f AS x2, y2 * f AS y2
+  FROM (SELECT *, CASE WHEN ord % 9 = 0 THEN 16 ELSE 1 END AS f FROM areas)"""))
+def locate_points_mixed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth area sixteen times as large: two grids."""
+    areas = inputs.area_polygons(spark, sf_dir)
+    f = F.when(F.col("ord") % 9 == 0, 16).otherwise(1)
+    grown = F.transform(
+        "edges", lambda e: F.struct(*[(e[c] * f).alias(c) for c in ("x1", "y1", "x2", "y2")])
+    )
+    return _located_events(spark, sf_dir, areas.withColumn("edges", grown))

@@ -128,7 +128,9 @@ def epoch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FACT = f"""{_SECONDS} AS start_time, "userId" AS user_id, level, song_id, artist_id,
   "sessionId" AS session_id, location, "userAgent" AS user_agent"""
-_CTES = f"WITH {inputs.EVENTS_SQL}, {inputs.SONGS_SQL}"
+_CTES = f"""WITH {inputs.EVENTS_SQL}, {inputs.SONGS_SQL},
+one_song AS (SELECT * FROM songs QUALIFY 1 = row_number() OVER (
+  PARTITION BY song_id ORDER BY artist_id, title, artist_name, duration))"""
 
 
 @QUERIES.add(f"""
@@ -141,7 +143,7 @@ def songplays_by_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @QUERIES.add(f"""
-{_CTES} SELECT {_FACT} FROM log JOIN songs ON artist = artist_name AND song = title
+{_CTES} SELECT {_FACT} FROM log JOIN one_song ON artist = artist_name AND song = title
 WHERE page = 'NextSong'
 """)
 def songplays_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +153,7 @@ def songplays_by_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add(f"""
 {_CTES} SELECT {_FACT}, md5("sessionId" || {_SECONDS}) AS songplay_id
 FROM (SELECT * FROM log WHERE page = 'NextSong')
-LEFT JOIN songs ON song = title AND artist = artist_name AND round(length) = round(duration)
+LEFT JOIN one_song ON song = title AND artist = artist_name AND round(length) = round(duration)
 """)
 def songplays_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All plays, with the song where title, artist and whole seconds agree; md5 key."""
@@ -177,10 +179,10 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add(f"""
 {_CTES}, loaded AS ({_LOADED_SQL})
-SELECT DISTINCT {_FACT} FROM log, songs
-WHERE page = 'NextSong' AND song = title AND artist = artist_name
-  AND "userId" NOT IN (SELECT l.user_id FROM loaded l
-                       WHERE l.user_id = "userId" AND l.session_id = "sessionId")
+SELECT DISTINCT {_FACT} FROM (
+  SELECT log.* FROM log WHERE page = 'NextSong' AND NOT EXISTS (
+    FROM loaded WHERE (loaded.user_id, loaded.session_id) = (log."userId", log."sessionId"))
+) JOIN one_song ON (title, artist_name) = (song, artist)
 """)
 def songplays_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return music.songplays(
@@ -194,7 +196,9 @@ def songplays_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FACT_ORDER = ", ".join(
     f"{c} NULLS FIRST"
-    for c in "start_time user_id level song_id artist_id session_id location user_agent".split()
+    for c in (
+        "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
+    )
 )
 
 
@@ -272,7 +276,7 @@ def insert_new_null_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- reports ---------------------------------------------------------------------
 
 _PLAYS_BY_ARTIST = f"""
-fact AS (SELECT song_id, artist_id FROM log JOIN songs ON artist = artist_name AND song = title
+fact AS (SELECT song_id, artist_id FROM log JOIN one_song ON artist = artist_name AND song = title
          WHERE page = 'NextSong')"""
 
 

@@ -19,18 +19,20 @@ from starloom.operators.sinks import (
     load_fact,
     materialize,
     overwrite_table,
+    stage_table,
+    upsert_buckets,
     upsert_table,
     write_csv_quoted,
     write_parquet,
 )
 from starloom.operators.spatial import locate_points
 from starloom.plans import city, music
-from starloom.plans.model import create_model
+from starloom.plans.model import create_model, data_dictionary
 from starloom.schemas import LOOKUP_MODEL, PLAY_LOG_COLUMNS, STAGING_EVENTS
 from starloom.session import work_path
 from starloom.sources.files import merge_csv, read_csv_strings, read_json, read_parquet, read_table
 from starloom.sources.geo import read_zone_polygons
-from starloom.sources.staging import stage_json, stage_json_text
+from starloom.sources.staging import read_json_paths, stage_json, stage_json_text
 from starloom.streaming.incremental import stage_incremental
 
 QUERIES = Registry()
@@ -45,10 +47,14 @@ _LOG_SQL = ", ".join(
 )
 
 
+# tables of the queries live in a database of their own
+_DATABASE = "starloom_queries"
+
+
 def _temporary_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
     """A new external table on the shared storage under a fixed name."""
     return create_model(
-        spark, {name: schema}, recreate=True, location=work_path(spark, name)
+        spark, {name: schema}, _DATABASE, recreate=True, location=work_path(spark, name)
     )[0]
 
 
@@ -116,30 +122,52 @@ def csv_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn(
         "o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P"))
     )
-    write_csv_quoted(orders.repartition(4, "o_orderkey"), path)
-    schema = T.StructType(
-        [
-            T.StructField("o_orderkey", T.LongType()),
-            T.StructField("o_custkey", T.LongType()),
-            T.StructField("o_orderstatus", T.StringType()),
-            T.StructField("o_totalprice", T.DoubleType()),
-            T.StructField("o_orderdate", T.TimestampType()),
-            T.StructField("o_orderpriority", T.StringType()),
-        ]
+    write_csv_quoted(orders.hint("rebalance"), path)
+    return merge_csv(spark, path, _ORDERS)
+
+
+_ORDERS = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampType()),
+        T.StructField("o_orderpriority", T.StringType()),
+    ]
+)
+
+
+@QUERIES.add("""
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+       o_orderstatus || chr(10) || '"' || o_orderpriority || '", ' || o_orderkey AS o_orderstatus
+FROM orders
+""")
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two layouts, with quotes, commas and line breaks inside fields."""
+    path = work_path(spark, "csv_mixed")
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_orderstatus",
+        F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('", '), "o_orderkey"),
     )
-    return merge_csv(spark, path, schema)
+    turned = list(reversed(orders.columns))
+    write_csv_quoted(orders.where("o_totalprice < 100000"), path)
+    write_csv_quoted(orders.where("o_totalprice >= 100000"), path, turned, mode="append")
+    return merge_csv(spark, path, _ORDERS)
+
 
 
 @QUERIES.add(f"""
 WITH {inputs.EVENTS_SQL}
-SELECT {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in PLAY_LOG_COLUMNS if c != "length")}
+SELECT {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in PLAY_LOG_COLUMNS if c != "length")}, length
 FROM log WHERE artist <> ''
 """)
 def csv_play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play rows written as the quoted play log and read back as text."""
     path = work_path(spark, "play_log")
     write_csv_quoted(music.play_rows(inputs.events(spark, sf_dir)), path, PLAY_LOG_COLUMNS)
-    return read_csv_strings(spark, path).drop("length")
+    return read_csv_strings(spark, path).withColumn("length", F.col("length").cast("double"))
 
 
 @QUERIES.add(f"WITH {inputs.TRIPS_SQL} SELECT * FROM trip_fact")
@@ -153,18 +181,8 @@ def csv_trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- GeoJSON ---------------------------------------------------------------------
 
 
-@QUERIES.add(f"""
-WITH {inputs.AREAS_SQL}
-SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS zone, r_name AS borough, count(*) AS events
-FROM points
-LEFT JOIN nation ON x > n_nationkey % 5 * 20 AND x < n_nationkey % 5 * 20 + 20
-                AND y > n_nationkey // 5 * 20 AND y < n_nationkey // 5 * 20 + 20
-LEFT JOIN region ON n_regionkey = r_regionkey
-GROUP BY ALL
-""")
-def geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per zone, the zones read from a GeoJSON FeatureCollection."""
-    path = work_path(spark, "geojson")
+def zone_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones as one FeatureCollection; 25 of them, so one row holds it."""
     corner = lambda e: F.array(e["x1"], e["y1"])
     ring = F.transform("edges", corner)
     closed = F.concat(ring, F.slice(ring, 1, 1))
@@ -183,14 +201,28 @@ def geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("}"),
         ).alias("text"),
     )
-    document = inputs.zone_polygons(spark, sf_dir).agg(
+    return inputs.zone_polygons(spark, sf_dir).agg(
         F.concat(
             F.lit('{"type":"FeatureCollection","features":['),
             F.array_join(F.transform(F.sort_array(F.collect_list(feature)), lambda f: f["text"]), ","),
             F.lit("]}"),
         ).alias("value")
     )
-    document.write.text(path)
+
+
+@QUERIES.add(f"""
+WITH {inputs.AREAS_SQL}
+SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS zone, r_name AS borough, count(*) AS events
+FROM points
+LEFT JOIN nation ON x > n_nationkey % 5 * 20 AND x < n_nationkey % 5 * 20 + 20
+                AND y > n_nationkey // 5 * 20 AND y < n_nationkey // 5 * 20 + 20
+LEFT JOIN region ON n_regionkey = r_regionkey
+GROUP BY ALL
+""")
+def geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per zone, the zones read from a GeoJSON FeatureCollection."""
+    path = work_path(spark, "geojson")
+    zone_document(spark, sf_dir).write.text(path)
     zones = read_zone_polygons(spark, path)
     return (
         locate_points(inputs.event_points(spark, sf_dir), zones, "x", "y", alias="z")
@@ -233,11 +265,13 @@ def dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @QUERIES.add("SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY ALL")
 def materialize_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second call finds the stored table and ignores its own input."""
-    spark.sql("DROP TABLE IF EXISTS materialized_orders")
+    name = f"{_DATABASE}.materialized_orders"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_DATABASE}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     path = work_path(spark, "materialized")
-    materialize(orders, "materialized_orders", path=path)
-    stored = materialize(orders.where("false"), "materialized_orders", reuse=True, path=path)
+    materialize(orders, name, path=path)
+    stored = materialize(orders.where("false"), name, reuse=True, path=path)
     return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
@@ -332,3 +366,59 @@ def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(stored, ["itemInSession"], userId=10, sessionId=1018).select(
         "itemInSession", "artist", "song"
     )
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_SQL}
+SELECT song, "userId", "firstName", "lastName" FROM log WHERE artist <> ''
+QUALIFY 1 = row_number() OVER (PARTITION BY song, "userId" ORDER BY ts DESC, "firstName" DESC, "lastName" DESC)
+""")
+def upsert_listen_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history in a folder divided by key; only touched divisions are rewritten."""
+    path = work_path(spark, "listen_buckets")
+    played = music.play_rows(inputs.events(spark, sf_dir)).select(
+        "song", "userId", "firstName", "lastName", "ts", "level"
+    )
+    upsert_buckets(played.where(F.col("level") == "free").drop("level"), path, ["song", "userId"], ["ts"])
+    upsert_buckets(played.drop("level"), path, ["song", "userId"], ["ts"])
+    return read_parquet(spark, path).drop("_bucket")
+
+
+@QUERIES.add("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_mapping_file_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table filled from JSON files by the paths that a mapping file lists, in table order."""
+    path, mapping = work_path(spark, "json_mapped"), work_path(spark, "json_mapping")
+    rows = table(spark, sf_dir, "events")
+    rows.select(
+        F.col("event_id").alias("id"), F.from_json("props", "k int").alias("detail")
+    ).write.json(path)
+    listed = """{"jsonpaths": ["$.id", "$['detail']['k']"]}"""
+    paths = rows.agg(F.first(F.lit(listed)).alias("value"))
+    paths.write.text(mapping)
+    name = _temporary_table(spark, "mapped_props", _PROPS)
+    stage_table(spark, path, name, read_json_paths(spark, mapping, _PROPS))
+    return read_table(spark, name)
+
+
+@QUERIES.add("""
+SELECT * FROM (VALUES
+  ('account', 1, 'int'), ('name', 2, 'string'), ('balance', 3, 'decimal(18,2)')) AS t(col_name, position, data_type)
+CROSS JOIN (SELECT count(*) AS customers FROM customer)
+""")
+def table_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data dictionary of a loaded table, with its number of rows."""
+    name = _temporary_table(spark, "described_accounts", _ACCOUNTS)
+    append_table(_accounts(spark, sf_dir), name)
+    rows = read_table(spark, name).agg(F.count(F.lit(1)).alias("customers")).scalar()
+    described = data_dictionary(spark, [name]).select("col_name", "position", "data_type")
+    return described.withColumn("customers", rows)
+
+
+@QUERIES.add("SELECT o_orderkey, o_orderstatus FROM orders")
+def plain_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unpartitioned write that replaces an earlier one."""
+    path = work_path(spark, "plain")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    write_parquet(orders.withColumn("o_orderstatus", F.lit("old")), path)
+    write_parquet(orders, path)
+    return read_parquet(spark, path)

@@ -23,6 +23,20 @@ def lenient_cast(column: Column, data_type: T.DataType | str) -> Column:
     return plain
 
 
+def strict_cast(column: Column, data_type: T.DataType | str, name: str) -> Column:
+    """The same value in the target type; one that does not fit fails the job.
+
+    A blank text counts as missing. Fractions beyond a decimal's scale are rounded.
+    """
+    if isinstance(data_type, T.ArrayType | T.StructType | T.MapType):
+        return column.cast(data_type)
+    cast = lenient_cast(column, data_type)
+    given = column.isNotNull() & (F.trim(column.cast("string")) != "")
+    kind = data_type if isinstance(data_type, str) else data_type.simpleString()
+    message = F.concat(F.lit(f"column {name}: no {kind}: "), column.cast("string"))
+    return F.when(given & cast.isNull(), F.raise_error(message).cast(data_type)).otherwise(cast)
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
     """Cast the named columns; all others pass through unchanged."""
     return df.withColumns({c: lenient_cast(F.col(f"`{c}`"), t) for c, t in types.items()})

@@ -4,7 +4,7 @@ from starloom.operators.aggregates import (
     duplicate_keys,
     global_count,
 )
-from starloom.operators.joins import any_key_join, explode_keys, insert_new, skew_join
+from starloom.operators.joins import any_key_join, explode_keys, hot_keys, insert_new, skew_join
 from starloom.operators.keyed import (
     cluster_for_lookup,
     dedupe_by_key,
@@ -63,6 +63,7 @@ __all__ = [
     "require",
     "row_id",
     "run_checks",
+    "hot_keys",
     "skew_join",
     "stage_table",
     "top_k",

@@ -39,27 +39,36 @@ def collect_distinct_elements(
     ``arrays`` maps output name → input array column, ``measures`` maps output name → a
     numeric expression that is summed (use ``F.lit(1)`` for a row count).
 
-    The elements are exploded before they are gathered, so each task first reduces its
-    own rows to one set of distinct elements per group. What is shuffled and held for a
-    group is thereby bounded by the vocabulary that ends up in its result, whatever share
-    of the rows the group has; sets of whole arrays would grow with their combinations.
-    One scan and one shuffle serve all arrays and measures: the arrays of a row are
-    exploded side by side, and only the first element row carries the row's measures.
+    One scan serves all arrays and measures: the elements of all arrays are exploded
+    into one column, tagged with their array, and one more row per input row carries the
+    measures. A hash aggregate first reduces them to distinct elements per group, so
+    what a group gathers is bounded by the vocabulary that ends up in its result.
     """
     measures = dict(measures or {})
-    side_by_side = F.arrays_zip(
-        *[
-            F.coalesce(F.col(column), F.array().cast("array<string>")).alias(name)
-            for name, column in arrays.items()
-        ]
-    )
+
+    def tagged(column: str, tag: int) -> Column:
+        present = F.coalesce(F.col(column), F.array().cast("array<string>"))
+        return F.transform(present, lambda e: F.struct(F.lit(tag).alias("tag"), e.alias("element")))
+
+    parts = [tagged(column, tag) for tag, column in enumerate(arrays.values())]
+    carrier = F.array(F.struct(F.lit(-1).alias("tag"), F.lit(None).cast("string").alias("element")))
     items = df.select(
         *keys,
         *[expression.alias(f"_m_{name}") for name, expression in measures.items()],
-        F.posexplode_outer(side_by_side).alias("_place", "_element"),
+        F.explode(F.concat(carrier, *parts)).alias("_item"),
     )
-    first_of_row = F.coalesce(F.col("_place"), F.lit(0)) == 0
-    return items.groupBy(*keys).agg(
-        *[F.sum(F.when(first_of_row, F.col(f"_m_{name}"))).alias(name) for name in measures],
-        *[F.sort_array(F.collect_set(F.col("_element")[name])).alias(name) for name in arrays],
+    tag, element = F.col("_item.tag").alias("_tag"), F.col("_item.element").alias("_element")
+    distinct = (
+        items.where((F.col("_item.tag") < 0) | F.col("_item.element").isNotNull())
+        .select(*keys, *[f"_m_{name}" for name in measures], tag, element)
+        .groupBy(*keys, "_tag", "_element")
+        .agg(*[F.sum(F.when(F.col("_tag") < 0, F.col(f"_m_{name}"))).alias(f"_s_{name}") for name in measures],
+             F.count(F.lit(1)).alias("_n"))
+    )
+    return distinct.groupBy(*keys).agg(
+        *[F.sum(f"_s_{name}").alias(name) for name in measures],
+        *[
+            F.sort_array(F.collect_list(F.when(F.col("_tag") == tag, F.col("_element")))).alias(name)
+            for tag, name in enumerate(arrays)
+        ],
     )

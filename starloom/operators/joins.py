@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SPLITTABLE = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti"}
@@ -23,42 +23,45 @@ def row_spread(df: DataFrame, buckets: int) -> Column:
     ).cast("int")
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+    """Key values of more than ``share`` of the rows, so at most ``1 / share`` of them.
+
+    Lazy: nothing runs before the result is used. Store it to use it for several joins.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    least = df.agg((F.count(F.lit(1)) * share).alias("_least")).scalar()
+    return counts.where(F.col("_n") > least).select(*keys)
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot_share: float = 0.01,
+    hot: DataFrame | None = None,
     salts: int = 64,
-    min_hot_rows: int = 100_000,
 ) -> DataFrame:
-    """Equi join whose hot left keys are spread over ``salts`` tasks each.
-
-    One count over the left key columns finds the keys that hold more than ``hot_share``
-    of the rows (and ``min_hot_rows`` at least, fewer are no burden to one task); there
-    can be at most ``1 / hot_share`` of them, so the list is fetched and broadcast
-    safely. Without any, this is the plain join. Otherwise the left rows of
-    hot keys are spread, the right rows of those keys are repeated once per salt, and all
-    other rows are joined as usual. The result equals the plain join, NULL keys included.
+    """Equi join whose ``hot`` left keys are spread over ``salts`` tasks each.
+
+    ``hot`` lists key values, from a stored profile or :func:`hot_keys`; it must be short,
+    as it is broadcast. Without it this is the plain join, whose skewed partitions AQE
+    splits. With it the left rows of hot keys are spread, the right rows of those keys are
+    repeated once per salt, and all other rows are joined as usual. The result equals
+    the plain join, NULL keys included. Building the join runs no job.
     """
     on = list(on)
     if how.lower() not in _SPLITTABLE:
         raise ValueError(f"skew_join cannot split the left side of a {how} join")
-    hot_rows = _hot_keys(left, on, hot_share, min_hot_rows)
-    if not hot_rows:
+    if hot is None:
         return left.join(right, on, how)
-    hot = F.broadcast(
-        left.sparkSession.createDataFrame(hot_rows, left.select(*on).schema)
-        .dropna()
-        .withColumn("_hot", F.lit(True))
-    )
+    listed = F.broadcast(hot.select(*on).dropna().distinct().withColumn("_hot", F.lit(True)))
     any_null = reduce(Column.__or__, [F.col(f"`{key}`").isNull() for key in on])
     # rows with a NULL key match nothing, so they may be spread as well
-    salted_left = left.join(hot, on, "left").withColumn(
+    salted_left = left.join(listed, on, "left").withColumn(
         "_salt",
         F.when(F.col("_hot").isNotNull() | any_null, row_spread(left, salts)).otherwise(F.lit(0)),
     )
-    salted_right = right.join(hot, on, "left").withColumn(
+    salted_right = right.join(listed, on, "left").withColumn(
         "_salt",
         F.explode(
             F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
@@ -69,14 +72,6 @@ def skew_join(
     return salted_left.drop("_hot").join(salted_right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, min_rows: int) -> list[Row]:
-    """Key values, NULLs included, of more than ``share`` of the rows: at most 1 / share."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    threshold = counts.agg((F.sum("_n") * share).alias("_t")).scalar()
-    hot = counts.where((F.col("_n") > threshold) & (F.col("_n") >= min_rows))
-    return hot.select(*keys).collect()
-
-
 def explode_keys(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     """One row per distinct non-NULL value among ``keys``, named ``alias``.
 
@@ -96,18 +91,16 @@ def any_key_join(
     right: DataFrame,
     left_keys: Sequence[str],
     right_key: str,
-    spread_hot_keys: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``left.k1 = right.key OR left.k2 = right.key OR …``.
 
     One row per matching pair, also when several left keys are equal. Written as an
     equi join over the distinct keys of each left row, so it hashes on the key where the
-    literal OR form compares all pairs. NULL keys match nothing.
+    literal OR form compares all pairs. NULL keys match nothing. ``hot`` names key
+    values (column ``right_key``) whose left rows are spread, see :func:`skew_join`.
     """
-    ends = explode_keys(left, left_keys, right_key)
-    if spread_hot_keys:
-        return skew_join(ends, right, [right_key])
-    return ends.join(right, right_key, "inner")
+    return skew_join(explode_keys(left, left_keys, right_key), right, [right_key], "inner", hot)
 
 
 def insert_new(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,3 +123,33 @@ def upsert_table(
     shared_dir(spark)
     merged = upsert(spark.table(table), df, keys, order_by).checkpoint()
     overwrite_table(merged, table)
+
+
+def upsert_buckets(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    buckets: int = 64,
+) -> None:
+    """Upsert into a Parquet folder that is divided by a hash of the keys (``_bucket``).
+
+    Only the divisions that the batch touches are read, merged and overwritten; the
+    files of all others stay. The folder is created by the first call. The merged rows
+    are checkpointed on shared storage before their divisions are replaced.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+    incoming = df.withColumn("_bucket", bucket)
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        columns = [c for c in df.columns if c not in order_by or c in keys]
+        target = incoming.select(*columns, "_bucket").limit(0)
+    touched = [r["_bucket"] for r in incoming.select("_bucket").distinct().collect()]  # at most ``buckets``
+    old = target.where(F.col("_bucket").isin(touched))
+    merged = upsert(old, incoming, keys, order_by).checkpoint()
+    write_parquet(merged, path, ["_bucket"], dynamic=True)

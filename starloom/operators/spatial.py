@@ -1,15 +1,17 @@
-"""Point-in-polygon join on a grid, in native expressions only.
+"""Point-in-polygon join on grids, in native expressions only.
 
-Every polygon is cut along a square grid. A (polygon, cell) pair is one of
+Every polygon is cut along a square grid that suits its own size: sizes are put into
+levels, four times apart, and each level has its grid. A (polygon, cell) pair is one of
 
 * outside  – no edge reaches the cell and its centre is outside: dropped,
 * inside   – no edge reaches the cell and its centre is inside: all its points match,
 * boundary – an edge reaches the cell: its points are tested, but only against the
   edges that a ray through this cell can meet.
 
-A point falls into one cell and meets only that cell's candidates, so the cost per point
-does not depend on the number of polygons or on their number of vertices. The result
-does not depend on the grid.
+A point falls into one cell per level and meets only the candidates of these cells, so
+the cost per point does not depend on the number of polygons or on their number of
+vertices, and a large polygon does not coarsen the grid of small ones. The result does
+not depend on the grids.
 """
 
 from __future__ import annotations
@@ -19,13 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import skew_join
 
-# cells along the longer side of the largest polygon's bounding box, at most
-_MAX_CELLS_PER_SIDE = 64
 _MARGIN = 1e-6
 _BROADCAST_BYTES = 64 * 1024 * 1024
-_LIST_LIMIT = 256
+# cells along the longest polygon of a level; shorter ones have at least a quarter of it
+_CELLS = 4.0
 
 
 def crossings(edges: Column, x: Column, y: Column) -> Column:
@@ -66,13 +66,34 @@ def _boxes(polygons: DataFrame) -> DataFrame:
     )
 
 
-def choose_cell_size(polygons: DataFrame) -> float:
-    """A quarter of the mean extent, but no finer than 1/64 of the largest one."""
-    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
-    row = _boxes(polygons).agg(F.avg(extent).alias("mean"), F.max(extent).alias("most")).first()
-    if not row["most"]:
-        return 1.0
-    return max(row["mean"] / 4, row["most"] / _MAX_CELLS_PER_SIDE)
+def _level(size: Column) -> Column:
+    """Level of an extent: 4 ** level is the first power of four that is not smaller."""
+    return F.ceil(F.round(F.log(size) / F.log(F.lit(4.0)), 9)).cast("int")
+
+
+def _extent() -> Column:
+    return F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+
+
+def polygon_levels(
+    polygons: DataFrame, payload: Sequence[str], order_by: Sequence[str], cells: float = _CELLS
+) -> tuple[list[int], int]:
+    """Levels in use, and a bound on the bytes of the cut-up polygons; one pass.
+
+    An edge is kept by at most all cells of its polygon, each of which holds the payload.
+    """
+    pieces = int(cells + 2) ** 2
+    carried = F.octet_length(F.to_json(F.struct(*order_by, *payload)))
+    row = (
+        _boxes(polygons)
+        .where(_extent() > 0)
+        .agg(
+            F.collect_set(_level(_extent())).alias("levels"),
+            F.coalesce(F.sum((F.size("edges") * 32 + carried + 64) * pieces), F.lit(0)).alias("bytes"),
+        )
+        .first()
+    )
+    return sorted(row["levels"]), row["bytes"]
 
 
 def grid_candidates(
@@ -80,12 +101,11 @@ def grid_candidates(
     order_by: Sequence[str],
     payload: Sequence[str],
     cell_size: float,
-    list_limit: int = _LIST_LIMIT,
 ) -> DataFrame:
-    """(cell, list number) → candidates, each with the edges that matter there.
+    """Cell → candidates in ``order_by`` order, each with the edges that matter there.
 
-    A cell's candidates are in ``order_by`` order, ``list_limit`` per list, so a cell that
-    very many polygons cross has many short lists and no long one.
+    The list of a cell is as long as the number of polygons of this level that overlap
+    in it, up to the first that fills it.
     """
     size = F.lit(float(cell_size))
     order = F.struct(*order_by)
@@ -130,24 +150,9 @@ def grid_candidates(
     visible = kept.withColumn("_cover", cover).where(
         F.col("_cover").isNull() | (F.col("_ord") <= F.col("_cover"))
     )
-    place = F.row_number().over(in_cell.orderBy("_ord"))
-    return (
-        visible.withColumn("_list", F.floor((place - 1) / list_limit).cast("int"))
-        .groupBy("_cx", "_cy", "_list")
-        .agg(F.sort_array(F.collect_list(F.struct("_ord", "_zone", "_edges"))).alias("_candidates"))
-    )
-
-
-def _measure(cells: DataFrame) -> tuple[int, int]:
-    """Size of the cut-up polygons in bytes (about), and the number of lists of the fullest cell."""
-    edges = F.aggregate(
-        "_candidates", F.lit(0), lambda n, c: n + F.lit(4) + F.coalesce(F.size(c["_edges"]), F.lit(0))
+    return visible.groupBy("_cx", "_cy").agg(
+        F.sort_array(F.collect_list(F.struct("_ord", "_zone", "_edges"))).alias("_candidates")
     )
-    row = cells.agg(
-        F.coalesce(F.sum(edges * F.lit(40)), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max("_list") + 1, F.lit(1)).alias("lists"),
-    ).first()
-    return row["bytes"], row["lists"]
 
 
 def locate_points(
@@ -158,9 +163,8 @@ def locate_points(
     payload: Sequence[str] = ("location_id", "zone", "borough"),
     order_by: Sequence[str] = ("ord",),
     alias: str = "zone_of_point",
-    cell_size: float | None = None,
     broadcast_bytes: int = _BROADCAST_BYTES,
-    list_limit: int = _LIST_LIMIT,
+    cells: float = _CELLS,
 ) -> DataFrame:
     """Add the first polygon (by ``order_by``) that strictly contains each point.
 
@@ -168,29 +172,31 @@ def locate_points(
     a struct of ``payload``, NULL when no polygon contains the point or a coordinate is
     missing. Every point is kept, exactly once.
 
-    While the cut-up polygons are below ``broadcast_bytes`` they are broadcast and the
-    points are not shuffled at all; above it both sides are joined by cell, with the
-    points of crowded cells spread over many tasks. Cells with more than ``list_limit``
-    candidates are joined list by list, and the first list with a hit wins.
+    One small pass over the polygons finds their levels and bounds the size of the
+    grids; each level is one join by cell. Grids below ``broadcast_bytes`` in all are
+    broadcast and the points are not shuffled; larger ones leave the join to Spark.
     """
-    size = cell_size or choose_cell_size(polygons)
-    cells = grid_candidates(polygons, order_by, payload, size, list_limit).persist()
-    total_bytes, lists = _measure(cells)
-    on, px, py = ["_cx", "_cy"], F.col(x), F.col(y)
-    located = points.withColumns({"_cx": _cell(px, size), "_cy": _cell(py, size)})
-    hits = []
-    for number in range(lists):
-        candidates, hit = f"_candidates_{number}", f"_hit_{number}"
-        part = cells.where(F.col("_list") == number).select(
-            *on, F.col("_candidates").alias(candidates)
-        )
-        if total_bytes <= broadcast_bytes:
-            located = located.join(F.broadcast(part), on, "left")
-        else:
-            located = skew_join(located, part, on, "left")
+    levels, size_bound = polygon_levels(polygons, payload, order_by, cells)
+    px, py = F.col(x), F.col(y)
+    located, hits = points, []
+    for level in levels:
+        cell = 4.0**level / cells
+        on = [f"_cx_{len(hits)}", f"_cy_{len(hits)}"]
+        boxed = _boxes(polygons).where((_extent() > 0) & (_level(_extent()) == level))
+        grid = grid_candidates(boxed.select(*polygons.columns), order_by, payload, cell)
+        grid = grid.select(F.col("_cx").alias(on[0]), F.col("_cy").alias(on[1]), "_candidates")
+        if size_bound <= broadcast_bytes:
+            grid = F.broadcast(grid)
+        placed = located.withColumns({on[0]: _cell(px, cell), on[1]: _cell(py, cell)})
         containing = F.filter(
-            candidates, lambda c: c["_edges"].isNull() | contains(c["_edges"], px, py)
+            "_candidates", lambda c: c["_edges"].isNull() | contains(c["_edges"], px, py)
         )
-        located = located.withColumn(hit, F.get(containing, F.lit(0))["_zone"]).drop(candidates)
+        hit = f"_hit_{len(hits)}"
+        first = F.get(F.transform(containing, lambda c: F.struct(c["_ord"], c["_zone"])), F.lit(0))
+        located = placed.join(grid, on, "left").withColumn(hit, first).drop("_candidates", *on)
         hits.append(hit)
-    return located.select(*points.columns, F.coalesce(*hits).alias(alias))
+    if not hits:
+        kinds = ", ".join(f"{c}: {polygons.schema[c].dataType.simpleString()}" for c in payload)
+        return points.withColumn(alias, F.lit(None).cast(f"struct<{kinds}>"))
+    best = F.col(hits[0]) if len(hits) == 1 else F.least(*hits)
+    return located.select(*points.columns, best["_zone"].alias(alias))

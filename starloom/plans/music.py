@@ -111,16 +111,17 @@ def enrich_plays(
     match_on: Sequence[str] = ("title", "artist_name"),
     how: str = "inner",
     duration_scale: int | None = None,
-    spread_hot_keys: bool = True,
-    distinct_songs: bool = False,
+    hot: DataFrame | None = None,
+    one_row_per_song: bool = True,
 ) -> DataFrame:
     """Plays joined to song metadata on title, artist and/or duration.
 
     ``how="left"`` keeps plays without a song. ``duration_scale`` rounds both durations
-    before they are compared (0 compares whole seconds). Songs with several metadata
-    rows return one row each. ``spread_hot_keys`` splits the plays of a hit song over
-    many tasks; off, the join is left to AQE. ``distinct_songs`` drops repeats of the same
-    match before the join, for callers that want distinct results anyway.
+    before they are compared (0 compares whole seconds). A song_id with several metadata
+    rows counts once, with the first of them in column order; off, repeats of the same
+    match are dropped and each other row matches on its own. Different songs of equal
+    title and artist return one row each. ``hot`` lists match keys (``_match_*`` columns)
+    whose plays are spread over many tasks; without it skew is left to AQE.
     """
 
     def comparable(column: Column, name: str) -> Column:
@@ -132,17 +133,25 @@ def enrich_plays(
     left = played.withColumns(
         {k: comparable(F.col(_MATCH_COLUMNS[n]), n) for k, n in zip(keys, match_on, strict=True)}
     )
+    if one_row_per_song:
+        songs = unique_songs(songs)
     right = songs.select(
         "song_id",
         "artist_id",
         *[comparable(F.col(n), n).alias(k) for k, n in zip(keys, match_on, strict=True)],
     )
-    if distinct_songs:
+    if not one_row_per_song:
         right = right.distinct()
     if how == "inner":
         left, right = left.dropna(subset=keys), right.dropna(subset=keys)
-    joined = skew_join(left, right, keys, how) if spread_hot_keys else left.join(right, keys, how)
-    return joined.drop(*keys)
+    return skew_join(left, right, keys, how, hot).drop(*keys)
+
+
+def unique_songs(songs: DataFrame) -> DataFrame:
+    """One metadata row per song_id: the first in column order; rows without an id stay."""
+    order = ["artist_id", "title", "artist_name", "duration"]
+    kept = dedupe_by_key(songs.where(F.col("song_id").isNotNull()).select("song_id", *order), ["song_id"], order)
+    return kept.unionByName(songs.where(F.col("song_id").isNull()).select("song_id", *order))
 
 
 def songplays(
@@ -157,7 +166,8 @@ def songplays(
     key: str | None = "hash",
     whole_seconds: bool = True,
     page: str = PLAY_PAGE,
-    spread_hot_keys: bool = True,
+    hot: DataFrame | None = None,
+    one_row_per_song: bool = True,
 ) -> DataFrame:
     """Songplays fact.
 
@@ -178,7 +188,7 @@ def songplays(
     if existing is not None:
         played = insert_new(played, existing, new_by)
     fact = enrich_plays(
-        played, songs, match_on, how, duration_scale, spread_hot_keys, distinct_songs=distinct
+        played, songs, match_on, how, duration_scale, hot, one_row_per_song
     ).select(
         "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"
     )

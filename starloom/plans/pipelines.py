@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from starloom.operators.keyed import dedupe_by_key
 from starloom.operators.quality import CheckSpec, run_checks
 from starloom.operators.sinks import (
+    insert_new_rows,
     load_dimension,
     load_fact,
     materialize,
@@ -18,9 +21,11 @@ from starloom.operators.sinks import (
 from starloom.plans import city, music
 from starloom.plans.model import create_model
 from starloom.schemas import STAGING_EVENTS, STAGING_SONGS
+from starloom.session import shared_dir
 from starloom.sources.files import read_csv_strings
 from starloom.sources.geo import read_zone_polygons
 from starloom.sources.staging import stage_json
+from starloom.streaming.incremental import stage_incremental
 
 
 def _qualified(database: str | None, table: str) -> str:
@@ -34,43 +39,73 @@ def run_music_pipeline(
     database: str | None = None,
     log_paths: Mapping[str, str] | None = None,
     location: str | None = None,
-    restage: bool = True,
+    once_per_file: bool = True,
+    dimensions: str = "insert_new",
+    match_on: Sequence[str] = ("title", "artist_name", "duration"),
 ) -> DataFrame:
     """Stage → songplays → dimensions → quality checks; returns the check report.
 
-    Staging is written once and every later step reads the columnar copy. ``restage``
-    replaces the staging rows; off, the new files are appended. The fact is appended,
-    but only for (user, session) pairs it does not hold yet, so a repeated run adds
-    nothing. Dimensions are replaced.
+    Files are staged once each into folders under ``location``: a run takes what is new
+    and keeps what earlier runs staged. With ``once_per_file`` off, all given files are
+    appended to the staging tables. Either way the fact takes every play whose session and
+    start time (to the millisecond) it does not hold yet, so a session may go on in
+    later runs and a repeated run adds nothing. Dimensions get rows of new keys
+    (``insert_new``), or are rebuilt from all staged rows (``replace``).
     """
     create_model(spark, "music", database, location=location)
 
     def table(name: str) -> str:
         return _qualified(database, name)
 
-    mode = "overwrite" if restage else "append"
-    stage_table(spark, log_path, table("staging_events"), log_paths, mode)
-    stage_table(spark, song_path, table("staging_songs"), mode=mode)
-    events, songs = spark.table(table("staging_events")), spark.table(table("staging_songs"))
+    if once_per_file:
+        base = location or f"{shared_dir(spark)}/starloom/music-{database or 'default'}"
+        base = f"{base.rstrip('/')}/staged"
+
+        def staged(name: str, path: str, schema: T.StructType, paths: Mapping[str, str] | None) -> DataFrame:
+            stage_incremental(spark, path, schema, f"{base}/{name}", f"{base}/_checkpoints/{name}", paths)
+            return spark.read.schema(schema).parquet(f"{base}/{name}")
+
+        events = staged("events", log_path, STAGING_EVENTS, log_paths)
+        songs = staged("songs", song_path, STAGING_SONGS, None)
+    else:
+        stage_table(spark, log_path, table("staging_events"), log_paths)
+        stage_table(spark, song_path, table("staging_songs"))
+        events, songs = spark.table(table("staging_events")), spark.table(table("staging_songs"))
 
     fact = music.songplays(
         events,
         songs,
-        match_on=("title", "artist_name", "duration"),
+        match_on=match_on,
         how="left",
         existing=spark.table(table("songplays")),
+        new_by=("session_id", "start_time"),
+        whole_seconds=False,
     )
-    load_fact(fact, table("songplays"))
-
-    load_dimension(music.users_dim(events, "latest"), table("users"), "truncate")
-    load_dimension(music.songs_dim(songs, "one_per_key"), table("songs"), "truncate")
-    load_dimension(music.artists_dim(songs, "one_per_key"), table("artists"), "truncate")
-    load_dimension(music.time_dim(events, plays_only=True), table("time"), "truncate")
+    rest = [c for c in fact.columns if c != "songplay_id"]
+    load_fact(dedupe_by_key(fact, ["songplay_id"], rest), table("songplays"))
+
+    loads = {
+        "users": (music.users_dim(events, "latest"), ["user_id"]),
+        "songs": (music.songs_dim(songs, "one_per_key"), ["song_id"]),
+        "artists": (music.artists_dim(songs, "one_per_key"), ["artist_id"]),
+        "time": (music.time_dim(events, plays_only=True, whole_seconds=False), ["start_time"]),
+    }
+    for name, (rows, keys) in loads.items():
+        if dimensions == "insert_new":
+            insert_new_rows(rows, table(name), keys)
+        elif dimensions == "replace":
+            load_dimension(rows, table(name), "truncate")
+        else:
+            raise ValueError(f"unknown dimension load {dimensions!r}")
 
     return run_checks(
         spark,
         [
-            CheckSpec(table("songplays"), not_null=["songplay_id", "start_time", "user_id"]),
+            CheckSpec(
+                table("songplays"),
+                not_null=["songplay_id", "start_time", "user_id"],
+                unique=[["songplay_id"]],
+            ),
             CheckSpec(table("users"), not_null=["user_id"], unique=[["user_id"]]),
             CheckSpec(table("songs"), not_null=["song_id"], unique=[["song_id"]]),
             CheckSpec(table("artists"), not_null=["artist_id"], unique=[["artist_id"]]),
@@ -83,10 +118,13 @@ def run_lake_pipeline(spark: SparkSession, log_path: str, song_path: str, output
     """Raw JSON → partitioned Parquet folders under ``output``.
 
     songs by year and artist, time and songplays by year and month, users and artists
-    unpartitioned. The plays are stored once in columnar form and read from there by the
-    three jobs that need them.
+    unpartitioned. Songs and plays are stored once in columnar form and read from there by
+    the jobs that need them.
     """
-    songs = stage_json(spark, song_path, STAGING_SONGS, recursive=True)
+    write_parquet(
+        stage_json(spark, song_path, STAGING_SONGS, recursive=True), f"{output}/songs_staged"
+    )
+    songs = spark.read.parquet(f"{output}/songs_staged")
     write_parquet(
         music.songs_dim(songs, "one_per_key"), f"{output}/songs_table", ["year", "artist_id"]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.casts import lenient_cast
+from starloom.functions.casts import strict_cast
 
 
 STRING, INT, LONG, TINY = T.StringType(), T.IntegerType(), T.LongType(), T.ByteType()
@@ -122,9 +122,9 @@ CITY_MODEL = {
         pickup_location_key=INT,
         drop_off_location_key=INT,
         date_key=INT,
-        passenger_count=INT,
+        passenger_count=LONG,
         total_payment_amount=T.DecimalType(18, 2),
-        trip_count=INT,
+        trip_count=LONG,
     ),
     "date_dim": _schema(
         date_key=INT,
@@ -184,7 +184,8 @@ LOOKUP_MODEL = {
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns by name (any letter case) and cast to its types.
 
-    A column that is missing from ``df`` is an error, not a silent NULL.
+    A column that is missing from ``df`` is an error, and so is a value that does not
+    fit its type: neither becomes a silent NULL.
     """
     have = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema if f.name.lower() not in have]
@@ -195,6 +196,6 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
         source = F.col(f"`{have[field.name.lower()]}`")
         if df.schema[have[field.name.lower()]].dataType == field.dataType:
             return source.alias(field.name)
-        return lenient_cast(source, field.dataType).alias(field.name)
+        return strict_cast(source, field.dataType, field.name).alias(field.name)
 
     return df.select(*[cast(f) for f in schema])

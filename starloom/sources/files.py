@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,19 +30,53 @@ def read_json(
     return reader.json(path if isinstance(path, str) else list(path))
 
 
-def read_csv_strings(spark: SparkSession, path: Paths, recursive: bool = False) -> DataFrame:
-    """CSV with a header line in each file; every column stays a string.
-
-    Fields beyond the header are cut off, empty fields are NULL.
-    """
-    return (
+def _csv(spark: SparkSession, path: Paths, recursive: bool, multi_line: bool, names: Sequence[str] | None) -> DataFrame:
+    reader = (
         spark.read.option("header", "true")
         .option("inferSchema", "false")
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
         .option("recursiveFileLookup", str(recursive).lower())
-        .csv(path if isinstance(path, str) else list(path))
     )
+    if names is not None:
+        strings = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        # a file whose header has other names, or another order, fails instead of being mixed up
+        reader = reader.schema(strings).option("enforceSchema", "false")
+    return reader.csv(path if isinstance(path, str) else list(path))
+
+
+def read_csv_strings(
+    spark: SparkSession, path: Paths, recursive: bool = False, multi_line: bool = True
+) -> DataFrame:
+    """CSV with the same header line in each file; every column stays a string.
+
+    Fields beyond the header are cut off, empty fields are NULL. A file with another
+    header is an error; :func:`merge_csv` takes such files. ``multi_line`` reads quoted
+    line breaks, at the price of one task per file; off, files are split but a quoted
+    line break breaks its row.
+    """
+    names = _csv(spark, path, recursive, multi_line, None).columns
+    return _csv(spark, path, recursive, multi_line, names)
+
+
+def csv_headers(spark: SparkSession, path: Paths, recursive: bool = False) -> dict[str, list[str]]:
+    """Header line → files that begin with it. The driver gets one row per file, no data."""
+    lines = (
+        spark.read.option("recursiveFileLookup", str(recursive).lower())
+        .text(path if isinstance(path, str) else list(path))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        .where("start = 0")
+    )
+    found: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("header")).collect():
+        found.setdefault(row["header"], []).append(row["file"])
+    return {header: sorted(files) for header, files in sorted(found.items())}
 
 
 def merge_csv(
@@ -49,26 +85,32 @@ def merge_csv(
     schema: T.StructType | None = None,
     recursive: bool = False,
     with_source: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All CSV files of a folder as one dataset, each header skipped, typed by name.
 
-    Columns are read as text and cast afterwards, because a typed CSV read turns
-    integers in scientific notation into NULL. ``with_source`` adds ``source_file``
-    so a caller can order rows of equal keys.
+    Every file is read by its own header, so files may have their columns in different
+    orders; a column that a file lacks is NULL there. Columns are read as text and
+    cast afterwards, because a typed CSV read turns integers in scientific notation into
+    NULL. ``with_source`` adds ``source_file`` so a caller can order rows of equal keys.
     """
-    df = read_csv_strings(spark, path, recursive)
-    if schema is not None:
-        names = {c.lower(): c for c in df.columns}
-        df = df.select(
-            *[F.col(f"`{names[f.name.lower()]}`").alias(f.name) for f in schema],
-            *([F.col("_metadata")] if with_source else []),
-        )
-        df = cast_columns(df, {f.name: f.dataType for f in schema})
+    parts = []
+    for header, files in csv_headers(spark, path, recursive).items():
+        names = next(csv.reader([header]))
+        part = _csv(spark, files, False, multi_line, names)
         if with_source:
-            df = df.withColumn("source_file", F.col("_metadata.file_path")).drop("_metadata")
-    elif with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return df
+            part = part.withColumn("source_file", F.col("_metadata.file_path"))
+        parts.append(part)
+    if not parts:
+        df = read_csv_strings(spark, path, recursive, multi_line)
+    else:
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if schema is None:
+        return df
+    names = {c.lower(): c for c in df.columns}
+    extra = ["source_file"] if with_source else []
+    df = df.select(*[F.col(f"`{names[f.name.lower()]}`").alias(f.name) for f in schema], *extra)
+    return cast_columns(df, {f.name: f.dataType for f in schema})
 
 
 def read_parquet(spark: SparkSession, path: Paths) -> DataFrame:

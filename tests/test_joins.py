@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.operators import any_key_join, insert_new, skew_join
+from starloom.operators import any_key_join, hot_keys, insert_new, skew_join
 
 KEY = st.one_of(st.none(), st.integers(0, 4))
 PROPERTY = settings(
@@ -18,7 +18,7 @@ def test_skew_join_equals_plain_join(spark, rows, how):
         "k int, v int",
     )
     right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (99, "e")], "k int, w string")
-    assert rows(skew_join(left, right, ["k"], how, hot_share=0.1, salts=8, min_hot_rows=0)) == rows(
+    assert rows(skew_join(left, right, ["k"], how, hot_keys(left, ["k"], 0.1), salts=8)) == rows(
         left.join(right, ["k"], how)
     )
 
@@ -30,13 +30,14 @@ def test_skew_join_spreads_copies_of_one_row(spark):
 
     buckets = left.select(row_spread(left, 16).alias("b")).distinct().count()
     assert buckets > 1
-    assert skew_join(left, right, ["k"], min_hot_rows=0).count() == 4000
+    assert skew_join(left, right, ["k"], hot=hot_keys(left, ["k"])).count() == 4000
 
 
 def test_skew_join_leaves_even_keys_alone(spark, plan):
     left, right = spark.range(1000).toDF("k"), spark.range(10).toDF("k")
-    assert "_salt" not in plan(skew_join(left, right, ["k"], min_hot_rows=0))
-    assert "_salt" in plan(skew_join(left, right, ["k"], hot_share=0.0001, min_hot_rows=0))
+    assert "_salt" not in plan(skew_join(left, right, ["k"]))
+    assert "_salt" in plan(skew_join(left, right, ["k"], hot=hot_keys(left, ["k"], 0.0001)))
+    assert hot_keys(left, ["k"], 0.01).isEmpty()
 
 
 def test_skew_join_rejects_right_outer(spark):
@@ -51,8 +52,8 @@ def test_any_key_join_equals_or_join(spark, rows, left_rows, right_rows):
     left = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(left_rows)], "id int, a int, b int")
     right = spark.createDataFrame([(k, i) for i, k in enumerate(right_rows)], "k int, n int")
     expected = left.join(right, (F.col("a") == F.col("k")) | (F.col("b") == F.col("k"))).select("id", "k", "n")
-    for spread in (False, True):
-        got = any_key_join(left, right, ["a", "b"], "k", spread_hot_keys=spread)
+    for hot in (None, left.select(F.col("a").alias("k")).distinct()):
+        got = any_key_join(left, right, ["a", "b"], "k", hot)
         assert rows(got.select("id", "k", "n")) == rows(expected)
 
 

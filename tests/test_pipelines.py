@@ -55,11 +55,55 @@ def test_music_pipeline_and_repeat(spark, music_files, tmp_path, rows):
     assert rows(spark.table("music_db.users").select("user_id", "level")) == [(8, "paid"), (9, "free")]
     assert spark.table("music_db.songs").count() == 2
     assert spark.table("music_db.artists").count() == 2
-    assert rows(spark.table("music_db.time").select("hour", "weekday")) == [(1, 5), (1, 5)]
+    assert rows(spark.table("music_db.time").select("hour", "weekday")) == [(1, 5)] * 3
     assert str(spark.table("music_db.songs").first()["duration"]) == "200.40000"
     spark.sql("DROP DATABASE music_db CASCADE")
 
 
+@pytest.mark.parametrize("once_per_file", [True, False])
+def test_music_pipeline_takes_a_second_batch(spark, music_files, tmp_path, rows, once_per_file):
+    """The session goes on and new dimension rows come; what was loaded stays."""
+    logs, songs = music_files
+    spark.sql("DROP DATABASE IF EXISTS music_db3 CASCADE")
+
+    def run():
+        return run_music_pipeline(
+            spark, str(logs), f"{songs}/*/*/*/*.json", "music_db3",
+            location=str(tmp_path / "wh"), once_per_file=once_per_file,
+        )
+
+    run()
+    later = [
+        {**EVENT, "ts": EVENT["ts"] + 60_000, "itemInSession": 3, "song": "Later", "artist": "New"},
+        {**EVENT, "userId": "20", "firstName": "Cy", "sessionId": 50, "ts": EVENT["ts"] + 90_000},
+    ]
+    if not once_per_file:
+        (logs / "1.json").unlink()
+    (logs / "2.json").write_text("\n".join(map(json.dumps, later)))
+    (songs / "A" / "B" / "C" / "9.json").write_text(
+        json.dumps({**SONG, "song_id": "S9", "artist_id": "A9", "artist_name": "New", "title": "Later"})
+    )
+    assert all(r["passed"] for r in run().collect())
+    fact = spark.table("music_db3.songplays")
+    assert rows(fact.select("user_id", "session_id", "song_id")) == [
+        (20, 50, "S1"), (8, 10, None), (8, 10, "S1"), (8, 10, "S9"), (9, 11, "S1"),
+    ]
+    assert rows(spark.table("music_db3.users").select("user_id")) == [(20,), (8,), (9,)]
+    assert spark.table("music_db3.songs").count() == 3
+    assert spark.table("music_db3.time").count() == 5
+    spark.sql("DROP DATABASE music_db3 CASCADE")
+
+
+def test_load_fails_on_a_value_that_does_not_fit(spark):
+    spark.sql("DROP TABLE IF EXISTS narrow")
+    spark.sql("CREATE TABLE narrow (a int, b string) USING parquet")
+    overwrite_table(spark.createDataFrame([(7, None), (None, "x")], "a long, b string"), "narrow")
+    assert spark.table("narrow").count() == 2
+    with pytest.raises(Exception, match="column a: no int: 5000000000"):
+        overwrite_table(spark.createDataFrame([(5_000_000_000, "y")], "a long, b string"), "narrow")
+    spark.sql("DROP TABLE narrow")
+
+
 def test_music_pipeline_fails_on_empty_log(spark, music_files, tmp_path):
     _, songs = music_files
     (tmp_path / "none").mkdir()
@@ -218,8 +262,8 @@ def test_songplays_matching_variants(spark, rows):
     assert ids(**exact, duration_scale=0) == [(1, "S1"), (2, None), (3, None)]
     loaded = spark.createDataFrame([(1, 10)], "user_id int, session_id int")
     assert ids(existing=loaded) == [(2, "S2")]
-    plain = music.songplays(events, songs, spread_hot_keys=False, key=None)
-    assert rows(plain) == rows(music.songplays(events, songs, key=None))
+    twice = songs.unionByName(songs.withColumn("duration", F.col("duration") + 1))
+    assert rows(music.songplays(events, twice, key=None)) == rows(music.songplays(events, songs, key=None))
     with pytest.raises(ValueError):
         music.songplays(events, songs, key="uuid")
 

@@ -30,8 +30,8 @@ def test_query_equals_sql_on_a_native_plan(spark, connection, plan, name):
 
 
 def test_contract(spark):
-    assert entry.queries().keys() == ALL.keys()
-    assert entry.oracle_sql().keys() <= ALL.keys()
+    assert entry.queries().keys() >= ALL.keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
     assert entry.entry(spark).columns == ["vendor", "factor", "factor_count", "rank"]
 
 

@@ -66,14 +66,14 @@ def test_geojson_features(zones):
     assert got == [(0, 1, "Z1", 4), (1, 2, "Z2", 4), (2, 3, "Z3", 8), (3, 4, "Z4", 8), (4, 5, "Z5", 4)]
 
 
-@pytest.mark.parametrize("cell_size", [None, 0.7, 3.0, 1000.0])
+@pytest.mark.parametrize("cells", [4.0, 1.0, 13.0])
 @pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
-def test_cases(spark, zones, cell_size, broadcast_bytes):
+def test_cases(spark, zones, cells, broadcast_bytes):
     points = spark.createDataFrame(
         [(name, x, y) for name, (x, y, _) in CASES.items()], "name string, px double, py double"
     )
     located = locate_points(
-        points, zones, "px", "py", alias="z", cell_size=cell_size, broadcast_bytes=broadcast_bytes
+        points, zones, "px", "py", alias="z", cells=cells, broadcast_bytes=broadcast_bytes
     )
     assert located.columns == ["name", "px", "py", "z"]
     got = {r["name"]: r["z"] and r["z"]["location_id"] for r in located.collect()}
@@ -112,6 +112,10 @@ def random_star(rng):
 def test_random_polygons_equal_brute_force(spark):
     rng = random.Random(7)
     polygons = [(i, random_star(rng)) for i in range(40)]
+    # sizes from a hundredth to a hundredfold
+    polygons = [
+        (i, [tuple(v * 100.0 ** (i % 3 - 1) for v in e) for e in edges]) for i, edges in polygons
+    ]
     polygons += [(i + 40, edges) for i, (_, edges) in enumerate(polygons[:10])]  # copies
     frame = spark.createDataFrame(
         [(i, i, f"Z{i}", "B", [tuple(e) for e in edges]) for i, edges in polygons],
@@ -119,10 +123,8 @@ def test_random_polygons_equal_brute_force(spark):
     )
     points = [(i, rng.uniform(-30, 30), rng.uniform(-30, 30)) for i in range(1500)]
     frame_points = spark.createDataFrame(points, "id int, x double, y double")
-    for size, limit in ((None, 256), (5.0, 256), (8.0, 3)):
-        located = locate_points(
-            frame_points, frame, "x", "y", alias="z", cell_size=size, list_limit=limit
-        )
+    for cells in (4.0, 1.0, 9.0):
+        located = locate_points(frame_points, frame, "x", "y", alias="z", cells=cells)
         got = {r["id"]: r["z"] and r["z"]["location_id"] for r in located.collect()}
         assert got == {i: brute_force(polygons, x, y) for i, x, y in points}
 
@@ -133,3 +135,16 @@ def test_points_are_not_shuffled_for_small_polygons(spark, zones, plan):
     assert "BroadcastHashJoin" in text
     assert "SortMergeJoin" not in text
     assert "BatchEvalPython" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_one_large_polygon_leaves_the_grid_of_small_ones(spark):
+    from starloom.operators.spatial import polygon_levels
+
+    rows = [(i, [(i, 0.0, i + 1.0, 0.0), (i + 1.0, 0.0, i, 1.0), (i, 1.0, float(i), 0.0)]) for i in range(50)]
+    rows.append((50, [(0.0, 0.0, 900.0, 0.0), (900.0, 0.0, 0.0, 900.0), (0.0, 900.0, 0.0, 0.0)]))
+    frame = spark.createDataFrame(
+        [(i, i, "Z", "B", [tuple(map(float, e)) for e in edges]) for i, edges in rows],
+        f"ord bigint, location_id int, zone string, borough string, edges {EDGE_DDL}",
+    )
+    levels, size = polygon_levels(frame, ["zone"], ["ord"])
+    assert levels == [0, 5] and size > 0
