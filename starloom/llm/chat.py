@@ -62,7 +62,7 @@ def prefix_targets(
         F.struct(
             F.col(f"`{turn_col}`").alias("turn"),
             role.alias("role"),
-            escape(text).alias("body"),
+            text.alias("text"),
         ).alias("said"),
     )
     talks = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("said")).alias("said"))
@@ -75,7 +75,7 @@ def prefix_targets(
     )
     marked = talks.withColumn(
         "marked",
-        F.transform("said", lambda s: F.concat(opening(s["role"]), s["body"], F.lit("</s>"))),
+        F.transform("said", lambda s: F.concat(opening(s["role"]), escape(s["text"]), F.lit("</s>"))),
     ).withColumn("ends", ends)
     each = marked.select("conv_id", "said", "marked", F.explode("ends").alias("target"))
     context = F.array_join(F.slice("marked", 1, F.col("target") - 1), "")
@@ -85,7 +85,7 @@ def prefix_targets(
         "target",
         (F.col("target") >= F.size("said")).alias("covers_all"),
         F.concat(context, F.when(last.isNotNull(), opening(last["role"])).otherwise("")).alias("before"),
-        last["body"].alias("reply"),
+        escape(last["text"]).alias("reply"),
     )
     return parts.select(
         "conv_id",

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import shared_dir
+from starloom.session import shared_dir, work_path
 
 #: Characters that separate words: blank and the ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -51,6 +51,17 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As :func:`settled`, through Parquet files, for steps that repeat.
+
+    A checkpoint hands on size estimates, which joins multiply: from round to round they
+    would grow beyond all bounds. Files have sizes of their own.
+    """
+    path = work_path(df.sparkSession, "round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

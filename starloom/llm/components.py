@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import settled
+from starloom.llm.common import stored
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -20,7 +20,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the shared folder. Self-loops, repeated edges and nulls are ignored.
     """
     a, b = F.col("a"), F.col("b")
-    tree = settled(
+    tree = stored(
         edges.filter((a != b) & a.isNotNull() & b.isNotNull())
         .select(F.greatest(a, b).alias("v"), F.least(a, b).alias("p"))
         .distinct()
@@ -31,23 +31,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             roots = tree.select(F.col("p").alias("id"), F.col("p").alias("component")).distinct()
             return tree.select(F.col("v").alias("id"), F.col("p").alias("component")).unionByName(roots)
         both = tree.unionByName(tree.select(F.col("p").alias("v"), F.col("v").alias("p")))
-        lowest = settled(both.groupBy("v").agg(F.min(F.least("v", "p")).alias("m")))
+        lowest = stored(both.groupBy("v").agg(F.min(F.least("v", "p")).alias("m")))
         large = (
             both.join(lowest.withColumnRenamed("v", "k"), F.col("v") == F.col("k"))
             .filter(F.col("p") > F.col("v"))
             .select(F.col("p").alias("v"), F.col("m").alias("p"))
         )
         # roots keep their place: a vertex without larger neighbours hangs on its minimum
-        large = settled(
+        large = stored(
             large.unionByName(lowest.filter("v != m").select("v", F.col("m").alias("p"))).distinct()
         )
-        parent = settled(large.groupBy("v").agg(F.min("p").alias("m")))
+        parent = stored(large.groupBy("v").agg(F.min("p").alias("m")))
         moved = (
             large.join(parent.withColumnRenamed("v", "k"), F.col("v") == F.col("k"))
             .filter(F.col("p") != F.col("m"))
             .select(F.col("p").alias("v"), F.col("m").alias("p"))
         )
-        tree = settled(moved.unionByName(parent.select("v", F.col("m").alias("p"))).distinct())
+        tree = stored(moved.unionByName(parent.select("v", F.col("m").alias("p"))).distinct())
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -196,45 +196,101 @@ def _candidates(reps: DataFrame, kind: str, least: int, crowded: int, block: int
 
 
 def _crossing(
-    reps: DataFrame, clusters: DataFrame, parts: DataFrame, tested: DataFrame, kind: str, least: int, block: int
+    reps: DataFrame,
+    clusters: DataFrame,
+    parts: DataFrame,
+    texts: DataFrame,
+    kind: str,
+    width: int,
+    percent: int,
+    least: int,
+    block: int,
 ) -> DataFrame:
-    """Untested pairs within a cluster whose confirmed parts differ and whose signatures allow a link."""
+    """Links between the parts into which a cluster of candidates fell apart on confirmation.
+
+    Every two documents of different parts whose signatures allow a link are compared on
+    full sets, best agreement first, until their parts are linked. The texts meet in
+    pairs of blocks; only links leave a task.
+    """
     named = clusters.withColumnRenamed("component", "cluster").join(
         parts.select(F.col("id").alias("i"), F.col("component").alias("part")), F.col("id") == F.col("i"), "left"
     )
     named = settled(named.select("id", "cluster", F.coalesce("part", "id").alias("part")))
-    broken = (
+    broken = settled(
         named.groupBy("cluster")
         .agg(F.count("*").alias("members"), F.min("part").alias("x"), F.max("part").alias("y"))
         .filter("x != y")
         .select(F.col("cluster").alias("c"), F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     )
-    broken = settled(broken)
-    members = named.join(broken, F.col("cluster") == F.col("c")).join(
-        reps.select("rep", "marks"), F.col("id") == F.col("rep")
+    members = settled(
+        named.join(broken, F.col("cluster") == F.col("c"))
+        .join(reps.select("rep", "marks"), F.col("id") == F.col("rep"))
+        .select("id", "cluster", "part", "marks", "blocks")
+    )
+    full = members.join(
+        texts.select(F.col("id").alias("t"), "text").filter(F.col("text") != ""), F.col("id") == F.col("t")
     )
     keys = ["cluster", "lo", "hi"]
-    dealt = _blocked(members, "id", "blocks").select(*keys, "mine", "id", "part", "marks")
+    dealt = _blocked(full, "id", "blocks").select(*keys, "mine", "id", "part", "marks", "text")
 
     def cross(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_group(batches, keys, 2_000):
+        for frame in by_group(batches, keys, 400):
             for (_, lo, hi), at in frame.groupby(keys, sort=False).indices.items():
-                if len(at) < 2:
+                ids, part, mine = (frame[c].to_numpy()[at] for c in ("id", "part", "mine"))
+                if (part == part[0]).all():
                     continue
-                ids, parts, mine = (frame[c].to_numpy()[at] for c in ("id", "part", "mine"))
+                sets = shingle_sets(list(frame["text"].iloc[at]), width)
                 codes = np.frombuffer(b"".join(frame["marks"].iloc[at]), dtype=np.uint8).reshape(len(at), _VALUES)
-                a, b = np.flatnonzero(mine == lo), np.flatnonzero(mine == hi)
-                for start in range(0, len(a), 64):
-                    some = a[start : start + 64]
-                    near = (_agreement(codes[some], codes[b]) >= least) & (parts[some][:, None] != parts[b][None, :])
-                    i, j = np.nonzero(near)
-                    if len(i):
-                        yield pd.DataFrame({"a": ids[some[i]], "b": ids[b[j]]})
-
-    found = _ordered(
-        dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(cross, f"a {kind}, b {kind}")
-    )
-    return settled(found.join(tested.select(F.col("a").alias("p"), F.col("b").alias("q")), (F.col("a") == F.col("p")) & (F.col("b") == F.col("q")), "left_anti"))
+                found = _link_parts(
+                    part, np.flatnonzero(mine == lo), np.flatnonzero(mine == hi), codes, sets, percent, least
+                )
+                if found:
+                    yield pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"])
+
+    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(cross, f"a {kind}, b {kind}")
+    return settled(found)
+
+
+def _link_parts(
+    part: np.ndarray, a: np.ndarray, b: np.ndarray, codes: np.ndarray, sets: list[np.ndarray], percent: int, least: int
+) -> list[tuple[int, int]]:
+    """Confirmed links between rows ``a`` and ``b`` of different parts; linked parts count as one."""
+    root = {p: p for p in part}
+
+    def find(p):
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    left, right, seen = [], [], []
+    for start in range(0, len(a), 64):
+        some = a[start : start + 64]
+        agree = _agreement(codes[some], codes[b])
+        i, j = np.nonzero((agree >= least) & (part[some][:, None] != part[b][None, :]))
+        left.append(some[i])
+        right.append(b[j])
+        seen.append(agree[i, j])
+    if not left:
+        return []
+    left, right = np.concatenate(left), np.concatenate(right)
+    order = np.argsort(-np.concatenate(seen), kind="stable")
+    found = []
+    for i, j in zip(left[order], right[order], strict=True):
+        p, q = find(part[i]), find(part[j])
+        if p != q and _similar(sets[i], sets[j], percent):
+            root[p] = q
+            found.append((i, j))
+    return found
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * common >= percent * united, for sorted sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _confirmed(
@@ -257,11 +313,10 @@ def _confirmed(
         )
     )
     wanted = salted.select("cluster", "salt", F.explode(F.array("a", "b")).alias("want")).distinct()
-    none = F.lit(None)
     keyed = texts.join(wanted, F.col("id") == F.col("want")).select(
-        "cluster", "salt", F.col("id").alias("a"), none.cast(kind).alias("b"), "text"
+        "cluster", "salt", F.col("id").alias("a"), F.col("id").alias("b"), "text"
     )
-    asked = salted.select("cluster", "salt", "a", "b", none.cast("string").alias("text"))
+    asked = salted.select("cluster", "salt", "a", "b", F.lit(None).cast("string").alias("text"))
     keys = ["cluster", "salt"]
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,13 +329,7 @@ def _confirmed(
                 ask = at[~text[at]]
                 kept = []
                 for a, b in zip(frame["a"].to_numpy()[ask], frame["b"].to_numpy()[ask], strict=True):
-                    a, b = type(a)(a), type(a)(b)
-                    x, y = sets[a], sets[b]
-                    both = len(x) + len(y)
-                    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                        continue
-                    union = len(np.unique(np.concatenate([x, y])))
-                    if 100 * (both - union) >= percent * union:
+                    if _similar(sets[a], sets[b], percent):
                         kept.append((a, b))
                 if kept:
                     yield pd.DataFrame(kept, columns=["a", "b"])
@@ -357,10 +406,9 @@ def near_duplicates(
     texts = source.filter(F.col("id").isNotNull())
     links = _confirmed(first, clusters, texts, kind, width, percent, salt_rows)
     parts = settled(components(links))
-    more = _crossing(reps, clusters, parts, first, kind, least, block)
+    more = _crossing(reps, clusters, parts, texts, kind, width, percent, least, block // 2)
     if not more.isEmpty():
-        links = links.unionByName(_confirmed(more, clusters, texts, kind, width, percent, salt_rows))
-        parts = settled(components(links))
+        parts = settled(components(links.unionByName(more)))
     named = settled(
         classes.join(parts, F.col("rep") == F.col("id"), "left").select(
             "set", F.coalesce("component", "rep").alias("component")
