@@ -11,8 +11,9 @@ Candidates are then confirmed on full sets, recomputed from the texts. A
 spanning tree is enough where its links hold. Where a cluster of candidates
 falls apart on confirmation, all its pairs across the parts that could reach the
 threshold are confirmed too, so no link is lost to the tree's choice. Crowded
-regions and clusters are cut into blocks, so no task holds a whole group; equal
-sets are one class, and copies are never paired.
+regions and clusters are cut into blocks, so no task holds a whole group. Equal
+sets are one class with a number of its own, signature and text are those of one
+of its rows, and only classes are paired; ids come back in at the end.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import settled, python_ready, text_of
+from starloom.llm.common import python_ready, settled, stored, text_of
 from starloom.llm.components import by_group, components
 
 _TREES = 20
@@ -338,33 +339,23 @@ def _confirmed(
     return settled(rows.mapInPandas(confirm, f"a {kind}, b {kind}"))
 
 
-def near_duplicates(
-    docs: DataFrame,
-    width: int = 5,
-    percent: int = 80,
-    crowded: int = 2048,
-    block: int = 512,
-    salt_rows: int = 128,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+def _row_key(id_: Column, text: Column) -> Column:
+    """Equal for rows of one id (or no id) and one text."""
+    return F.concat(F.md5(text), F.lit(":"), F.coalesce(id_.cast("string"), F.lit("null")))
 
-    Linked are documents with 100 * common >= percent * united shingles. Null
-    texts and texts without words have no shingles and link with nothing. A
-    repeated id is judged row by row; its rows with the same text share a class.
-    A null id links with nothing and is kept. Empty tables give an empty result;
-    other columns are not read. Ids are whole numbers.
 
-    A signature has 120 values in 20 trees. A pair at the threshold is missed by
-    every tree with a chance of 3 in 100,000 at depth 4, 2 in 1,000 at depth 6
-    (crowded regions), where its cluster then offers it again.
+def _grouped(
+    source: DataFrame, width: int, percent: int, crowded: int, block: int, salt_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Facts of every row of source (id, text, key), and the component of every set.
+
+    Facts: id, n, digest. Sets: set (a digest), lowest (struct none, id, key: the first
+    row of its component, by id with null last). Ids play no part in linking.
     """
-    python_ready(docs.sparkSession)
+    python_ready(source.sparkSession)
     # agreement of signatures at the threshold, less four standard deviations
     share = percent / 100
     least = int(_VALUES * share - 4 * (_VALUES * share * (1 - share)) ** 0.5)
-    source = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     kind = dict(source.dtypes)["id"]
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -382,42 +373,83 @@ def near_duplicates(
                     marks[k], keys[k] = bytes_[row].tobytes(), regions[row]
                     digests[k] = xxhash.xxh3_128_digest(sets[k].tobytes())
             yield pd.DataFrame(
-                {"id": batch["id"], "n": [len(s) for s in sets], "digest": digests, "marks": marks, "keys": keys}
-            )
+                {
+                    "id": batch["id"], "key": batch["key"], "n": [len(s) for s in sets],
+                    "digest": digests, "marks": marks, "keys": keys,
+                }
+            )
 
+    # ids travel as text: pandas would turn whole numbers with nulls into doubles
     facts = settled(
-        source.filter(F.col("id").isNotNull()).mapInPandas(
-            describe, f"id {kind}, n long, digest binary, marks binary, keys array<bigint>"
-        )
+        source.withColumn("id", F.col("id").cast("string"))
+        .mapInPandas(describe, "id string, key string, n long, digest binary, marks binary, keys array<bigint>")
+        .withColumn("id", F.col("id").cast(kind))
     )
+    first_row = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     classes = settled(
         facts.filter(F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min("id").alias("rep"))
-        .select(F.col("digest").alias("set"), "rep")
-    )
-    reps = settled(
-        facts.join(classes, (F.col("digest") == F.col("set")) & (F.col("id") == F.col("rep"))).select(
-            "rep", "marks", "keys"
-        )
+        .agg(F.min(first_row).alias("row"), F.first("marks").alias("marks"), F.first("keys").alias("keys"))
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("digest").alias("set"), "row", "marks", "keys")
     )
-    first = _candidates(reps, kind, least, crowded, block)
+    reps = classes.select("rep", "marks", "keys")
+    first = _candidates(reps, "long", least, crowded, block)
     clusters = settled(components(first))
-    texts = source.filter(F.col("id").isNotNull())
-    links = _confirmed(first, clusters, texts, kind, width, percent, salt_rows)
+    wanted = clusters.join(classes, F.col("id") == F.col("rep")).select("rep", F.col("row.key").alias("want"))
+    texts = stored(
+        source.groupBy("key").agg(F.first("text").alias("text"))
+        .join(wanted, F.col("key") == F.col("want"))
+        .select(F.col("rep").alias("id"), "text")
+    )
+    links = _confirmed(first, clusters, texts, "long", width, percent, salt_rows)
     parts = settled(components(links))
-    more = _crossing(reps, clusters, parts, texts, kind, width, percent, least, block // 2)
+    more = _crossing(reps, clusters, parts, texts, "long", width, percent, least, block // 2)
     if not more.isEmpty():
         parts = settled(components(links.unionByName(more)))
-    named = settled(
-        classes.join(parts, F.col("rep") == F.col("id"), "left").select(
-            "set", F.coalesce("component", "rep").alias("component")
-        )
+    placed = settled(
+        classes.select("rep", "set", "row")
+        .join(parts, F.col("rep") == F.col("id"), "left")
+        .select("set", "row", "component")
+    )
+    lowest = settled(
+        placed.filter(F.col("component").isNotNull())
+        .groupBy(F.col("component").alias("c"))
+        .agg(F.min("row").alias("first"))
     )
-    linked = (
-        facts.select("id", "n", "digest")
-        .join(named, F.col("digest") == F.col("set"), "left")
-        .select("id", "n", F.coalesce("component", "id").alias("component"))
+    sets = placed.join(lowest, F.col("component") == F.col("c"), "left").select(
+        "set", F.coalesce("first", "row").alias("lowest")
+    )
+    return facts.select("id", "n", "digest"), settled(sets)
+
+
+def near_duplicates(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    crowded: int = 2048,
+    block: int = 512,
+    salt_rows: int = 128,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Linked are documents with 100 * common >= percent * united shingles. Null
+    texts and texts without words have no shingles and link with nothing. A
+    repeated id is judged row by row: each row has the component of its own text,
+    named by the smallest id in it. A null id links with nothing and is kept. Empty tables give an empty result;
+    other columns are not read. Ids are whole numbers.
+
+    A signature has 120 values in 20 trees. A pair at the threshold is missed by
+    every tree with a chance of 3 in 100,000 at depth 4, 2 in 1,000 at depth 6
+    (crowded regions), where its cluster then offers it again.
+    """
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    kind = dict(source.dtypes)["id"]
+    known = source.filter(F.col("id").isNotNull()).withColumn("key", _row_key(F.col("id"), F.col("text")))
+    facts, sets = _grouped(known, width, percent, crowded, block, salt_rows)
+    linked = facts.join(sets, F.col("digest") == F.col("set"), "left").select(
+        "id", "n", F.coalesce("lowest.id", "id").alias("component")
     )
     bare = source.filter(F.col("id").isNull())
 

@@ -115,6 +115,22 @@ def test_near_documents_edge_cases(spark):
     assert neardup.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_near_documents_pair_classes_not_rows(spark, monkeypatch):
+    rng = random.Random(11)
+    one, two = ([f"w{rng.randrange(4000)}" for _ in range(120)] for _ in range(2))
+    near = lambda words: " ".join([*words[:-1], "other"])
+    rows = [(1, near(one)), (5, " ".join(one)), (5, " ".join(two)), (9, near(two))]
+    rows += [(7, near(one) + " more")] * 300
+    seen = []
+    candidates = neardup._candidates
+    monkeypatch.setattr(neardup, "_candidates", lambda reps, *a: seen.append(reps.count()) or candidates(reps, *a))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert seen == [5]
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
+        (1, 1, True), (5, 1, False), (5, 5, True), *[(7, 1, False)] * 300, (9, 5, False),
+    ]
+
+
 def test_signatures_of_long_sets_equal_those_in_parts():
     values = np.random.default_rng(1).integers(0, 2**63, 70_000).astype(np.uint64)
     long = neardup.signatures([np.unique(values)])[0]
