@@ -8,21 +8,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.catalog.base import table
 from starloom.llm import classifier, mixing, neardup, packing, rules
 from starloom.session import work_path
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones."""
-    scored = classifier.score_documents(docs, table(spark, sf_dir, "labels"))
-    return _kept(docs, scored.filter("predicted = 1").select(F.col("doc_id").alias("kept_id")))
+    scored = classifier.score_documents(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
+    return scored.filter("predicted = 1").select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
-    judged = neardup.near_duplicates(docs)
-    return _kept(docs, judged.filter("kept").select(F.col("doc_id").alias("kept_id")))
+    """One row of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    return neardup.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import let, python_ready, settled, text_of, word_array
+from starloom.llm.common import let, python_ready, settled, stored, text_of, word_array
 
 FEATURES = (
     "words", "word_length", "symbols", "marks", "capitals", "digits", "stops",
@@ -129,8 +129,9 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row.
+    """doc_id (unless kept), the ``keep`` columns, held_out, score, predicted of every row.
 
     Labels are learnt from the rows that are not held out, by id; labels other
     than 0 and 1, or of unknown ids, are not used. Neither labels nor ids enter a
@@ -139,9 +140,13 @@ def score_documents(
     of both classes every score is 0.5. Empty tables give an empty result; columns
     other than the named ones are not read.
     """
-    facts = settled(
-        docs.select(F.col(f"`{id_col}`").alias("id"), statistics(text_of(text_col)).alias("x"))
+    facts = docs.select(
+        F.col(f"`{id_col}`").alias("id"),
+        *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)],
+        statistics(text_of(text_col)).alias("x"),
     )
+    # whole texts are kept as compressed files
+    facts = stored(facts) if keep else settled(facts)
     known = labels.select(
         F.col(f"`{id_col}`").alias("k"), F.col(f"`{label_col}`").cast("int").alias("label")
     ).filter(F.col("label").isin(0, 1) & ~held_out(F.col("k")))
@@ -154,7 +159,8 @@ def score_documents(
 
     python_ready(docs.sparkSession, 10_000)
     scored = facts.select(
-        F.col("id").alias(id_col),
+        *([] if id_col in keep else [F.col("id").alias(id_col)]),
+        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)],
         held_out(F.col("id")).alias("held_out"),
         (F.lit(0.5) if model is None else score("x")).alias("score"),
     )

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import python_ready, settled, stored, text_of
@@ -465,3 +465,37 @@ def near_duplicates(
         F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    crowded: int = 2048,
+    block: int = 512,
+    salt_rows: int = 128,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of docs, as they are, with one row left of each group of near-duplicates.
+
+    Groups are those of :func:`near_duplicates`, but rows without an id take part. Left is
+    the row with the smallest id (null last); among repeated rows of one id and text the
+    first by the other columns, which must have an order. Texts without words link with
+    nothing: one row is left for each id, and one for all without an id.
+    """
+    id_, text = F.col(f"`{id_col}`"), text_of(text_col)
+    source = docs.select(id_.alias("id"), text.alias("text"))
+    source = source.withColumn("key", _row_key(F.col("id"), F.col("text")))
+    _, sets = _grouped(source, width, percent, crowded, block, salt_rows)
+    picks = sets.select(F.col("lowest.key").alias("picked key")).distinct()
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    key = F.when(worded, _row_key(id_, text)).otherwise(_row_key(id_, F.lit("")))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    place = F.row_number().over(Window.partitionBy("row key").orderBy(*others, F.col(f"`{text_col}`")))
+    rows = docs.withColumn("row key", key).withColumn("row place", place).filter("`row place` = 1")
+    return (
+        rows.join(picks, F.col("row key") == F.col("picked key"), "left")
+        .filter(F.col("picked key").isNotNull() | ~worded)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    )
