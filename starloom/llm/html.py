@@ -4,8 +4,9 @@ A tree builder with implied end tags makes elements of the tags; visibility
 rules (element, ``hidden``, inline style, simple ``<style>`` rules, closed
 details) take out what a reader would not see; the rest is laid out: blocks on
 lines of their own, blank lines around paragraphs, headings, lists and tables,
-markers for list items, table cells in aligned columns. No visible text is
-dropped. Pages are rendered one by one in Arrow batches.
+markers for list items, table cells in aligned columns. Labels of drawings
+(svg) and formulas (math) are inline text. No visible text is dropped, but for
+what a drawing shows by reference (``use``). Pages are rendered one by one in Arrow batches.
 """
 
 from __future__ import annotations
@@ -26,7 +27,21 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset(("script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title"))
 UNSEEN = frozenset(
     ("head", "title", "script", "style", "template", "noscript", "iframe", "object", "canvas", "audio",
-     "video", "noembed", "noframes", "datalist", "svg", "math", "param", "rp")
+     "video", "noembed", "noframes", "datalist", "param", "rp")
+)
+#: Parts of drawings and formulas that are never shown in place.
+FOREIGN_UNSEEN = frozenset(
+    ("title", "desc", "defs", "metadata", "style", "script", "annotation", "annotation-xml", "symbol",
+     "clippath", "mask", "marker", "pattern", "filter")
+)
+#: Labels and cells that stand apart from their neighbours; the parts of a fraction do so too.
+_APART = frozenset(("text", "mtd", "mtr", "mlabeledtr"))
+#: HTML starts again inside these elements of a drawing or formula.
+_HTML_INSIDE = frozenset(("foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"))
+#: Start tags that end an open drawing or formula (fixed values of the HTML standard).
+_BREAKS_OUT = frozenset(
+    ("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+     "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var").split()
 )
 SPACED = frozenset(
     ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "figure",
@@ -69,6 +84,8 @@ class Element:
     tag: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)
+    foreign: bool = False
+    """Part of a drawing (svg) or formula (math)."""
 
 
 class TreeBuilder:
@@ -96,6 +113,10 @@ class TreeBuilder:
         if page.startswith("<!--", at):
             end = page.find("-->", at + 4)
             return len(page) if end < 0 else end + 3
+        if page.startswith("<![CDATA[", at) and self.in_foreign():
+            end = page.find("]]>", at + 9)
+            self.open[-1].children.append(page[at + 9 :] if end < 0 else page[at + 9 : end])
+            return len(page) if end < 0 else end + 3
         closing = page.startswith("</", at)
         name = _NAME.match(page, at + 1 + closing)
         if name is None:
@@ -119,11 +140,16 @@ class TreeBuilder:
         if len(inside) > 1:
             for key, a, b, c in _ATTRIBUTE.findall(inside[:-1]):
                 attributes.setdefault(key.lower(), unescape(a or b or c))
-        self.start(tag, attributes)
-        if tag in RAW:
+        closed = inside.endswith("/>")
+        self.start(tag, attributes, closed)
+        if tag in RAW and not (closed and self.in_foreign()):
             return self.raw(page, end, tag)
         return end
 
+    def in_foreign(self) -> bool:
+        """Whether a tag here belongs to a drawing or formula."""
+        return self.open[-1].foreign and self.open[-1].tag not in _HTML_INSIDE
+
     def raw(self, page: str, at: int, tag: str) -> int:
         close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
         body = page[at : close.start()] if close else page[at:]
@@ -142,7 +168,7 @@ class TreeBuilder:
     def close_up_to(self, ends: set[str], fences: set[str]) -> None:
         for k in range(len(self.open) - 1, 0, -1):
             tag = self.open[k].tag
-            if tag in fences:
+            if tag in fences or (self.open[k].foreign and tag in _HTML_INSIDE):
                 return
             if tag in ends:
                 del self.open[k:]
@@ -150,7 +176,9 @@ class TreeBuilder:
                 self.close_up_to(ends, fences)
                 return
 
-    def start(self, tag: str, attributes: dict[str, str]) -> None:
+    def start(self, tag: str, attributes: dict[str, str], closed: bool = False) -> None:
+        while tag in _BREAKS_OUT and self.in_foreign():
+            self.open.pop()
         if tag == "html" or (tag == "body" and any(e.tag == "body" for e in self.open)):
             return
         if tag not in _HEAD_ONLY and self.open[-1].tag == "head":
@@ -159,9 +187,12 @@ class TreeBuilder:
             self.close_up_to({"p"}, {"table", "td", "th", "button", "object", "caption"})
         if tag in _IMPLIED:
             self.close_up_to(*_IMPLIED[tag])
-        element = Element(tag, attributes)
+        foreign = tag in ("svg", "math") or self.in_foreign()
+        element = Element(tag, attributes, foreign=foreign)
         self.open[-1].children.append(element)
-        if tag not in VOID and len(self.open) < _MAX_DEPTH:
+        if foreign and closed:
+            return
+        if (foreign or tag not in VOID) and len(self.open) < _MAX_DEPTH:
             self.open.append(element)
 
     def end(self, tag: str) -> None:
@@ -258,6 +289,8 @@ class Renderer:
         a = element.attributes
         if element.tag in UNSEEN or "hidden" in a:
             return False, False
+        if element.foreign and element.tag in FOREIGN_UNSEEN:
+            return False, False
         if element.tag == "dialog" and "open" not in a:
             return False, False
         if not a and not self.rules:
@@ -270,6 +303,8 @@ class Renderer:
                 "#" + a.get("id", "").lower(),
             ):
                 style.update(self.rules.get(selector, {}))
+        if element.foreign:  # these may stand as attributes there, below any rule
+            style = {k: a[k].strip().lower() for k in ("display", "visibility") if k in a} | style
         if "style" in a:
             style.update(_declared(a["style"]))
         if style.get("display") == "none":
@@ -299,7 +334,9 @@ class Renderer:
         if not laid_out:
             return
         tag = e.tag
-        if tag == "br":
+        if e.foreign:
+            self.drawing(e, out, shown)
+        elif tag == "br":
             out.end_line(always=True)
         elif tag == "pre" or tag == "textarea" or tag == "xmp":
             out.block(True)
@@ -334,6 +371,21 @@ class Renderer:
         else:
             self.children(e, out, shown)
 
+    def drawing(self, e: Element, out: Lines, shown: bool) -> None:
+        """Text of a drawing or formula, inline."""
+        if e.tag in _APART:
+            out.word(" ")
+        for child in e.children:
+            if isinstance(child, str):
+                if shown:
+                    out.word(child)
+                continue
+            self.element(child, out, shown)
+            if e.tag == "mfrac":
+                out.word(" ")
+        if e.tag in _APART:
+            out.word(" ")
+
     def items(self, e: Element, out: Lines, shown: bool) -> None:
         """A list: markers before the items, their further lines indented under the text."""
         number = _whole(e.attributes.get("start"), 1)

@@ -115,6 +115,17 @@ def test_layout():
     assert html.render(PAGE) == TEXT
 
 
+DRAWN = """<p>Sales <svg viewBox="0 0 9 9"><title>no</title><desc>no</desc><metadata>no</metadata><style/>
+<defs><text>no</text></defs><style>.q {display:none}</style><script>no</script><path d="M0 0"/><g><text x="1">North</text><text>South
+<tspan>East</tspan></text></g><text class="q">no</text><text display="none">no</text><text><![CDATA[a < b]]></text>
+<foreignObject><div>inner</div></foreignObject></svg> end<p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac>
+</mrow><annotation encoding="TeX">no</annotation></semantics></math> hold<p><svg><text>open<p>after <desc>seen</desc>"""
+
+
+def test_drawings_and_formulas_are_inline_text():
+    assert html.render(DRAWN) == "Sales North South East a < b\ninner\nend\n\nLet x=1 2 hold\n\nopen\n\nafter seen"
+
+
 @pytest.mark.parametrize(
     "page",
     ["", "<", "<a", '<a href="x', "</", "<div>" * 3000 + "deep", "<table>" * 300 + "<tr><td>z", "<" * 5000, "<a " * 3000,
