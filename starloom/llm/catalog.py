@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.catalog.base import Query, table
-from starloom.llm import chat, classifier, html, mixing, neardup, nearvectors, packing, rules, tokens, urls
+from starloom.llm import chat, classifier, digests, html, mixing, neardup, nearvectors, packing, rules, tokens, urls
 
 ALL: dict[str, Query] = {}
 
@@ -223,3 +223,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *[F.col(f"counts.{n}").alias(n) for n in names], "base_failed", "kept")
+
+
+@_query()
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.edit_with_next(table(spark, sf_dir, "documents"))
