@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.catalog.base import Query, table
-from starloom.llm import chat, classifier, digests, html, mixing, neardup, nearvectors, packing, rules, tokens, urls
+from starloom.llm import (
+    alignment, chat, classifier, digests, html, mixing, neardup, nearvectors, packing, rules, tokens, urls, whitening,
+)
 
 ALL: dict[str, Query] = {}
 
@@ -225,6 +227,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"counts.{n}").alias(n) for n in names], "base_failed", "kept")
 
 
+@_query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@_query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+    return told.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @_query()
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.edit_with_next(table(spark, sf_dir, "documents"))
