@@ -10,10 +10,14 @@ from starloom.catalog.base import Registry
 from starloom.catalog.storage import zone_document
 from starloom.functions.dates import timestamp_to_epoch_ms
 from starloom.operators.sinks import write_csv_quoted
+from starloom.operators.publish import current, read_published
+from starloom.operators.quality import DataQualityError
 from starloom.plans import city, music
 from starloom.plans.model import drop_model
 from starloom.plans.pipelines import run_city_pipeline, run_lake_pipeline, run_music_pipeline
+from starloom.schemas import MUSIC_MODEL
 from starloom.session import work_path
+from starloom.streaming.refresh import refresh_music_by_batch
 
 QUERIES = Registry()
 
@@ -25,9 +29,11 @@ _ONE_SONG = """one_song AS (SELECT * FROM songs QUALIFY 1 = row_number() OVER (
 @QUERIES.add(f"""
 WITH {inputs.EVENTS_SQL}, {inputs.SONGS_SQL},
 known AS (SELECT song_id, title, artist_name, min(year) < 2010 AS early FROM songs GROUP BY ALL),
-play AS (SELECT * FROM log WHERE page = 'NextSong')
-SELECT DISTINCT 'songplays' AS loaded, "sessionId" AS number, ts AS millis, song_id AS name
-FROM play LEFT JOIN known ON song = title AND artist = artist_name AND (early OR level = 'paid')
+play AS (SELECT * FROM log WHERE page = 'NextSong'),
+one_play AS (SELECT DISTINCT "sessionId", ts, "userId", "itemInSession", song, artist, length, level, location,
+  "userAgent" FROM play)
+SELECT 'songplays' AS loaded, "sessionId" AS number, ts AS millis, song_id AS name
+FROM one_play LEFT JOIN known ON song = title AND artist = artist_name AND (early OR level = 'paid')
 UNION ALL SELECT DISTINCT 'users', "userId", NULL, "firstName" FROM play
 UNION ALL SELECT DISTINCT 'songs', NULL, NULL, song_id FROM songs
 UNION ALL SELECT DISTINCT 'artists', NULL, NULL, artist_id FROM songs
@@ -70,6 +76,107 @@ def music_refresh_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ODD_LOG_SQL = """
+odd AS (
+  SELECT * REPLACE (CASE WHEN "userId" % 10 = 3 THEN NULL ELSE "sessionId" END AS "sessionId") FROM log
+  UNION ALL
+  SELECT * REPLACE ("itemInSession" + 100 AS "itemInSession",
+    CASE WHEN "userId" % 10 = 3 THEN NULL ELSE "sessionId" END AS "sessionId") FROM log WHERE "userId" % 4 = 1)"""
+
+
+def _odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log without some sessions, and with two items in one millisecond of others."""
+    log = inputs.events(spark, sf_dir)
+    more = log.where("userId % 4 = 1").withColumn("itemInSession", F.col("itemInSession") + 100)
+    session = F.when(F.col("userId") % 10 != 3, F.col("sessionId"))
+    return log.unionByName(more).withColumn("sessionId", session)
+
+
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    """Keys of all published rows of the music tables."""
+    manifest = current(spark, root)
+
+    def rows(name: str, number: str | None, item: str | None, millis: str | None, text: str | None) -> DataFrame:
+        found = read_published(spark, root, name, MUSIC_MODEL[name], manifest)
+        return found.select(
+            F.lit(name).alias("loaded"),
+            (F.col(number) if number else F.lit(None)).cast("bigint").alias("number"),
+            (F.col(item) if item else F.lit(None)).cast("bigint").alias("other"),
+            (timestamp_to_epoch_ms(F.col(millis)) if millis else F.lit(None)).cast("bigint").alias("millis"),
+            (F.col(text) if text else F.lit(None)).cast("string").alias("name"),
+        )
+
+    return (
+        rows("songplays", "session_id", "user_id", "start_time", "song_id")
+        .unionByName(rows("users", "user_id", None, None, "first_name"))
+        .unionByName(rows("songs", None, None, None, "song_id"))
+        .unionByName(rows("artists", None, None, None, "artist_id"))
+        .unionByName(rows("time", None, None, "start_time", None))
+    )
+
+
+def _published_sql(known: str, wanted: str) -> str:
+    """known: songs that were published when a play was loaded; wanted: plays that are published."""
+    return f"""
+WITH {inputs.EVENTS_SQL}, {inputs.SONGS_SQL}, {_ODD_LOG_SQL},
+known AS (SELECT song_id, title, artist_name, min(year) < 2010 AS early FROM songs GROUP BY ALL),
+play AS (SELECT * FROM odd WHERE page = 'NextSong' AND ({wanted})),
+one_play AS (SELECT DISTINCT "sessionId", ts, "userId", "itemInSession", song, artist, length, level, location,
+  "userAgent" FROM play)
+SELECT 'songplays' AS loaded, "sessionId" AS number, "userId" AS other, ts AS millis, song_id AS name
+FROM one_play LEFT JOIN known ON song = title AND artist = artist_name AND ({known})
+UNION ALL SELECT DISTINCT 'users', "userId", NULL, NULL, "firstName" FROM play
+UNION ALL SELECT DISTINCT 'songs', NULL, NULL, NULL, song_id FROM known
+UNION ALL SELECT DISTINCT 'artists', NULL, NULL, NULL, 'A-' || artist_name FROM known
+UNION ALL SELECT DISTINCT 'time', NULL, NULL, ts, NULL FROM play
+"""
+
+
+@QUERIES.add(_published_sql("early OR level = 'paid'", "true"))
+def music_refresh_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of files, a third that repeats old plays, and an idle run.
+
+    Plays of one millisecond all stay; plays without a session come once. A play takes its song
+    from what was published when it was loaded.
+    """
+    root, logs, metadata = (work_path(spark, f"by_batch_{x}") for x in ("tables", "logs", "songs"))
+    log, songs = _odd_log(spark, sf_dir), inputs.songs(spark, sf_dir)
+    early = F.col("year") < 2010
+    for batch in ("free", "paid", "free", None):
+        if batch:
+            log.where(F.col("level") == batch).write.mode("append").json(logs)
+            songs.where(early if batch == "free" else ~early).write.mode("append").json(metadata)
+        refresh_music_by_batch(spark, logs, metadata, root, match_on=("title", "artist_name"))
+    return _published(spark, root)
+
+
+@QUERIES.add(_published_sql("early", "level = 'free'"))
+def failed_batch_leaves_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with plays without a user fails its checks: no table of it is published.
+
+    Songs are published by a stream of their own, and were good.
+    """
+    root, logs, metadata = (work_path(spark, f"failed_batch_{x}") for x in ("tables", "logs", "songs"))
+    log, songs = _odd_log(spark, sf_dir), inputs.songs(spark, sf_dir)
+    early = F.col("year") < 2010
+    for batch in ("free", "paid", None):
+        if batch:
+            rows = log.where(F.col("level") == batch)
+            if batch == "paid":
+                rows = rows.withColumn("userId", F.when(F.col("userId") % 5 != 0, F.col("userId")))
+            rows.write.mode("append").json(logs)
+            songs.where(early if batch == "free" else ~early).write.mode("append").json(metadata)
+        try:
+            refresh_music_by_batch(spark, logs, metadata, root, match_on=("title", "artist_name"))
+        except DataQualityError:
+            if batch == "free":
+                raise
+        else:
+            if batch != "free":
+                raise RuntimeError("the failing batch was published")
+    return _published(spark, root)
+
+
 @QUERIES.add(f"""
 WITH {inputs.EVENTS_SQL}, {inputs.SONGS_SQL}, {_ONE_SONG}
 SELECT ts AS millis, "userId" AS user_id, "sessionId" AS session_id, song_id,

@@ -14,3 +14,8 @@ def hash_key(*columns: Column, separator: str = "") -> Column:
             parts.append(F.lit(separator))
         parts.append(column.cast("string"))
     return F.md5(F.concat(*parts))
+
+
+def row_key(*columns: Column) -> Column:
+    """md5 of the columns' names and values, never NULL: NULLs are values of their own."""
+    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))

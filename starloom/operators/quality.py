@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -19,13 +19,14 @@ REPORT_COLUMNS = ["table_name", "check_name", "column_name", "row_count", "faile
 
 @dataclass(frozen=True)
 class CheckSpec:
-    """Checks on one table: not empty always, plus those named here."""
+    """Checks on one table: not empty unless said otherwise, plus those named here."""
 
     table_name: str
     not_null: Sequence[str] = ()
     unique: Sequence[Sequence[str]] = ()
     references: Sequence[tuple[str, str, str]] = field(default_factory=tuple)
     """(column, parent table, parent column)"""
+    may_be_empty: bool = False
 
 
 def _report(df: DataFrame, table: str, checks: Sequence[tuple[str, str, Column, Column]]) -> DataFrame:
@@ -101,11 +102,93 @@ def check_references(
     return _report(counts, table, [("references", column, F.col("_failed"), F.col("_failed") == 0)])
 
 
-def run_checks(spark: SparkSession, specs: Sequence[CheckSpec | dict], fail: bool = True) -> DataFrame:
+def _text_of(column: Column) -> Column:
+    return column.cast("string")
+
+
+def check_table(df: DataFrame, spec: CheckSpec, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """All checks of ``spec`` on ``df`` in one scan of it and one of each parent.
+
+    Every row gives one entry per unique key and reference, tagged with its check, and
+    one that carries the NULL flags. A first aggregate counts equal entries, already before
+    the shuffle, so neither a hot key nor the carriers travel row by row; a second one
+    counts what failed. Parent values join in as entries without rows. ``parents`` gives
+    parent tables that are not, or not yet, in the catalog.
+    """
+    spark = df.sparkSession
+    parents = parents or {}
+
+    def entry(tag: int, parts: Sequence[Column]) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), F.array(*parts).cast("array<string>").alias("value"))
+
+    first_reference = 1 + len(spec.unique)
+    entries = [entry(0, [])]
+    entries += [entry(i, [_text_of(F.col(f"`{k}`")) for k in keys]) for i, keys in enumerate(spec.unique, start=1)]
+    known = []
+    for tag, (column, parent, parent_column) in enumerate(spec.references, start=first_reference):
+        values = (parents[parent] if parent in parents else spark.table(parent)).select(
+            F.col(f"`{parent_column}`").alias("v")
+        )
+        # both sides as text of one type, as a join would compare them
+        kind = df.select(F.col(f"`{column}`").alias("v")).limit(0).union(values.limit(0)).schema["v"].dataType
+        entries.append(entry(tag, [_text_of(F.col(f"`{column}`").cast(kind))]))
+        known.append(values.where(F.col("v").isNotNull()).select(entry(tag, [_text_of(F.col("v").cast(kind))]).alias("e")))
+    nulls = [f"_null_{i}" for i in range(len(spec.not_null))]
+    rows = df.select(
+        *[F.col(f"`{c}`").isNull().alias(n) for c, n in zip(spec.not_null, nulls, strict=True)],
+        F.explode(F.array(*entries)).alias("e"),
+    ).select("e.*", F.lit(1).cast("long").alias("n"), F.lit(False).alias("known"), *nulls)
+    for values in known:
+        rows = rows.unionByName(
+            values.distinct().select(
+                "e.*", F.lit(0).cast("long").alias("n"), F.lit(True).alias("known"), *[F.lit(False).alias(n) for n in nulls]
+            )
+        )
+    counted = rows.groupBy("tag", "value").agg(
+        F.sum("n").alias("n"),
+        F.max("known").alias("known"),
+        *[F.count_if((F.col("tag") == 0) & F.col(n)).alias(n) for n in nulls],
+    )
+    tags = range(1, first_reference + len(spec.references))
+    failed = {
+        t: (F.col("n") > 1) if t < first_reference else ~F.col("known") & F.col("value")[0].isNotNull() for t in tags
+    }
+    totals = counted.agg(
+        F.coalesce(F.sum(F.when(F.col("tag") == 0, F.col("n"))), F.lit(0)).alias("_rows"),
+        *[F.coalesce(F.sum(F.when(F.col("tag") == 0, F.col(n))), F.lit(0)).alias(n) for n in nulls],
+        *[
+            F.coalesce(
+                F.sum(F.when((F.col("tag") == t) & failed[t], F.lit(1) if t < first_reference else F.col("n"))), F.lit(0)
+            ).alias(f"_failed_{t}")
+            for t in tags
+        ],
+    )
+
+    def passes(name: str, label: str, column: str) -> tuple[str, str, Column, Column]:
+        return (name, label, F.col(column), F.col(column) == 0)
+
+    checks = [("not_empty", "", F.lit(0), F.lit(spec.may_be_empty) | (F.col("_rows") > 0))]
+    checks += [passes("not_null", c, n) for c, n in zip(spec.not_null, nulls, strict=True)]
+    checks += [passes("unique", ",".join(keys), f"_failed_{t}") for t, keys in enumerate(spec.unique, start=1)]
+    checks += [
+        passes("references", column, f"_failed_{t}")
+        for t, (column, _, _) in enumerate(spec.references, start=first_reference)
+    ]
+    return _report(totals, spec.table_name, checks)
+
+
+def run_checks(
+    spark: SparkSession,
+    specs: Sequence[CheckSpec | dict],
+    fail: bool = True,
+    tables: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """Run table-driven checks and return the report; raise on failure when ``fail``.
 
     A spec may also be given as ``{"table_name": …, "not_null": column or columns}``.
+    ``tables`` gives rows to check under a name, in place of the catalog's table.
     """
+    tables = tables or {}
     reports: list[DataFrame] = []
     for spec in specs:
         if isinstance(spec, dict):
@@ -113,13 +196,8 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec | dict], fail: boo
             spec = CheckSpec(
                 **{**spec, "not_null": [wanted] if isinstance(wanted, str) else list(wanted)}
             )
-        df = spark.table(spec.table_name)
-        reports.append(check_columns(df, spec.table_name, spec.not_null))
-        reports += [check_unique(df, spec.table_name, keys) for keys in spec.unique]
-        reports += [
-            check_references(df, spec.table_name, column, spark.table(parent), parent_column)
-            for column, parent, parent_column in spec.references
-        ]
+        name = spec.table_name
+        reports.append(check_table(tables[name] if name in tables else spark.table(name), spec, tables))
     report = reduce(DataFrame.unionByName, reports)
     if not fail:
         return report

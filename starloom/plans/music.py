@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import calendar_parts, epoch_ms_to_timestamp
-from starloom.functions.keys import hash_key
+from starloom.functions.keys import hash_key, row_key
 from starloom.operators.joins import insert_new, skew_join
 from starloom.operators.keyed import dedupe_by_key, keyed_table
 from starloom.operators.ranking import top_k
@@ -103,6 +103,10 @@ def time_dim(
 # ---- fact ------------------------------------------------------------------------
 
 _MATCH_COLUMNS = {"title": "song", "artist_name": "artist", "duration": "length"}
+#: Log columns that make two plays one: a session may play two items in one millisecond.
+PLAY_IDENTITY = (
+    "sessionId", "ts", "userId", "itemInSession", "song", "artist", "length", "level", "location", "userAgent",
+)
 
 
 def enrich_plays(
@@ -173,9 +177,11 @@ def songplays(
 
     ``existing`` holds fact rows loaded earlier: plays whose ``new_by`` values occur
     there are skipped, before the song join. ``key`` adds ``songplay_id``: ``hash`` is
-    md5(session ‖ start time), ``dense`` is 0, 1, 2 … in a fixed order, ``row`` is
-    unique only, None adds none.
+    md5(session ‖ start time), ``event`` is md5 of all that tells a play (``PLAY_IDENTITY``,
+    never NULL, and there before the join, so ``new_by`` may name it), ``dense`` is 0, 1, 2 … in a
+    fixed order, ``row`` is unique only, None adds none.
     """
+    own = [row_key(*PLAY_IDENTITY).alias("songplay_id")] if key == "event" else []
     played = plays(events, page).select(
         epoch_ms_to_timestamp(F.col("ts"), whole_seconds).alias("start_time"),
         F.col("userId").alias("user_id"),
@@ -184,14 +190,16 @@ def songplays(
         "location",
         F.col("userAgent").alias("user_agent"),
         *[_MATCH_COLUMNS[name] for name in match_on],
+        *own,
     )
     if existing is not None:
         played = insert_new(played, existing, new_by)
     fact = enrich_plays(
         played, songs, match_on, how, duration_scale, hot, one_row_per_song
     ).select(
-        "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"
-    )
+        "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
+        *(["songplay_id"] if own else []),
+    )
     if distinct:
         fact = fact.distinct()
     if key == "hash":
@@ -200,7 +208,7 @@ def songplays(
         fact = dense_id(fact, fact.columns, "songplay_id")
     elif key == "row":
         fact = row_id(fact, "songplay_id")
-    elif key is not None:
+    elif key not in (None, "event"):
         raise ValueError(f"unknown key {key!r}")
     return fact
 

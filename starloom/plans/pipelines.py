@@ -47,10 +47,12 @@ def run_music_pipeline(
 
     Files are staged once each into folders under ``location``: a run takes what is new
     and keeps what earlier runs staged. With ``once_per_file`` off, all given files are
-    appended to the staging tables. Either way the fact takes every play whose session and
-    start time (to the millisecond) it does not hold yet, so a session may go on in
-    later runs and a repeated run adds nothing. Dimensions get rows of new keys
-    (``insert_new``), or are rebuilt from all staged rows (``replace``).
+    appended to the staging tables. Either way the fact takes every play that it does not
+    hold yet, known by all of its columns (``PLAY_IDENTITY``): a session may go on in later
+    runs, plays of one millisecond stay apart, and a repeated run adds nothing, also of plays
+    without a session. Dimensions get rows of new keys (``insert_new``), or are rebuilt
+    from all staged rows (``replace``). :func:`starloom.streaming.refresh.refresh_music_by_batch`
+    does the same without reading what was staged before.
     """
     create_model(spark, "music", database, location=location)
 
@@ -78,7 +80,8 @@ def run_music_pipeline(
         match_on=match_on,
         how="left",
         existing=spark.table(table("songplays")),
-        new_by=("session_id", "start_time"),
+        new_by=("songplay_id",),
+        key="event",
         whole_seconds=False,
     )
     rest = [c for c in fact.columns if c != "songplay_id"]
