@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
@@ -42,6 +41,8 @@ _FEW = BLOCK_DOCS // 16
 #: Units in the cache of a Python worker, and the longest unit that is kept there.
 _CACHE = 300_000
 _SHORT = 64
+#: Units that are encoded in one go.
+_JOINED = 256
 #: Units that are handled at a time, so that a very long text needs little memory.
 _PART = 200_000
 #: Characters with the Unicode property White_Space.
@@ -79,11 +80,22 @@ def unit_pattern(pieces: list[str]) -> re.Pattern | None:
     return re.compile(f"{blank}*{solid}(?:{joint}{solid})*(?:{joint}\\Z)?|{blank}+")
 
 
-def groups_of(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Tokens of either side through each common end, as running counts."""
-    common = np.intersect1d(np.array(a_ends), np.array(b_ends), assume_unique=True)
-    upto = [np.searchsorted(np.array(ends), common, side="right") for ends in (a_ends, b_ends)]
-    return list(zip(upto[0].tolist(), upto[1].tolist(), strict=True))
+class _Grown:
+    """An array that rows are appended to."""
+
+    def __init__(self, *shape: int) -> None:
+        self.room = np.zeros((1 << 12, *shape), dtype=np.int64)
+        self.used = 0
+
+    def add(self, rows: np.ndarray) -> None:
+        while self.used + len(rows) > len(self.room):
+            self.room = np.concatenate([self.room, np.zeros_like(self.room)])
+        self.room[self.used : self.used + len(rows)] = rows
+        self.used += len(rows)
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self.room[: self.used]
 
 
 class Aligner:
@@ -109,6 +121,7 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode()
             for k, p in enumerate(pieces)
         ]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
         self.blank = self.b.piece_to_id(_SPACE)
         self.pattern = unit_pattern([p for k, p in enumerate(pieces) if not self.b.is_byte(k)])
         if max(len(self.a_bytes), len(pieces)) >> _ID:
@@ -119,54 +132,124 @@ class Aligner:
     def _clear(self) -> None:
         self.known.clear()
         self.texts: list[str] = []  # groups of a unit, as written in the digest
-        self.facts: list[tuple[int, int, int, int, int]] = []  # n_a, n_b, n_groups, n_links, sound
-        self.keys: list[int] = []
-        self.links: list[int] = []
-        self.ends: list[int] = [0]
-        self._arrays = None
-
-    def _pieces(self, units: list[str]) -> list[list[int]]:
-        """Ids of B inside the text: a leading space is the one that B adds by itself."""
-        coded = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        out = []
-        for unit, ids in zip(units, coded, strict=True):
-            if unit == " ":
-                ids = [self.blank]
-            elif unit[0] != " ":
-                ids = ids[1:] if ids and ids[0] == self.blank else [0]
-            out.append(ids)
+        self.facts = _Grown(5)  # n_a, n_b, n_groups, n_links, sound
+        self.pairs = _Grown(2)  # key, links
+        self.ends = _Grown()
+        self.ends.add(np.zeros(1, dtype=np.int64))
+
+    def _one(self, unit: str) -> tuple[list[int], list[int]]:
+        """Ids of one unit. A leading space is the one that B adds by itself."""
+        a = self.a.encode(unit, add_special_tokens=False).ids
+        if unit == " ":
+            return a, [self.blank]
+        if unit[0] == " ":
+            return a, self.b.encode(unit[1:], num_threads=1)
+        b = self.b.encode(unit, num_threads=1)
+        return a, b[1:] if b and b[0] == self.blank else [0]
+
+    def _same(self, data: bytes, a: list[int], b: list[int]) -> bool:
+        """Whether both sides give the text back."""
+        return all(
+            b"".join(map(side.__getitem__, ids)) == data for side, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
+
+    def _encode(self, units: list[str]) -> tuple[list[str], list[np.ndarray], list[np.ndarray], list[str]]:
+        """Sound units in an order of their own, the ids of A and B of all of them, and the other units.
+
+        Units that a blank begins and no blank ends can stand one after the other without
+        changing each other's tokens, so many are encoded in one go.
+        """
+        regular = [u for u in units if u[0] in BLANKS and u[-1] not in BLANKS and len(u) <= _SHORT]
+        single = [u for u in units if u[0] not in BLANKS or u[-1] in BLANKS or len(u) > _SHORT]
+        sound: list[str] = []
+        of_a: list[np.ndarray] = []
+        of_b: list[np.ndarray] = []
+        parts = [regular[at : at + _JOINED] for at in range(0, len(regular), _JOINED)]
+        joined = ["a" + "".join(p) for p in parts]
+        coded = self.a.encode_batch_fast([" " + x for x in joined], add_special_tokens=False)
+        for part, text, found, b in zip(parts, joined, coded, self.b.encode(joined, num_threads=1), strict=True):
+            a = found.ids
+            stops = np.cumsum([2, *(len(u.encode()) for u in part)])
+            x, y = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+            ends = np.cumsum(self.a_sizes[x]), np.cumsum(self.b_sizes[y])
+            if self._same(b" " + text.encode(), a, b) and all(np.isin(stops, e, assume_unique=True).all() for e in ends):
+                sound += part
+                of_a.append(x[ends[0] > 2])
+                of_b.append(y[ends[1] > 2])
+            else:
+                single += part
+        odd = []
+        for unit in single:
+            a, b = self._one(unit)
+            if self._same(unit.encode("utf-8", "surrogatepass"), a, b):
+                sound.append(unit)
+                of_a.append(np.array(a, dtype=np.int64))
+                of_b.append(np.array(b, dtype=np.int64))
+            else:
+                odd.append(unit)
+        return sound, of_a, of_b, odd
+
+    def _align(self, units: list[str]) -> list[str]:
+        """Facts, digest texts and pairs of new units; returns them in the order of their numbers."""
+        sound, of_a, of_b, odd = self._encode(units)
+        if sound:
+            a, b = np.concatenate(of_a), np.concatenate(of_b)
+            a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+            common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            of_unit = np.searchsorted(np.cumsum([len(u.encode()) for u in sound]), common)
+            upto = [np.searchsorted(ends, common, side="right") for ends in (a_ends, b_ends)]
+            n_a, n_b = (np.diff(u, prepend=0) for u in upto)
+            n_groups = np.bincount(of_unit, minlength=len(sound))
+            first = np.cumsum(n_groups) - n_groups
+            facts = [np.add.reduceat(x, first) for x in (n_a, n_b, np.ones_like(n_a), n_a * n_b)]
+            self.facts.add(np.stack([*facts, np.ones(len(sound), dtype=np.int64)], axis=1))
+            self.texts += self._shown(a.tolist(), b.tolist(), n_a.tolist(), n_b.tolist(), n_groups.tolist())
+            self._link(a, b, upto[0] - n_a, upto[1] - n_b, n_a, n_b, of_unit, len(sound))
+        if odd:
+            self.facts.add(np.zeros((len(odd), 5), dtype=np.int64))
+            self.texts += [""] * len(odd)
+            self.ends.add(np.full(len(odd), self.pairs.used))
+        return sound + odd
+
+    @staticmethod
+    def _shown(a: list[int], b: list[int], n_a: list[int], n_b: list[int], n_groups: list[int]) -> list[str]:
+        shown, x, y = [], 0, 0
+        for m, n in zip(n_a, n_b, strict=True):
+            if m == n == 1:
+                shown.append(f"{a[x]}|{b[y]}")
+            else:
+                shown.append(f"{','.join(map(str, a[x : x + m]))}|{','.join(map(str, b[y : y + n]))}")
+            x, y = x + m, y + n
+        out, at = [], 0
+        for count in n_groups:
+            out.append(shown[at] if count == 1 else ";".join(shown[at : at + count]))
+            at += count
         return out
 
-    def _align(self, unit: str, a: list[int], b: list[int]) -> None:
-        data = unit.encode("utf-8", "surrogatepass")
-        of_a, of_b = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b]
-        if b"".join(of_a) != data or b"".join(of_b) != data:
-            self.texts.append("")
-            self.facts.append((0, 0, 0, 0, 0))
-            self.ends.append(len(self.keys))
-            return
-        if len(a) == 1 or len(b) == 1:
-            cuts = [(len(a), len(b))]
-        else:
-            a_ends, b_ends = np.cumsum([len(x) for x in of_a]), np.cumsum([len(x) for x in of_b])
-            cuts = groups_of(a_ends, b_ends)
-        shown, links = [], 0
-        pairs: Counter[int] = Counter()
-        x0 = y0 = 0
-        for x, y in cuts:
-            left, right = a[x0:x], b[y0:y]
-            shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            links += len(left) * len(right)
-            held = Counter(right).items()
-            for p, m in Counter(left).items():
-                for q, n in held:
-                    pairs[p << _ID | q] += m * n
-            x0, y0 = x, y
-        self.texts.append(";".join(shown))
-        self.facts.append((len(a), len(b), len(cuts), links, 1))
-        self.keys += pairs.keys()
-        self.links += pairs.values()
-        self.ends.append(len(self.keys))
+    def _link(
+        self, a: np.ndarray, b: np.ndarray, a_first: np.ndarray, b_first: np.ndarray,
+        n_a: np.ndarray, n_b: np.ndarray, of_unit: np.ndarray, units: int,
+    ) -> None:
+        """Distinct pairs of each unit with their links: every token of A with every one of B in its group."""
+        links = n_a * n_b
+        small = links <= 1024
+        many = links[small]
+        step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        width = np.repeat(n_b[small], many)
+        left = a[np.repeat(a_first[small], many) + step // width]
+        right = b[np.repeat(b_first[small], many) + step % width]
+        keys = [np.repeat(of_unit[small], many) << 2 * _ID | left << _ID | right]
+        amounts = [np.ones(len(step), dtype=np.int64)]
+        for g in np.flatnonzero(~small):
+            x, m = np.unique(a[a_first[g] : a_first[g] + n_a[g]], return_counts=True)
+            y, n = np.unique(b[b_first[g] : b_first[g] + n_b[g]], return_counts=True)
+            keys.append((of_unit[g] << 2 * _ID | x[:, None] << _ID | y[None, :]).ravel())
+            amounts.append((m[:, None] * n[None, :]).ravel())
+        key, amount = _added(np.concatenate(keys), np.concatenate(amounts))
+        counts = np.bincount(key >> 2 * _ID, minlength=units)
+        before = self.pairs.used
+        self.pairs.add(np.stack([key & ((1 << 2 * _ID) - 1), amount], axis=1))
+        self.ends.add(before + np.cumsum(counts))
 
     def units(self, text: str) -> Iterator[list[str]]:
         """Units of a space and the text, in parts."""
@@ -188,28 +271,13 @@ class Aligner:
         new = list(dict.fromkeys(u for part in parts for u in part if u not in known))
         own: dict[str, int] = {}
         for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            ids = [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-            for unit, a, b in zip(some, ids, self._pieces(some), strict=True):
-                (known if len(unit) <= _SHORT else own)[unit] = len(self.texts)
-                self._align(unit, a, b)
-        if new:
-            self._arrays = None
+            first = len(self.texts)
+            for number, unit in enumerate(self._align(new[at : at + 4096]), start=first):
+                (known if len(unit) <= _SHORT else own)[unit] = number
         if not own:
             return [list(map(known.__getitem__, part)) for part in parts]
         return [[own[u] if u in own else known[u] for u in part] for part in parts]
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Facts of units, and their pairs and links from ``ends[k]`` to ``ends[k + 1]``."""
-        if self._arrays is None:
-            self._arrays = (
-                np.array(self.facts, dtype=np.int64).reshape(-1, 5),
-                np.array(self.keys, dtype=np.int64),
-                np.array(self.links, dtype=np.int64),
-                np.array(self.ends, dtype=np.int64),
-            )
-        return self._arrays
-
 
 @lru_cache(maxsize=2)
 def _aligner(byte_path: str, piece_path: str) -> Aligner:
@@ -332,7 +400,7 @@ def index(
                             parts.append(part)
                             owner.append(k)
                 coded = aligner.code(parts)
-                facts, pair_keys, pair_links, ends = aligner.arrays()
+                facts, pairs, ends = aligner.facts.rows, aligner.pairs.rows, aligner.ends.rows
                 shown = aligner.texts
                 totals = np.zeros((len(texts), 4), dtype=np.int64)
                 sound = np.array([bool(t) and _SPACE not in t for t in texts])
@@ -363,7 +431,7 @@ def index(
                         sizes = ends[units + 1] - ends[units]
                         total = int(sizes.sum())
                         at_pair = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(ends[units], sizes)
-                        keys, links = _added(pair_keys[at_pair], pair_links[at_pair] * np.repeat(times, sizes))
+                        keys, links = _added(pairs[at_pair, 0], pairs[at_pair, 1] * np.repeat(times, sizes))
                         held.append((keys << _PLACE | place, links))
                         postings += len(keys)
                     place += 1

@@ -42,19 +42,16 @@ def grouped(tokens, text):
     whole = (" " + text).encode()
     if b"".join(x for _, x in left) != whole or b"".join(x for _, x in right) != whole:
         return None
-    ends = [set(np.cumsum([len(x) for _, x in side]).tolist()) for side in (left, right)]
-    out, at = [], 0
-    for stop in sorted(ends[0] & ends[1]):
-        group = []
-        for side in (left, right):
-            end, mine = 0, []
-            for k, x in side:
-                end += len(x)
-                if at < end <= stop:
-                    mine.append(k)
-            group.append(mine)
-        out.append(tuple(group))
-        at = stop
+    out, sizes = [], [0, 0]
+    rest = [left[::-1], right[::-1]]
+    while rest[0] or rest[1]:
+        group = ([], [])
+        while not group[0] or sizes[0] != sizes[1]:
+            side = 0 if sizes[0] <= sizes[1] else 1
+            k, x = rest[side].pop()
+            group[side].append(k)
+            sizes[side] += len(x)
+        out.append(group)
     return out
 
 
