@@ -28,12 +28,19 @@ def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple, str] = {}
+
+
+def _input_state(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """Names, sizes and times of the files of some tables; no content is read."""
+    files = spark.read.option("recursiveFileLookup", "true").format("binaryFile")
+    listed = files.load([f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]).select("path", "length", "modificationTime")
+    return tuple(sorted(tuple(r) for r in listed.collect()))
 
 
 def _crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The crash dimension of located crashes; they are located once and stored for all reports."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The crash dimension of located crashes; they are located once per state of the input files."""
+    key = (spark.sparkContext.applicationId, sf_dir, _input_state(spark, sf_dir, "orders", "nation", "region"))
     if key not in _stored:
         path = work_path(spark, "crashes_located")
         write_parquet(_located(spark, sf_dir), path)

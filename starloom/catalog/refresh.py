@@ -12,7 +12,7 @@ from starloom.functions.dates import timestamp_to_epoch_ms
 from starloom.operators.sinks import write_csv_quoted
 from starloom.operators.publish import current, read_published
 from starloom.operators.quality import DataQualityError
-from starloom.plans import city, music
+from starloom.plans import city, daily, music
 from starloom.plans.model import drop_model
 from starloom.plans.pipelines import run_city_pipeline, run_lake_pipeline, run_music_pipeline
 from starloom.schemas import MUSIC_MODEL
@@ -214,7 +214,7 @@ def city_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv_quoted(inputs.raw_trips(spark, sf_dir), trips)
     write_csv_quoted(inputs.raw_crashes(spark, sf_dir), crashes)
     write_csv_quoted(inputs.zone_lookup(spark, sf_dir), zones)
-    zone_document(spark, sf_dir).write.text(polygons)
+    zone_document(inputs.zone_polygons(spark, sf_dir)).write.text(polygons)
     spark.sql(f"DROP TABLE IF EXISTS {_DATABASE}.crashes_located") if spark.catalog.databaseExists(_DATABASE) else None
     run_city_pipeline(spark, trips, crashes, zones, polygons, _DATABASE, location=place)
 
@@ -233,9 +233,12 @@ def city_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add(f"""
 WITH {inputs.CRASHES_SQL},
+kept AS (
+  SELECT * REPLACE (CASE WHEN persons_injured = 1 THEN NULL ELSE longitude END AS longitude) FROM crashes
+  WHERE latitude IS NOT NULL OR persons_injured <> 1),
 zoned AS (
-  SELECT CASE WHEN latitude IS NOT NULL THEN n_nationkey END AS location_key, persons_injured
-  FROM crashes LEFT JOIN nation
+  SELECT CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN n_nationkey END AS location_key, persons_injured
+  FROM kept LEFT JOIN nation
     ON longitude > n_nationkey % 5 * 20 AND longitude < n_nationkey % 5 * 20 + 20
    AND latitude > n_nationkey // 5 * 20 AND latitude < n_nationkey // 5 * 20 + 20)
 SELECT CAST(location_key AS BIGINT) AS location_key, count(*) AS crashes,
@@ -243,10 +246,14 @@ SELECT CAST(location_key AS BIGINT) AS location_key, count(*) AS crashes,
 FROM zoned GROUP BY ALL
 """)
 def crashes_with_either_coordinate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crashes per zone when one known coordinate is enough to be kept, without a zone then."""
-    crashes = city.clean_crashes(
-        inputs.raw_crashes(spark, sf_dir), required=("crash_date",), any_of=("latitude", "longitude", "collision_id")
+    """Crashes per zone when one known coordinate is enough to be kept, without a zone then.
+
+    Some lack the latitude, some the longitude; those that lack both are dropped.
+    """
+    raw = inputs.raw_crashes(spark, sf_dir).withColumn(
+        "LONGITUDE", F.when(F.col("NUMBER OF PERSONS INJURED") != "1", F.col("LONGITUDE"))
     )
+    crashes = city.clean_crashes(raw, required=("crash_date",), any_of=("latitude", "longitude"))
     located = city.locate_crashes(crashes, inputs.zone_polygons(spark, sf_dir))
     return located.groupBy(F.col("taxi_zone.location_id").alias("location_key")).agg(
         F.count(F.lit(1)).alias("crashes"), F.sum("persons_injured").alias("injured")
@@ -261,3 +268,71 @@ def time_dim_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times to the millisecond."""
     times = music.time_dim(inputs.events(spark, sf_dir), whole_seconds=False)
     return times.select(timestamp_to_epoch_ms(F.col("start_time")).alias("millis"), "hour")
+
+
+_ROLLED_SQL = f"""
+WITH {inputs.TRIPS_SQL}, {inputs.CRASHES_SQL}
+SELECT 'trips' AS loaded, date_key, vendor_key AS first, pickup_location_key AS second, drop_off_location_key AS third,
+  trip_count AS rolled, passenger_count AS people, total_payment_amount AS amount, NULL AS labels
+FROM trip_fact
+UNION ALL
+SELECT 'crashes', date_key, location_key, NULL, NULL, crash_count, person_injury_count,
+  CAST(person_kill_count AS DOUBLE), array_to_string(list_concat(list_concat(contributing_factor_list, ['/']),
+    list_concat(list_concat(impacted_participant_list, ['/']), vehicle_type_list)), '|')
+FROM crash_dim
+"""
+
+
+@QUERIES.add(_ROLLED_SQL)
+def daily_refresh_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips and crashes that come in two batches: the second rebuilds only the years it touches.
+
+    The second batch comes twice, as after a failure. Files of other years must be the same
+    before and after.
+    """
+    roots = {name: work_path(spark, f"daily_{name}") for name in ("trips", "crashes")}
+    trips, crashes = inputs.raw_trips(spark, sf_dir), inputs.raw_crashes(spark, sf_dir)
+    polygons = inputs.zone_polygons(spark, sf_dir)
+    late_trips = (F.year("tpep_pickup_datetime") == 1996) & (F.col("passenger_count") > 20)
+    late_crashes = F.col("CRASH DATE").rlike("^0[1-3]/.*/1996$") & (F.col("NUMBER OF PERSONS INJURED") != "0")
+
+    def files(name: str) -> set:
+        stored = spark.read.parquet(f"{roots[name]}/table")
+        return {tuple(r) for r in stored.select("_period", "_metadata.file_path").distinct().collect()}
+
+    merge = {
+        "trips": lambda rows, batch: daily.merge_trips(rows, roots["trips"], batch, "year"),
+        "crashes": lambda rows, batch: daily.merge_crashes(rows, polygons, roots["crashes"], batch, "year"),
+    }
+    for name, rows, late in (("trips", trips, late_trips), ("crashes", crashes, late_crashes)):
+        late = F.coalesce(late, F.lit(False))
+        merge[name](rows.where(~late), 0)
+        before = files(name)
+        for _ in range(2):
+            touched = set(merge[name](rows.where(late), 1))
+        kept = {f for f in before if f[0] not in touched}
+        if kept != {f for f in files(name) if f[0] not in touched}:
+            raise RuntimeError(f"{name}: a file of an untouched year changed")
+    long = lambda c: F.col(c).cast("bigint") if c else F.lit(None).cast("bigint")
+
+    def rows_of(table: DataFrame, name: str, keys: tuple, counted: tuple, labels: object) -> DataFrame:
+        return table.select(
+            F.lit(name).alias("loaded"), long("date_key").alias("date_key"),
+            *[long(k).alias(n) for k, n in zip(keys, ("first", "second", "third"), strict=True)],
+            long(counted[0]).alias("rolled"), long(counted[1]).alias("people"),
+            F.col(counted[2]).cast("double").alias("amount"), labels.alias("labels"),
+        )
+
+    lists = F.concat(
+        "contributing_factor_list", F.array(F.lit("/")), "impacted_participant_list", F.array(F.lit("/")), "vehicle_type_list"
+    )
+    return rows_of(
+        daily.trip_table(spark, roots["trips"]), "trips",
+        ("vendor_key", "pickup_location_key", "drop_off_location_key"),
+        ("trip_count", "passenger_count", "total_payment_amount"), F.lit(None).cast("string"),
+    ).unionByName(
+        rows_of(
+            daily.crash_table(spark, roots["crashes"]), "crashes", ("location_key", None, None),
+            ("crash_count", "person_injury_count", "person_kill_count"), F.array_join(lists, "|"),
+        )
+    )

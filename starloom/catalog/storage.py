@@ -14,6 +14,8 @@ from starloom.catalog.base import Registry, table
 from starloom.operators.keyed import cluster_for_lookup, lookup
 from starloom.operators.sinks import (
     append_table,
+    create_bucketed,
+    insert_new_bucketed,
     insert_new_rows,
     load_dimension,
     load_fact,
@@ -25,7 +27,9 @@ from starloom.operators.sinks import (
     write_csv_quoted,
     write_parquet,
 )
+from starloom.operators.ranking import preview
 from starloom.operators.spatial import locate_points
+from starloom.operators.surrogate import append_with_identity
 from starloom.plans import city, music
 from starloom.plans.model import create_model, data_dictionary
 from starloom.schemas import LOOKUP_MODEL, PLAY_LOG_COLUMNS, STAGING_EVENTS
@@ -175,14 +179,14 @@ def csv_trip_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips as CSV text, read through a file-name pattern and rolled up."""
     path = work_path(spark, "trips")
     inputs.raw_trips(spark, sf_dir).write.option("header", "true").csv(path)
-    return city.trip_fact(city.clean_trips(read_csv_strings(spark, f"{path}/part-*.csv")))
+    return city.trip_fact(city.clean_trips(read_csv_strings(spark, f"{path}/part-*.csv", multi_line=False)))
 
 
 # ---- GeoJSON ---------------------------------------------------------------------
 
 
-def zone_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zones as one FeatureCollection; 25 of them, so one row holds it."""
+def zone_document(zones: DataFrame) -> DataFrame:
+    """Zones as one FeatureCollection; 25 of them, so one row holds it."""
     corner = lambda e: F.array(e["x1"], e["y1"])
     ring = F.transform("edges", corner)
     closed = F.concat(ring, F.slice(ring, 1, 1))
@@ -201,7 +205,7 @@ def zone_document(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("}"),
         ).alias("text"),
     )
-    return inputs.zone_polygons(spark, sf_dir).agg(
+    return zones.agg(
         F.concat(
             F.lit('{"type":"FeatureCollection","features":['),
             F.array_join(F.transform(F.sort_array(F.collect_list(feature)), lambda f: f["text"]), ","),
@@ -222,7 +226,7 @@ GROUP BY ALL
 def geojson_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per zone, the zones read from a GeoJSON FeatureCollection."""
     path = work_path(spark, "geojson")
-    zone_document(spark, sf_dir).write.text(path)
+    zone_document(inputs.zone_polygons(spark, sf_dir)).write.text(path)
     zones = read_zone_polygons(spark, path)
     return (
         locate_points(inputs.event_points(spark, sf_dir), zones, "x", "y", alias="z")
@@ -422,3 +426,106 @@ def plain_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_parquet(orders.withColumn("o_orderstatus", F.lit("old")), path)
     write_parquet(orders, path)
     return read_parquet(spark, path)
+
+
+# ---- identities, lookups and inserts by storage ------------------------------------
+
+_NUMBERED = T.StructType([T.StructField("id", T.LongType()), T.StructField("o_orderkey", T.LongType())])
+
+
+@QUERIES.add("""
+WITH loads AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS load FROM orders)
+SELECT o_orderkey, row_number() OVER (ORDER BY load, o_orderkey) AS id FROM loads
+""")
+def identity_over_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in three loads, and one without rows: ids go on from load to load without a gap."""
+    name = _temporary_table(spark, "numbered_orders", _NUMBERED)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for status in ("F", "O", "none", "P"):
+        append_with_identity(orders.where(F.col("o_orderstatus") == status), name, "id", ["o_orderkey"], start=1)
+    return read_table(spark, name)
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_SQL},
+latest AS (
+  SELECT "userId", "sessionId", "itemInSession", artist, song FROM log WHERE artist <> ''
+  QUALIFY 1 = row_number() OVER (
+    PARTITION BY "userId", "sessionId", "itemInSession"
+    ORDER BY ts DESC, artist DESC, song DESC, "firstName" DESC, "lastName" DESC)
+),
+busiest AS (SELECT "userId" FROM latest GROUP BY ALL ORDER BY count(*) DESC, "userId" LIMIT 1)
+SELECT row_number() OVER (ORDER BY "sessionId", "itemInSession") - 1 AS place, "sessionId",
+       CAST("itemInSession" AS BIGINT) AS "itemInSession", artist, song
+FROM latest JOIN busiest USING ("userId")
+""")
+def bucketed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All songs of the user who has most, in the order in which their one file keeps them."""
+    name, path = f"{_DATABASE}.songs_by_user", work_path(spark, "songs_by_user")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_DATABASE}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    keyed = music.song_per_session(inputs.events(spark, sf_dir))
+    create_bucketed(keyed, name, ["userId"], ["sessionId", "itemInSession"], buckets=8, path=path)
+    stored = read_table(spark, name)
+    user = stored.groupBy("userId").count().orderBy(F.desc("count"), "userId").first()["userId"]
+    return lookup(stored, userId=user).select(
+        F.monotonically_increasing_id().alias("place"), "sessionId", "itemInSession", "artist", "song"
+    )
+
+
+@QUERIES.add("""
+SELECT c_custkey AS account, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS DOUBLE) AS balance,
+       CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'first' ELSE 'second' END AS load
+FROM customer
+""")
+def insert_new_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts of one segment, then twice all of them, into a table in buckets by account."""
+    name, path = f"{_DATABASE}.bucketed_accounts", work_path(spark, "bucketed_accounts")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_DATABASE}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    customer = table(spark, sf_dir, "customer")
+    rows = customer.select(
+        F.col("c_custkey").cast("int").alias("account"), F.col("c_name").alias("name"),
+        F.col("c_acctbal").cast("decimal(18,2)").alias("balance"), "c_mktsegment",
+    )
+    first = rows.where(F.col("c_mktsegment") == "AUTOMOBILE").drop("c_mktsegment")
+    create_bucketed(first.withColumn("load", F.lit("first")), name, ["account"], buckets=8, path=path)
+    for load in ("second", "third"):
+        insert_new_bucketed(rows.withColumn("load", F.lit(load)), name, ["account"])
+    return read_table(spark, name)
+
+
+@QUERIES.add("""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       CASE WHEN length(c_name) > 12 THEN c_name[:9] || '...' ELSE c_name END AS c_name,
+       c_mktsegment
+FROM customer ORDER BY customer.c_custkey LIMIT 20
+""")
+def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty customers, long values cut."""
+    return preview(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").orderBy("c_custkey"), 20, 12)
+
+
+@QUERIES.add(f"""
+WITH {inputs.AREAS_SQL}
+SELECT CASE WHEN n_nationkey IS NULL THEN NULL WHEN n_nationkey < 20 THEN 1000 + n_nationkey ELSE n_nationkey END AS location_id,
+       n_name AS zone, count(*) AS events
+FROM points
+LEFT JOIN nation ON x > n_nationkey % 5 * 20 AND x < n_nationkey % 5 * 20 + 20
+                AND y > n_nationkey // 5 * 20 AND y < n_nationkey // 5 * 20 + 20
+GROUP BY ALL
+""")
+def geojson_two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per zone from two overlapping GeoJSON files: where zones of both lie, that of the first file counts."""
+    path = work_path(spark, "geojson_two")
+    everything = inputs.zone_polygons(spark, sf_dir)
+    renumbered = everything.where("location_id < 20").withColumn("location_id", F.col("location_id") + 1000)
+    # the file that is written second comes first by its name
+    for folder, zones in (("b", everything), ("a", renumbered)):
+        zone_document(zones).write.text(f"{path}/{folder}")
+    zones = read_zone_polygons(spark, [f"{path}/a", f"{path}/b"])
+    return (
+        locate_points(inputs.event_points(spark, sf_dir), zones, "x", "y", alias="z")
+        .groupBy("z.location_id", "z.zone")
+        .agg(F.count(F.lit(1)).alias("events"))
+    )

@@ -20,9 +20,11 @@ from starloom.operators.quality import (
     require,
     run_checks,
 )
-from starloom.operators.ranking import top_k, top_n_per_group
+from starloom.operators.ranking import preview, top_k, top_n_per_group
 from starloom.operators.sinks import (
     append_table,
+    create_bucketed,
+    insert_new_bucketed,
     insert_new_rows,
     load_dimension,
     load_fact,
@@ -34,22 +36,25 @@ from starloom.operators.sinks import (
     write_parquet,
 )
 from starloom.operators.spatial import locate_points
-from starloom.operators.surrogate import dense_id, row_id
+from starloom.operators.surrogate import append_with_identity, dense_id, row_id
 
 __all__ = [
     "DataQualityError",
     "any_key_join",
     "append_table",
+    "append_with_identity",
     "casing_variants",
     "cluster_for_lookup",
     "collect_distinct_elements",
     "count_elements",
+    "create_bucketed",
     "dedupe_by_key",
     "dense_id",
     "duplicate_keys",
     "explode_keys",
     "global_count",
     "insert_new",
+    "insert_new_bucketed",
     "insert_new_rows",
     "keyed_table",
     "load_dimension",
@@ -59,6 +64,7 @@ __all__ = [
     "materialize",
     "numeric_labels",
     "overwrite_table",
+    "preview",
     "profile_nulls",
     "require",
     "row_id",

@@ -39,12 +39,22 @@ def collect_distinct_elements(
     ``arrays`` maps output name → input array column, ``measures`` maps output name → a
     numeric expression that is summed (use ``F.lit(1)`` for a row count).
 
-    One scan serves all arrays and measures: the elements of all arrays are exploded
-    into one column, tagged with their array, and one more row per input row carries the
-    measures. A hash aggregate first reduces them to distinct elements per group, so
-    what a group gathers is bounded by the vocabulary that ends up in its result.
+    One scan serves all arrays and measures, see :func:`element_partials`.
     """
     measures = dict(measures or {})
+    return lists_of_partials(element_partials(df, keys, arrays, measures), keys, arrays, measures)
+
+
+def element_partials(
+    df: DataFrame, keys: Sequence[str], arrays: Mapping[str, str], measures: Mapping[str, Column]
+) -> DataFrame:
+    """One row per group and distinct element, tagged with its array, and one that has the sums.
+
+    The elements of all arrays are exploded into one column, and one more row per input row
+    carries the measures. A hash aggregate reduces them to distinct elements per group, so
+    what a group gathers is bounded by the vocabulary that ends up in its result.
+    Partials of several inputs can be put together: sums add up, elements stay distinct.
+    """
 
     def tagged(column: str, tag: int) -> Column:
         present = F.coalesce(F.col(column), F.array().cast("array<string>"))
@@ -57,15 +67,19 @@ def collect_distinct_elements(
         *[expression.alias(f"_m_{name}") for name, expression in measures.items()],
         F.explode(F.concat(carrier, *parts)).alias("_item"),
     )
-    tag, element = F.col("_item.tag").alias("_tag"), F.col("_item.element").alias("_element")
-    distinct = (
+    return (
         items.where((F.col("_item.tag") < 0) | F.col("_item.element").isNotNull())
-        .select(*keys, *[f"_m_{name}" for name in measures], tag, element)
-        .groupBy(*keys, "_tag", "_element")
-        .agg(*[F.sum(F.when(F.col("_tag") < 0, F.col(f"_m_{name}"))).alias(f"_s_{name}") for name in measures],
+        .groupBy(*keys, F.col("_item.tag").alias("_tag"), F.col("_item.element").alias("_element"))
+        .agg(*[F.sum(F.when(F.col("_item.tag") < 0, F.col(f"_m_{name}"))).alias(f"_s_{name}") for name in measures],
              F.count(F.lit(1)).alias("_n"))
     )
-    return distinct.groupBy(*keys).agg(
+
+
+def lists_of_partials(
+    partials: DataFrame, keys: Sequence[str], arrays: Sequence[str] | Mapping[str, str], measures: Sequence[str] | Mapping[str, Column]
+) -> DataFrame:
+    """Sums and sorted lists per group, from partials that hold each element of a group once."""
+    return partials.groupBy(*keys).agg(
         *[F.sum(f"_s_{name}").alias(name) for name in measures],
         *[
             F.sort_array(F.collect_list(F.when(F.col("_tag") == tag, F.col("_element")))).alias(name)

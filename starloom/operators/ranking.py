@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,20 @@ def top_n_per_group(
 def top_k(df: DataFrame, measure: str, k: int, tie_break: Sequence[str]) -> DataFrame:
     """The ``k`` rows with the largest ``measure``; equal values are ordered by ``tie_break``."""
     return df.orderBy(F.col(measure).desc(), *tie_break).limit(k)
+
+
+def preview(df: DataFrame, n: int = 20, width: int = 20) -> DataFrame:
+    """The first ``n`` rows as text, each value cut to ``width`` characters; NULL is shown as ``NULL``.
+
+    What a notebook shows of a table: the limit reaches the scan, so only as many partitions
+    are read as are needed for ``n`` rows, and only the cut values come to the driver.
+    """
+    if width < 4:
+        raise ValueError("width must be 4 or more")
+
+    def shown(name: str) -> Column:
+        text = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("NULL"))
+        cut = F.concat(F.substring(text, 1, width - 3), F.lit("..."))
+        return F.when(F.length(text) > width, cut).otherwise(text).alias(name)
+
+    return df.limit(n).select(*[shown(c) for c in df.columns])

@@ -135,21 +135,95 @@ def upsert_buckets(
     """Upsert into a Parquet folder that is divided by a hash of the keys (``_bucket``).
 
     Only the divisions that the batch touches are read, merged and overwritten; the
-    files of all others stay. The folder is created by the first call. The merged rows
-    are checkpointed on shared storage before their divisions are replaced.
+    files of all others stay. The folder is created by the first call, which keeps its keys and
+    number of divisions beside the rows; a later call that names others is an error. The merged
+    rows are checkpointed on shared storage before their divisions are replaced.
     """
     spark = df.sparkSession
     shared_dir(spark)
+    layout = f"{path.rstrip('/')}/_layout"  # Spark's readers skip names that begin with "_"
     bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
     incoming = df.withColumn("_bucket", bucket)
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    kept = _read_or_none(spark, layout, "buckets int, keys array<string>")
+    if kept is None:
+        if _read_or_none(spark, path) is not None:
+            raise ValueError(f"{path} holds rows but not how they are divided")
+        spark.createDataFrame([(buckets, list(keys))], "buckets int, keys array<string>").write.json(layout)
         columns = [c for c in df.columns if c not in order_by or c in keys]
         target = incoming.select(*columns, "_bucket").limit(0)
+    else:
+        made = kept.first()
+        if (made["buckets"], made["keys"]) != (buckets, list(keys)):
+            raise ValueError(f"{path} is divided into {made['buckets']} by {made['keys']}, not {buckets} by {list(keys)}")
+        target = _read_or_none(spark, path)
+        if target is None:  # the first call died before it wrote rows
+            columns = [c for c in df.columns if c not in order_by or c in keys]
+            target = incoming.select(*columns, "_bucket").limit(0)
     touched = [r["_bucket"] for r in incoming.select("_bucket").distinct().collect()]  # at most ``buckets``
     old = target.where(F.col("_bucket").isin(touched))
     merged = upsert(old, incoming, keys, order_by).checkpoint()
     write_parquet(merged, path, ["_bucket"], dynamic=True)
+
+
+def _read_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """Parquet rows (JSON ones where a schema is given) of a folder, None where it has none."""
+    try:
+        return spark.read.parquet(path) if schema is None else spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def create_bucketed(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    clustering: Sequence[str] = (),
+    buckets: int = 64,
+    path: str | None = None,
+) -> None:
+    """Store rows in a table of ``buckets`` files by a hash of ``keys``, sorted by keys and clustering.
+
+    A lookup by all keys opens one file and finds its rows in clustering order; a join or
+    aggregate on the keys needs no shuffle of this table. All rows of one key are in one
+    file: for keys that hold a large share of the rows, :func:`cluster_for_lookup` cuts
+    them by range instead.
+    """
+    placed = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *clustering)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+
+
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str], list[str]] | None:
+    """Number of buckets, bucket columns and sort columns of a table, None where it has no buckets."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "Num Buckets" not in told:
+        return None
+
+    def names(text: str) -> list[str]:
+        return [n.strip().strip("`") for n in text.strip("[]").split(",") if n.strip()]
+
+    return int(told["Num Buckets"]), names(told["Bucket Columns"]), names(told.get("Sort Columns", ""))
+
+
+def insert_new_bucketed(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Append rows of new keys to a table that :func:`create_bucketed` made by the same keys.
+
+    The anti join reads the target bucket by bucket where it lies: only the incoming rows
+    are shuffled, to the target's buckets, and are written there. Of incoming rows with one key
+    all are kept, as by :func:`insert_new_rows`; a row with a NULL key is new.
+    """
+    spark = df.sparkSession
+    spec = bucket_spec(spark, table)
+    if spec is None or spec[1] != list(keys):
+        raise ValueError(f"{table} has no buckets by {list(keys)}")
+    buckets, _, order = spec
+    target = spark.table(table)
+    rows = align(df, target.schema)
+    # stored before the target gets files, which the anti join would otherwise meet
+    fresh = insert_new(rows.repartition(buckets, *[F.col(f"`{k}`") for k in keys]), target, keys).checkpoint()
+    placed = fresh.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    placed.write.mode("append").format("parquet").bucketBy(buckets, *keys).sortBy(*order).saveAsTable(table)

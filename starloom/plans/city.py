@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.arrays import flag_labels, label_array
@@ -142,27 +142,32 @@ def locate_crashes(crashes: DataFrame, polygons: DataFrame, **options: object) -
     return locate_points(crashes, polygons, "longitude", "latitude", alias="taxi_zone", **options)
 
 
-def crash_dim(located: DataFrame) -> DataFrame:
-    """Located crashes rolled up per day and zone, with their distinct labels."""
-    keyed = located.select(
+CRASH_LISTS = ("contributing_factor_list", "impacted_participant_list", "vehicle_type_list")
+
+
+def crash_measures() -> dict[str, Column]:
+    return {
+        "crash_count": F.lit(1),
+        "person_injury_count": F.col("persons_injured"),
+        "person_kill_count": F.col("persons_killed"),
+    }
+
+
+def keyed_crashes(located: DataFrame) -> DataFrame:
+    """What the roll-up of located crashes needs of them."""
+    return located.select(
         date_key(F.col("crash_date")).alias("date_key"),
         F.col("taxi_zone.location_id").alias("location_key"),
         "persons_injured",
         "persons_killed",
-        "contributing_factor_list",
-        "impacted_participant_list",
-        "vehicle_type_list",
+        *CRASH_LISTS,
     )
-    lists = ["contributing_factor_list", "impacted_participant_list", "vehicle_type_list"]
+
+
+def crash_dim(located: DataFrame) -> DataFrame:
+    """Located crashes rolled up per day and zone, with their distinct labels."""
     return collect_distinct_elements(
-        keyed,
-        ["date_key", "location_key"],
-        {name: name for name in lists},
-        {
-            "crash_count": F.lit(1),
-            "person_injury_count": F.col("persons_injured"),
-            "person_kill_count": F.col("persons_killed"),
-        },
+        keyed_crashes(located), ["date_key", "location_key"], {name: name for name in CRASH_LISTS}, crash_measures()
     )
 
 

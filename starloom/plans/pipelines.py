@@ -169,7 +169,7 @@ def run_city_pipeline(
     raw = {
         "zones": read_csv_strings(spark, zones_path),
         "crashes": read_csv_strings(spark, crashes_path),
-        "trips": read_csv_strings(spark, trips_path),
+        "trips": read_csv_strings(spark, trips_path, multi_line=False),  # no field holds a line break: files are split
     }
     overwrite_table(city.location_dim(raw["zones"]), table("location_dim"))
     overwrite_table(city.vendor_dim(spark), table("vendor_dim"))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import csv
+import io
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,23 +63,48 @@ def read_csv_strings(
     return _csv(spark, path, recursive, multi_line, names)
 
 
-def csv_headers(spark: SparkSession, path: Paths, recursive: bool = False) -> dict[str, list[str]]:
-    """Header line → files that begin with it. The driver gets one row per file, no data."""
-    lines = (
-        spark.read.option("recursiveFileLookup", str(recursive).lower())
-        .text(path if isinstance(path, str) else list(path))
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("place"),
-        )
-        .where("start = 0")
-    )
-    found: dict[str, list[str]] = {}
-    for row in lines.groupBy("file").agg(F.min_by("value", "place").alias("header")).collect():
-        found.setdefault(row["header"], []).append(row["file"])
-    return {header: sorted(files) for header, files in sorted(found.items())}
+#: Bytes of a file that are read at a time until its header is complete.
+_HEAD = 1 << 14
+
+
+def _header_of(spark: SparkSession, file: str) -> tuple[str, ...] | None:
+    """Names in the first record of a file; quoted line breaks belong to the record. None for an empty file."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(file)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+        source = stream if codec is None else codec.createInputStream(stream)
+        head = b""
+        while True:
+            part = bytes(source.readNBytes(_HEAD))
+            head += part
+            text = head.decode("utf-8", "ignore").removeprefix("\ufeff").lstrip("\r\n")
+            end = re.search(r'^(?:[^"\r\n]|"(?:[^"]|"")*")*(?=[\r\n])', text)
+            if end or not part:
+                record = end[0] if end else text
+                return tuple(next(csv.reader(io.StringIO(record, newline="")))) if record else None
+    finally:
+        stream.close()
+
+
+def csv_headers(spark: SparkSession, path: Paths, recursive: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """Column names → files that begin with them; of each file only the head is opened.
+
+    Files without a header are left out. The driver holds the names of the files, as Spark
+    itself does to plan a scan, and no data.
+    """
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    listed = reader.text(path if isinstance(path, str) else list(path)).inputFiles()
+    # as URIs, with blanks written as %20; readers take plain paths
+    files = sorted(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)).toString() for f in listed)
+    found: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, names in zip(files, pool.map(lambda f: _header_of(spark, f), files), strict=True):
+            if names:
+                found.setdefault(names, []).append(file)
+    return dict(sorted(found.items()))
 
 
 def merge_csv(
@@ -95,8 +123,7 @@ def merge_csv(
     NULL. ``with_source`` adds ``source_file`` so a caller can order rows of equal keys.
     """
     parts = []
-    for header, files in csv_headers(spark, path, recursive).items():
-        names = next(csv.reader([header]))
+    for names, files in csv_headers(spark, path, recursive).items():
         part = _csv(spark, files, False, multi_line, names)
         if with_source:
             part = part.withColumn("source_file", F.col("_metadata.file_path"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,18 +38,31 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def read_zone_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """FeatureCollection → ``ord`` (file order), ``location_id``, ``zone``, ``borough``, ``edges``.
+def read_zone_polygons(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """FeatureCollections → ``ord``, ``location_id``, ``zone``, ``borough``, ``edges``.
 
-    Polygon and MultiPolygon rings (outer rings and holes alike) are flattened into one
-    edge list: crossing parity needs no more. A FeatureCollection is a single JSON
-    document, so each file is parsed by one task; zone files are small by nature.
+    ``ord`` is a feature's place over all files: files by name, then features as they stand in the
+    file. So where zones overlap the first one of the first file comes first, however the
+    files are read. Polygon and MultiPolygon rings (outer rings and holes alike) are
+    flattened into one edge list: crossing parity needs no more. A FeatureCollection is a
+    single JSON document, so one task splits a file into features, once; their geometry
+    stays text there, and is parsed after features are dealt out over tasks.
     """
+    paths = path if isinstance(path, str) else list(path)
+    # names only, no content: one per file, as Spark keeps them to plan the scan
+    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("file"))
+    names = F.array(*[F.lit(r["file"]) for r in files.distinct().orderBy("file").collect()]).cast("array<string>")
     features = (
         spark.read.schema(_FEATURES)
         .option("multiLine", "true")
-        .json(path)
-        .select(F.posexplode("features").alias("ord", "feature"))
+        .json(paths)
+        .select(F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("place", "feature"))
+        .select(
+            # a file holds fewer than 2**31 features
+            (F.shiftleft((F.array_position(names, F.col("file")) - 1).cast("bigint"), 31) + F.col("place")).alias("ord"),
+            "feature",
+        )
+        .repartition("ord")
     )
     text = F.col("feature.geometry.coordinates")
     kind = F.col("feature.geometry.type")
@@ -57,7 +72,7 @@ def read_zone_polygons(spark: SparkSession, path: str) -> DataFrame:
     )
     props = F.col("feature.properties")
     return features.select(
-        F.col("ord").cast("bigint").alias("ord"),
+        "ord",
         props["location_id"].try_cast("int").alias("location_id"),
         props["zone"].alias("zone"),
         props["borough"].alias("borough"),
