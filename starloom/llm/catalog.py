@@ -203,13 +203,15 @@ again AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, x) > 1),
 rep AS (
   SELECT r, count(DISTINCT i + k) AS n FROM again CROSS JOIN (SELECT unnest(range(0, 8)) AS k) GROUP BY r),
 c AS (
-  SELECT d.doc_id, 1 AS one, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     len(regexp_extract_all(t, '[!?]')) AS n_marks,
     len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
     len(list_filter(w, lambda x: list_contains([{_STOPS}], x))) AS n_stop_words,
-    len(list_distinct(w)) AS n_distinct_words, len(l) AS n_lines,
+    coalesce(list_sum(list_transform(range(0, (len(w) + 999) // 1000),
+      lambda k: len(list_distinct(list_slice(w, k * 1000 + 1, k * 1000 + 1000))))), 0) AS n_distinct_words,
+    len(l) AS n_lines,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN rep USING (r)),

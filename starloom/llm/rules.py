@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection.
 
 The counts of a text (words, characters, symbols, lines, stop words, repeats)
-are plain column expressions, worked out once per row and kept in one struct.
+are plain column expressions, worked out once per row and kept in one struct
+with the verdict, so that a filter on the verdict, pushed below the projection, holds one copy of them.
 Each rule of the table compares 100 * one count with a whole percentage of
 another, so a verdict never depends on floating point. No user functions.
 """
@@ -26,6 +27,8 @@ STOP_WORDS = (
 #: A stop word counts in lower case and with a capital.
 STOP_FORMS = tuple(dict.fromkeys(form for word in STOP_WORDS for form in (word, word.capitalize())))
 _WINDOW = 8
+#: Words of a block in which distinct words are counted.
+BLOCK = 1000
 
 
 @dataclass(frozen=True)
@@ -39,9 +42,9 @@ class Rule:
     most: int | None = None
 
 
-#: Verdicts of the method. ``one`` is the constant 1, so such a rule bounds a plain count.
+#: Verdicts of the method. No rule bounds the length of a text from above: distinct words, of
+#: which a longer text has a smaller share, are counted per block of ``BLOCK`` words and added up.
 RULES = (
-    Rule("too_long", "n_words", "one", most=100 * 10_000_000),
     Rule("word_length", "word_chars", "n_words", least=200, most=1200),
     Rule("symbols", "n_symbols", "n_words", most=20),
     Rule("marks", "n_marks", "n_words", most=60),
@@ -103,6 +106,15 @@ def _repeat_words(words: Column) -> Column:
     )
 
 
+def _distinct_words(words: Column) -> Column:
+    """Distinct words of each block, added up."""
+    blocks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / BLOCK).cast("int"))
+    several = F.aggregate(
+        blocks, F.lit(0), lambda n, k: n + F.size(F.array_distinct(F.slice(words, k * BLOCK + 1, BLOCK)))
+    )
+    return F.when(F.size(words) <= BLOCK, F.size(F.array_distinct(words))).otherwise(several)
+
+
 def _occurrences(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("long")
 
@@ -115,14 +127,13 @@ def counts(text: Column) -> Column:
         return let(
             whole_lines,
             lambda rows: F.struct(
-                F.lit(1).cast("long").alias("one"),
                 F.size(words).cast("long").alias("n_words"),
                 (F.length(text) - _occurrences(text, r"[\x20\x09-\x0D]")).alias("word_chars"),
                 _occurrences(text, f"[{SYMBOLS}]").alias("n_symbols"),
                 _occurrences(text, "[!?]").alias("n_marks"),
                 _occurrences(text, r"\p{Lu}").alias("n_capitals"),
                 F.size(F.filter(words, lambda w: w.isin(*STOP_FORMS))).cast("long").alias("n_stop_words"),
-                F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
+                _distinct_words(words).cast("long").alias("n_distinct_words"),
                 F.size(rows).cast("long").alias("n_lines"),
                 (F.size(rows) - F.size(F.array_distinct(rows))).cast("long").alias("n_dup_lines"),
                 _repeat_words(words).cast("long").alias("n_repeat_words"),
@@ -132,14 +143,12 @@ def counts(text: Column) -> Column:
     return let(word_array(text), lambda words: of_words(words, F.split(text, "\n", -1)))
 
 
-def base_failed(counted: str = "counts") -> Column:
-    c = F.col(counted)
+def base_failed(c: Column) -> Column:
     return (c["n_words"] < 20) | (c["n_repeat_words"] * 100 > c["n_words"] * 30)
 
 
-def failures(rules: tuple[Rule, ...] = RULES, counted: str = "counts") -> Column:
-    """Names of the rules that fail, in the order of the table."""
-    c = F.col(counted)
+def failures(c: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Names of the rules that counts fail, in the order of the table."""
 
     def broken(rule: Rule) -> Column:
         tests = []
@@ -155,6 +164,23 @@ def failures(rules: tuple[Rule, ...] = RULES, counted: str = "counts") -> Column
     return F.array_compact(F.array(*map(broken, rules)))
 
 
+def judgement(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Struct of counts, base_failed, failed and kept; the counts are bound once."""
+
+    def verdict(c: Column) -> Column:
+        return let(
+            F.struct(base_failed(c).alias("base"), failures(c, rules).alias("failed")),
+            lambda v: F.struct(
+                c.alias("counts"),
+                v["base"].alias("base_failed"),
+                v["failed"].alias("failed"),
+                (~v["base"] & (F.size(v["failed"]) == 0)).alias("kept"),
+            ),
+        )
+
+    return let(counts(text), verdict)
+
+
 def judge(
     docs: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -171,13 +197,10 @@ def judge(
     read = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         *[F.col(f"`{c}`").alias(f"kept {i}") for i, c in enumerate(keep)],
-        counts(text_of(text_col)).alias("counts"),
+        judgement(text_of(text_col), rules).alias("judged"),
     )
     return read.select(
         *([] if id_col in keep else [F.col("id").alias(id_col)]),
         *[F.col(f"`kept {i}`").alias(c) for i, c in enumerate(keep)],
-        "counts",
-        base_failed().alias("base_failed"),
-        failures(rules).alias("failed"),
-        (~base_failed() & (F.size(failures(rules)) == 0)).alias("kept"),
+        *[F.col(f"judged.{c}").alias(c) for c in ("counts", "base_failed", "failed", "kept")],
     )

@@ -74,6 +74,27 @@ def test_rules_run_without_python(spark, plan):
     assert "Python" not in text and "Arrow" not in text
 
 
+def test_a_filter_on_the_verdict_holds_one_copy_of_the_counts(spark):
+    df = documents(spark, ["a"])
+    kept = rules.judge(df, keep=tuple(df.columns)).filter("kept").select(*df.columns)
+    text = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") == 2  # words and lines
+
+
+def test_length_alone_fails_no_text(spark):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(2000)] + ["the", "of"] * 100
+    long = " ".join(rng.choice(words) for _ in range(300_000))
+    poor = " ".join(rng.choice(words[:20] + ["the"]) for _ in range(5000))
+    got = rules.judge(documents(spark, [long, poor])).orderBy("doc_id").collect()
+    assert got[0]["kept"] and got[0]["failed"] == []
+    assert got[1]["failed"] == ["distinct_words"]
+    for row, text in zip(got, (long, poor), strict=True):
+        found = WORD.findall(text)
+        blocks = [found[k : k + rules.BLOCK] for k in range(0, len(found), rules.BLOCK)]
+        assert row["counts"]["n_distinct_words"] == sum(len(set(b)) for b in blocks)
+
+
 def test_rules_of_an_empty_table(spark):
     assert rules.judge(documents(spark, [])).collect() == []
 
