@@ -288,3 +288,19 @@ def locate_points_mixed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "edges", lambda e: F.struct(*[(e[c] * f).alias(c) for c in ("x1", "y1", "x2", "y2")])
     )
     return _located_events(spark, sf_dir, areas.withColumn("edges", grown))
+
+
+@QUERIES.add(f"""
+WITH {inputs.EVENTS_PILE_SQL},
+hits AS (
+  SELECT event_id, min(ord) AS ord FROM points JOIN pile ON x > px AND x < px + 8 AND y > py AND y < py + 8
+  GROUP BY event_id)
+SELECT event_id, ord AS location_id FROM points LEFT JOIN hits USING (event_id)
+""")
+def locate_points_in_a_pile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of equally large squares over one spot, one per order: crowded cells are split."""
+    points = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") * 7919 % 800).cast("double") / 64, (F.col("event_id") * 104729 % 800).cast("double") / 64
+    ).toDF("event_id", "x", "y")
+    located = locate_points(points, inputs.piled_squares(spark, sf_dir), "x", "y", alias="area")
+    return located.select("event_id", "area.location_id")

@@ -8,6 +8,10 @@ levels, four times apart, and each level has its grid. A (polygon, cell) pair is
 * boundary – an edge reaches the cell: its points are tested, but only against the
   edges that a ray through this cell can meet.
 
+A cell that more than a few polygons share is split in sixteen, and its parts again, two
+steps of a quadtree at a time: in small cells most polygons are inside ones, of which the first hides all that
+come later. So lists stay short where polygons pile up.
+
 A point falls into one cell per level and meets only the candidates of these cells, so
 the cost per point does not depend on the number of polygons or on their number of
 vertices, and a large polygon does not coarsen the grid of small ones. The result does
@@ -17,15 +21,21 @@ not depend on the grids.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import work_path
 
 _MARGIN = 1e-6
 _BROADCAST_BYTES = 64 * 1024 * 1024
 # cells along the longest polygon of a level; shorter ones have at least a quarter of it
 _CELLS = 4.0
+# candidates of a cell above which it is split, and how often
+_CROWDED = 32
+_DEPTH = 8
+_CELL = ["_level", "_depth", "_cx", "_cy"]
 
 
 def crossings(edges: Column, x: Column, y: Column) -> Column:
@@ -75,89 +85,168 @@ def _extent() -> Column:
     return F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
 
 
-def polygon_levels(
-    polygons: DataFrame, payload: Sequence[str], order_by: Sequence[str], cells: float = _CELLS
-) -> tuple[list[int], int]:
-    """Levels in use, and a bound on the bytes of the cut-up polygons; one pass.
+@dataclass(frozen=True)
+class PolygonGrid:
+    """Polygons cut along their grids, stored; built once, it serves any number of joins.
 
-    An edge is kept by at most all cells of its polygon, each of which holds the payload.
+    ``layers`` are the (level, depth) pairs in use, ``bytes`` bounds what a broadcast of all cells takes.
     """
-    pieces = int(cells + 2) ** 2
-    carried = F.octet_length(F.to_json(F.struct(*order_by, *payload)))
-    row = (
-        _boxes(polygons)
-        .where(_extent() > 0)
-        .agg(
-            F.collect_set(_level(_extent())).alias("levels"),
-            F.coalesce(F.sum((F.size("edges") * 32 + carried + 64) * pieces), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
-    return sorted(row["levels"]), row["bytes"]
 
+    cells: DataFrame
+    layers: tuple[tuple[int, int], ...]
+    bytes: int
+    per_level: float
+    payload: tuple[str, ...]
+    kind: str
 
-def grid_candidates(
-    polygons: DataFrame,
-    order_by: Sequence[str],
-    payload: Sequence[str],
-    cell_size: float,
-) -> DataFrame:
-    """Cell → candidates in ``order_by`` order, each with the edges that matter there.
+    def size_of(self, level: int, depth: int) -> float:
+        return 4.0 ** (level - depth) / self.per_level
+
+
+def _classified(pieces: DataFrame, size: Column) -> DataFrame:
+    """Pieces (cell and edges) that matter in their cell: ``_edges`` that do, NULL for inside ones.
 
-    The list of a cell is as long as the number of polygons of this level that overlap
-    in it, up to the first that fills it.
+    ``_edges`` comes in as a superset of what a ray through the cell can meet.
     """
-    size = F.lit(float(cell_size))
-    order = F.struct(*order_by)
-    # copies of one shape: only the first can ever be the answer
-    shapes = (
-        polygons.select(order.alias("_ord"), F.struct(*payload).alias("_zone"), "edges")
-        .groupBy("edges")
-        .agg(F.min(F.struct("_ord", "_zone")).alias("_first"))
-        .select("edges", "_first._ord", "_first._zone")
-    )
-    cells = (
-        _boxes(shapes)
-        .withColumn("_cx", F.explode(F.sequence(_cell(F.col("_x0"), cell_size), _cell(F.col("_x1"), cell_size))))
-        .withColumn("_cy", F.explode(F.sequence(_cell(F.col("_y0"), cell_size), _cell(F.col("_y1"), cell_size))))
-    )
     # cell bounds, widened a little so that rounding cannot lose an edge
     margin = size * _MARGIN
     left, right = F.col("_cx") * size - margin, (F.col("_cx") + 1) * size + margin
     bottom, top = F.col("_cy") * size - margin, (F.col("_cy") + 1) * size + margin
     band = F.filter(
-        "edges",
+        "_edges",
         lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom)
         & (F.least(e["y1"], e["y2"]) <= top)
         & (F.greatest(e["x1"], e["x2"]) >= left),
     )
     reached = F.exists("_band", lambda e: F.least(e["x1"], e["x2"]) <= right)
     centre_x, centre_y = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
-    classified = (
-        cells.withColumn("_band", band)
-        .withColumn("_boundary", reached)
-        .withColumn(
-            "_inside", ~F.col("_boundary") & (crossings(F.col("_band"), centre_x, centre_y) % 2 == 1)
-        )
-        .where("_boundary OR _inside")
+    whole = F.col("_edges").isNull()
+    odd = crossings(F.col("_band"), centre_x, centre_y) % 2 == 1
+    judged = pieces.withColumn("_band", band).withColumn("_boundary", ~whole & reached)
+    return judged.where(whole | F.col("_boundary") | odd).select(
+        *_CELL, "_ord", "_zone", F.when(F.col("_boundary"), F.col("_band")).alias("_edges")
     )
-    kept = classified.select(
-        "_cx", "_cy", "_ord", "_zone", "_inside", F.when(F.col("_boundary"), F.col("_band")).alias("_edges")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """df through files on the shared storage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _first_level(polygons: DataFrame, order_by: Sequence[str], payload: Sequence[str], per_level: float) -> DataFrame:
+    """Every polygon's cells on the grid of its level."""
+    boxed = _boxes(polygons).where(_extent() > 0).withColumn("_level", _level(_extent()))
+    size = F.pow(F.lit(4.0), F.col("_level")) / F.lit(per_level)
+    cell = lambda c: F.floor(F.col(c) / size).cast("bigint")
+    pieces = boxed.select(
+        "_level",
+        F.lit(0).alias("_depth"),
+        F.struct(*order_by).alias("_ord"),
+        F.struct(*payload).alias("_zone"),
+        F.col("edges").alias("_edges"),
+        F.explode(F.sequence(cell("_x0"), cell("_x1"))).alias("_cx"),
+        cell("_y0").alias("_low"),
+        cell("_y1").alias("_high"),
+    ).withColumn("_cy", F.explode(F.sequence("_low", "_high")))
+    return _classified(pieces, size)
+
+
+def _parts(crowded: DataFrame, per_level: float) -> DataFrame:
+    """The pieces of crowded cells, in the four by four parts of each."""
+    parts = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in range(4) for y in range(4)])
+    split = crowded.withColumn("_part", F.explode(parts)).select(
+        "_level",
+        (F.col("_depth") + 1).alias("_depth"),
+        (F.col("_cx") * 4 + F.col("_part.x")).alias("_cx"),
+        (F.col("_cy") * 4 + F.col("_part.y")).alias("_cy"),
+        "_ord",
+        "_zone",
+        "_edges",
     )
-    # a polygon that fills the cell hides all later ones there
-    in_cell = Window.partitionBy("_cx", "_cy")
-    cover = F.min(F.when(F.col("_inside"), F.col("_ord"))).over(in_cell)
-    visible = kept.withColumn("_cover", cover).where(
-        F.col("_cover").isNull() | (F.col("_ord") <= F.col("_cover"))
+    size = F.pow(F.lit(4.0), F.col("_level") - F.col("_depth")) / F.lit(per_level)
+    return _classified(split, size)
+
+
+def _visible(pieces: DataFrame) -> DataFrame:
+    """Pieces that no earlier inside polygon hides, and of copies of one piece the first.
+
+    Counts and minima per cell are aggregates, so no task holds a crowded cell.
+    """
+    shape = F.coalesce(F.md5(F.to_json("_edges")), F.lit(""))
+    single = (
+        pieces.groupBy(*_CELL, shape.alias("_shape"))
+        .agg(F.min(F.struct("_ord", "_zone", "_edges")).alias("_first"))
+        .select(*_CELL, "_first.*")
     )
-    return visible.groupBy("_cx", "_cy").agg(
+    cover = single.where(F.col("_edges").isNull()).groupBy(*_CELL).agg(F.min("_ord").alias("_cover"))
+    joined = single.join(cover, _CELL, "left")
+    return joined.where(F.col("_cover").isNull() | (F.col("_ord") <= F.col("_cover"))).drop("_cover")
+
+
+def _crowds(pieces: DataFrame, most: int) -> DataFrame:
+    return pieces.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*_CELL)
+
+
+def polygon_grid(
+    polygons: DataFrame,
+    payload: Sequence[str] = ("location_id", "zone", "borough"),
+    order_by: Sequence[str] = ("ord",),
+    cells: float = _CELLS,
+    crowded: int = _CROWDED,
+) -> PolygonGrid:
+    """Cut polygons along their grids and store the pieces.
+
+    One pass writes the pieces and a second one counts them per cell. Only where a cell has
+    more than ``crowded`` of them is it split, which takes a few passes over these
+    cells per split; after eight splits a cell keeps what is left.
+    """
+    pieces = _kept(_first_level(polygons, order_by, payload, cells), "grid")
+    leaves = []
+    for depth in range(_DEPTH + 1):
+        busy = pieces.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if busy is None or busy <= crowded:
+            leaves.append(pieces)
+            break
+        full = _crowds(pieces, crowded)
+        leaves.append(pieces.join(full, _CELL, "left_anti"))
+        seen = _kept(_visible(pieces.join(full, _CELL, "left_semi")), "grid_crowd")
+        if depth == _DEPTH:
+            leaves.append(seen)
+            break
+        still = _crowds(seen, crowded)
+        leaves.append(seen.join(still, _CELL, "left_anti"))
+        pieces = _kept(_parts(seen.join(still, _CELL, "left_semi"), cells), "grid")
+    kept = leaves[0]
+    for more in leaves[1:]:
+        kept = kept.unionByName(more)
+    if len(leaves) > 1:
+        kept = _kept(kept, "grid_leaves")
+    carried = F.octet_length(F.to_json(F.struct("_ord", "_zone")))
+    row = kept.agg(
+        F.collect_set(F.struct("_level", "_depth")).alias("layers"),
+        F.coalesce(F.sum(F.coalesce(F.size("_edges"), F.lit(0)) * 32 + carried + 128), F.lit(0)).alias("bytes"),
+    ).first()
+    layers = tuple(sorted((r["_level"], r["_depth"]) for r in row["layers"]))
+    kinds = ", ".join(f"{c}: {polygons.schema[c].dataType.simpleString()}" for c in payload)
+    return PolygonGrid(kept, layers, row["bytes"], cells, tuple(payload), f"struct<{kinds}>")
+
+
+def _lists(grid: PolygonGrid, level: int, depth: int, on: Sequence[str]) -> DataFrame:
+    """Cell → candidates in order, up to the first that fills the cell."""
+    own = grid.cells.where((F.col("_level") == level) & (F.col("_depth") == depth))
+    gathered = own.groupBy(F.col("_cx").alias(on[0]), F.col("_cy").alias(on[1])).agg(
         F.sort_array(F.collect_list(F.struct("_ord", "_zone", "_edges"))).alias("_candidates")
     )
+    filled = F.array_position(F.transform("_candidates", lambda c: c["_edges"].isNull()), True)
+    upto = F.when(filled > 0, filled).otherwise(F.size("_candidates"))
+    return gathered.withColumn("_candidates", F.slice("_candidates", F.lit(1), upto.cast("int")))
 
 
 def locate_points(
     points: DataFrame,
-    polygons: DataFrame,
+    polygons: DataFrame | PolygonGrid,
     x: str,
     y: str,
     payload: Sequence[str] = ("location_id", "zone", "borough"),
@@ -168,35 +257,32 @@ def locate_points(
 ) -> DataFrame:
     """Add the first polygon (by ``order_by``) that strictly contains each point.
 
-    ``polygons`` has an ``edges`` array (see ``read_zone_polygons``). The added column is
-    a struct of ``payload``, NULL when no polygon contains the point or a coordinate is
-    missing. Every point is kept, exactly once.
+    ``polygons`` has an ``edges`` array (see ``read_zone_polygons``), or is a grid that was
+    built before and says payload and order itself. The added column is a struct of
+    ``payload``, NULL when no polygon contains the point or a coordinate is missing. Every point
+    is kept, exactly once.
 
-    One small pass over the polygons finds their levels and bounds the size of the
-    grids; each level is one join by cell. Grids below ``broadcast_bytes`` in all are
-    broadcast and the points are not shuffled; larger ones leave the join to Spark.
+    Each layer of the grid is one join by cell. Grids below ``broadcast_bytes`` in all, as
+    measured, are broadcast and the points are not shuffled; larger ones leave the join to Spark.
     """
-    levels, size_bound = polygon_levels(polygons, payload, order_by, cells)
+    grid = polygons if isinstance(polygons, PolygonGrid) else polygon_grid(polygons, payload, order_by, cells)
     px, py = F.col(x), F.col(y)
     located, hits = points, []
-    for level in levels:
-        cell = 4.0**level / cells
+    for level, depth in grid.layers:
+        size = grid.size_of(level, depth)
         on = [f"_cx_{len(hits)}", f"_cy_{len(hits)}"]
-        boxed = _boxes(polygons).where((_extent() > 0) & (_level(_extent()) == level))
-        grid = grid_candidates(boxed.select(*polygons.columns), order_by, payload, cell)
-        grid = grid.select(F.col("_cx").alias(on[0]), F.col("_cy").alias(on[1]), "_candidates")
-        if size_bound <= broadcast_bytes:
-            grid = F.broadcast(grid)
-        placed = located.withColumns({on[0]: _cell(px, cell), on[1]: _cell(py, cell)})
+        lists = _lists(grid, level, depth, on)
+        if grid.bytes <= broadcast_bytes:
+            lists = F.broadcast(lists)
+        placed = located.withColumns({on[0]: _cell(px, size), on[1]: _cell(py, size)})
         containing = F.filter(
             "_candidates", lambda c: c["_edges"].isNull() | contains(c["_edges"], px, py)
         )
         hit = f"_hit_{len(hits)}"
         first = F.get(F.transform(containing, lambda c: F.struct(c["_ord"], c["_zone"])), F.lit(0))
-        located = placed.join(grid, on, "left").withColumn(hit, first).drop("_candidates", *on)
+        located = placed.join(lists, on, "left").withColumn(hit, first).drop("_candidates", *on)
         hits.append(hit)
     if not hits:
-        kinds = ", ".join(f"{c}: {polygons.schema[c].dataType.simpleString()}" for c in payload)
-        return points.withColumn(alias, F.lit(None).cast(f"struct<{kinds}>"))
+        return points.withColumn(alias, F.lit(None).cast(grid.kind))
     best = F.col(hits[0]) if len(hits) == 1 else F.least(*hits)
     return located.select(*points.columns, best["_zone"].alias(alias))

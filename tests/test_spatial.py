@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import locate_points
+from starloom.operators.spatial import polygon_grid
 from starloom.sources import read_zone_polygons
 
 EDGE_DDL = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
@@ -138,13 +139,61 @@ def test_points_are_not_shuffled_for_small_polygons(spark, zones, plan):
 
 
 def test_one_large_polygon_leaves_the_grid_of_small_ones(spark):
-    from starloom.operators.spatial import polygon_levels
-
     rows = [(i, [(i, 0.0, i + 1.0, 0.0), (i + 1.0, 0.0, i, 1.0), (i, 1.0, float(i), 0.0)]) for i in range(50)]
     rows.append((50, [(0.0, 0.0, 900.0, 0.0), (900.0, 0.0, 0.0, 900.0), (0.0, 900.0, 0.0, 0.0)]))
     frame = spark.createDataFrame(
         [(i, i, "Z", "B", [tuple(map(float, e)) for e in edges]) for i, edges in rows],
         f"ord bigint, location_id int, zone string, borough string, edges {EDGE_DDL}",
     )
-    levels, size = polygon_levels(frame, ["zone"], ["ord"])
-    assert levels == [0, 5] and size > 0
+    grid = polygon_grid(frame, ["zone"], ["ord"])
+    assert grid.layers == ((0, 0), (5, 0)) and grid.bytes > 0
+
+
+def squares(spark, n, seed, spread=3):
+    """Squares of one size over one spot, corners on a coarse lattice so that points lie on edges too."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, y = rng.randint(0, 64 * spread) / 64, rng.randint(0, 64 * spread) / 64
+        ring = [(x, y), (x + 8, y), (x + 8, y + 8), (x, y + 8)]
+        rows.append((i, [(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]))
+    frame = spark.createDataFrame(
+        [(i, i, f"Z{i}", "B", e) for i, e in rows],
+        f"ord bigint, location_id int, zone string, borough string, edges {EDGE_DDL}",
+    )
+    return rows, frame
+
+
+def longest_list(grid):
+    counts = grid.cells.groupBy("_level", "_depth", "_cx", "_cy").count()
+    return counts.agg(F.max("count")).first()[0]
+
+
+def test_piles_are_split(spark):
+    rows, frame = squares(spark, 3000, 5)
+    grid = polygon_grid(frame, crowded=24)
+    assert max(depth for _, depth in grid.layers) > 0
+    assert longest_list(grid) <= 24
+    rng = random.Random(6)
+    points = [(i, rng.randint(-64, 64 * 13) / 64, rng.randint(-64, 64 * 13) / 64) for i in range(400)]
+    located = locate_points(spark.createDataFrame(points, "id int, x double, y double"), grid, "x", "y", alias="z")
+    got = {r["id"]: r["z"] and r["z"]["location_id"] for r in located.collect()}
+    assert got == {i: brute_force(rows, x, y) for i, x, y in points}
+
+
+def test_copies_of_one_polygon_are_one_candidate(spark):
+    rows, frame = squares(spark, 1, 1)
+    copies = frame.crossJoin(spark.range(500)).withColumn("ord", F.col("id")).withColumn("location_id", F.col("id").cast("int"))
+    grid = polygon_grid(copies.drop("id"))
+    assert longest_list(grid) <= 32
+    x, y = rows[0][1][0][:2]
+    point = spark.createDataFrame([(x + 1.0, y + 1.0), (x, y)], "x double, y double")
+    got = locate_points(point, grid, "x", "y", alias="z").select("z.location_id").collect()
+    assert sorted(got, key=str) == [(0,), (None,)]
+
+
+def test_no_polygons(spark):
+    _, frame = squares(spark, 1, 1)
+    point = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+    located = locate_points(point, frame.limit(0), "x", "y", alias="z")
+    assert located.collect() == [(1.0, 1.0, None)] and located.columns == ["x", "y", "z"]
