@@ -19,12 +19,13 @@ lost partition is packed again to the same result from the same input split.
 from __future__ import annotations
 
 import heapq
-import struct
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,34 +36,109 @@ from starloom.llm.tokens import load
 TIERS = (256, 512, 1024, 2048)
 #: Words in the cache of a Python worker; it starts anew when full.
 _CACHE = 700_000
+#: Bytes of a batch up to which its texts are rewritten before they are split.
+_LARGE = 1 << 30
 _ID = 4  # bytes of an id: unsigned, little-endian
 
 
+#: Words that are joined by blanks to be encoded in one go.
+_JOINED = 256
+
+
+class _Words:
+    """Ids of the words met so far, one after the other, with the place of each word."""
+
+    def __init__(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype="<u4")
+        self.starts = np.zeros(1 << 16, dtype=np.int64)
+
+    def add(self, words: list[str], tokenizer, last: np.ndarray) -> None:
+        """Encodes new words, many of them joined by blanks in one go.
+
+        ``last`` marks the ids that end a unit of the tokenizer. A word of letters is one unit, which
+        counting its marks confirms; tokens of other words are told apart by where they begin.
+        """
+        plain = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        parts = [plain[at : at + _JOINED] for at in range(0, len(plain), _JOINED)]
+        for at in range(0, len(parts), 16):
+            some = parts[at : at + 16]
+            coded = tokenizer.encode_batch_fast([" ".join(p) for p in some], add_special_tokens=False)
+            for part, found in zip(some, coded, strict=True):
+                ids = np.array(found.ids, dtype="<u4")
+                ends = np.flatnonzero(last[ids]) + 1
+                if len(ends) == len(part) and ends[-1] == len(ids):
+                    self._append(part, ids, np.diff(ends, prepend=0))
+                else:
+                    rest += part
+        for at in range(0, len(rest), _JOINED):
+            part = rest[at : at + _JOINED]
+            found = tokenizer.encode(" ".join(part), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
+            spans = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+            owner = np.searchsorted(begin, spans[:, 0], side="right") - 1
+            self._append(part, np.array(found.ids, dtype="<u4"), np.bincount(owner, minlength=len(part)))
+
+    def _append(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.places)
+        used = int(self.starts[first])
+        while first + len(words) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[used : used + len(ids)] = ids
+        self.starts[first + 1 : first + 1 + len(words)] = used + np.cumsum(counts)
+        self.places.update(zip(words, range(first, first + len(words)), strict=True))
+
+
 @lru_cache(maxsize=4)
-def _word_cache(_: str) -> dict[bytes, bytes]:
-    return {}
+def _word_cache(_: str) -> list[_Words]:
+    return [_Words()]
+
 
+def _unit_ends(tokenizer) -> np.ndarray:
+    """For each id whether it ends a unit; none does where the model writes no such mark."""
+    mark = getattr(tokenizer.model, "end_of_word_suffix", None)
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    last[[k for token, k in vocabulary.items() if mark and token.endswith(mark)]] = True
+    return last
 
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of texts, as little-endian 32-bit numbers, for a tokenizer that drops blanks.
 
-    Such a tokenizer splits at every blank, so each distinct word is encoded once.
+def encoder(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Ids of a batch of texts in one array, and where each text's ids begin and end in it.
+
+    For a tokenizer that drops blanks, lowers case, and takes letters and marks apart: it splits at
+    every blank, so the words of a batch are dictionary-encoded and each distinct word is
+    encoded once. A mark after one of a-z is a word of its own, and A-Z are lowered before; neither
+    changes an id, and there are fewer words. Texts with a special string stay as they are.
     """
     tokenizer, cache = load(path), _word_cache(path)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        words = [t.encode().split() for t in texts]
-        new = list({w for found in words for w in found if w not in cache})
-        if len(cache) + len(new) > _CACHE:
-            cache.clear()
-            new = list({w for found in words for w in found})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            coded = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, found in zip(part, coded, strict=True):
-                ids = found.ids
-                cache[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return [b"".join(map(cache.__getitem__, found)) for found in words]
+    last = _unit_ends(tokenizer)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    opening = special[0][:2] if special and len({c[:2] for c in special}) == 1 else ""
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        small = texts.nbytes < _LARGE
+        if not small:
+            texts = texts.cast(pa.large_string())  # words of a batch may need 64-bit places
+        elif opening and not pc.any(pc.match_substring(texts, opening)).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,;:!?])", r"\1 \2")
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.values.slice(split.offsets[0].as_py()).dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(cache[0].places) + len(words) > _CACHE:
+            cache[0] = _Words()
+        known = cache[0]
+        known.add([w for w in words if w not in known.places], tokenizer, last)
+        own = np.fromiter(map(known.places.__getitem__, words), dtype=np.int64, count=len(words))
+        number = own[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else own
+        sizes = known.starts[number + 1] - known.starts[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(known.starts[number] - ends[:-1], sizes)
+        offsets = split.offsets.to_numpy(zero_copy_only=False)
+        return known.ids[at], ends[offsets - offsets[0]]
 
     return encode
 
@@ -167,43 +243,57 @@ def pack_documents(
     """
     if any(t & (t - 1) for t in tiers) or list(tiers) != sorted(set(tiers)):
         raise ValueError("tiers must be rising powers of two")
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], dtype="<u4").tobytes()
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         base = TaskContext.get().partitionId() << 40
         sequences = steps = number = held = 0
         ids: dict[int, tuple[object, bytes]] = {}
         pieces: list[Piece] = []
+        id_type = pa.int64()
 
-        def table(windows: list[list[Piece]]) -> pd.DataFrame:
+        def table(windows: list[list[Piece]]) -> pa.RecordBatch:
             nonlocal sequences, steps
-            lengths = [sum(p[0] for p in w) for w in windows]
-            groups = balance(lengths, step_tokens)
-            rows = []
-            for window, size, group in zip(windows, lengths, groups, strict=True):
-                offset = 0
-                for length, doc, start in window:
-                    key, coded = ids[doc]
-                    rows.append(
-                        (key, start, length, coded[start * _ID : (start + length) * _ID],
-                         len(coded) // _ID, base + sequences, offset, size, base + steps + group)
-                    )
-                    offset += length
-                sequences += 1
-            steps += max(groups, default=-1) + 1
-            frame = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            return frame.astype({"doc_id": object})
+            counts = np.array([len(w) for w in windows])
+            length, doc, start = np.array([p for w in windows for p in w], dtype=np.int64).T
+            first = np.cumsum(counts) - counts
+            sizes = np.add.reduceat(length, first)
+            groups = np.array(balance(sizes.tolist(), step_tokens))
+            through = np.cumsum(length)
+            coded = [ids[d] for d in doc.tolist()]
+            columns = [
+                pa.array([key for key, _ in coded], id_type),
+                start,
+                length,
+                pa.array(
+                    [c[a:b] for (_, c), a, b in zip(coded, (start * _ID).tolist(), ((start + length) * _ID).tolist(), strict=True)],
+                    pa.binary(),
+                ),
+                np.array([len(c) // _ID for _, c in coded]),
+                base + sequences + np.repeat(np.arange(len(windows)), counts),
+                through - length - np.repeat(through[first] - length[first], counts),
+                np.repeat(sizes, counts),
+                base + steps + np.repeat(groups, counts),
+            ]
+            sequences += len(windows)
+            steps += int(groups.max()) + 1
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for batch in batches:
-            for key, coded in zip(batch["id"], encode(list(batch["text"])), strict=True):
-                ids[number] = (None if pd.isna(key) else key, coded + end)
-                pieces.append((len(coded) // _ID + 1, number, 0))
-                held += len(coded) // _ID + 1
+            id_type = batch.column("id").type
+            flat, ends = encode(batch.column("text"))
+            whole, ends = flat.tobytes(), (ends * _ID).tolist()
+            for key, a, b in zip(batch.column("id").to_pylist(), ends[:-1], ends[1:], strict=True):
+                ids[number] = (key, whole[a:b] + end)
+                pieces.append(((b - a) // _ID + 1, number, 0))
+                held += (b - a) // _ID + 1
                 number += 1
                 if held >= buffer_tokens:
                     windows, pieces = fill_windows(pieces, tiers)
-                    yield table(windows)
+                    if windows:
+                        yield table(windows)
                     ids = {doc: ids[doc] for _, doc, _ in pieces}
                     held = sum(p[0] for p in pieces)
         windows, pieces = fill_windows(pieces, tiers)
@@ -214,5 +304,5 @@ def pack_documents(
     python_ready(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     read = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    packed = read.mapInPandas(pack, SCHEMA.format(id=kind))
+    packed = read.mapInArrow(pack, SCHEMA.format(id=kind))
     return packed.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else packed

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +277,21 @@ def test_crc_of_ids(spark):
     df = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
     row = packing.pack_documents(df, PATH).select(F.crc32("ids").alias("c"), "ids").orderBy("start").first()
     assert row["c"] == zlib.crc32(bytes(row["ids"]))
+
+
+def test_words_of_a_batch_equal_whole_texts(monkeypatch):
+    rng = random.Random(9)
+    parts = ["The", "the", "  ", " ", "\n", "\t", "\x0b", "don't", "1234", "é", "東京", "🙂", "\x1c", "\x85", "\xa0", "!?", ".", ",", "A.B", "x,'s", "'re", "É", "\u0958", "İ", "I\u0307", "ς", "ǅ", "_a", "a_", "..."]
+    specials = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|"]
+    texts = ["", " ", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(200))]
+    texts += ["".join(rng.choice(parts + specials) for _ in range(30)) for _ in range(100)]
+    encode, whole = packing.encoder(PATH), packing.load(PATH)
+    for limit, large in ((packing._CACHE, 1 << 30), (30, 1 << 30), (30, 0)):
+        monkeypatch.setattr(packing, "_CACHE", limit)
+        monkeypatch.setattr(packing, "_LARGE", large)
+        for some in (texts[:200], texts[200:], *([t] for t in texts)):
+            flat, ends = encode(pa.array(["skipped", *some]).slice(1))
+            for k, text in enumerate(some):
+                assert flat[ends[k] : ends[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    flat, ends = encode(pa.array([], pa.string()))
+    assert len(flat) == 0 and ends.tolist() == [0]
