@@ -1,8 +1,11 @@
 """Layout-aware rendering of HTML pages to text.
 
 A tree builder with implied end tags makes elements of the tags; visibility
-rules (element, ``hidden``, inline style, simple ``<style>`` rules, closed
-details) take out what a reader would not see; the rest is laid out: blocks on
+rules (element, ``hidden``, inline style, ``<style>`` rules, closed details) take out what
+a reader would not see. Sheet rules count by importance, specificity and order, where a
+selector is one compound of tag, classes and id and the rule is for screens without further
+condition; others are left out, so that no text is hidden by a rule that might not hold.
+The rest is laid out: blocks on
 lines of their own, blank lines around paragraphs, headings, lists and tables,
 markers for list items, table cells in aligned columns. Labels of drawings
 (svg) and formulas (math) are inline text. No visible text is dropped, but for
@@ -12,7 +15,8 @@ what a drawing shows by reference (``use``). Pages are rendered one by one in Ar
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -23,7 +27,9 @@ from pyspark.sql import functions as F
 from starloom.llm.common import python_ready
 
 #: Elements by role in the layout (fixed values of the HTML standard).
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset(
+    ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+)
 RAW = frozenset(("script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title"))
 UNSEEN = frozenset(
     ("head", "title", "script", "style", "template", "noscript", "iframe", "object", "canvas", "audio",
@@ -40,8 +46,10 @@ _APART = frozenset(("text", "mtd", "mtr", "mlabeledtr"))
 _HTML_INSIDE = frozenset(("foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"))
 #: Start tags that end an open drawing or formula (fixed values of the HTML standard).
 _BREAKS_OUT = frozenset(
-    ("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
-     "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var").split()
+    ("b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1",
+     "h2", "h3", "h4", "h5", "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol",
+     "p", "pre", "ruby", "s", "small", "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul",
+     "var")
 )
 SPACED = frozenset(
     ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "table", "blockquote", "pre", "figure",
@@ -76,7 +84,10 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _TAG_REST = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-_CSS = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_SELECTOR = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)")
+#: How far up the open elements are searched for one to end, so that any page takes linear time.
+_SCAN = 500
 
 
 @dataclass(slots=True)
@@ -86,15 +97,55 @@ class Element:
     children: list = field(default_factory=list)
     foreign: bool = False
     """Part of a drawing (svg) or formula (math)."""
+    seen: bool | None = None
+    """Of an element below the greatest depth: whether its own text is visible, None where it is the parent's."""
 
 
 class TreeBuilder:
-    """Elements and texts of a page; never fails, whatever the markup."""
+    """Elements and texts of a page; never fails, whatever the markup.
 
-    def __init__(self) -> None:
+    Elements below a depth of ``_MAX_DEPTH`` give their texts to the element there. ``looks`` tells
+    which of them are hidden; without it the tree of a page that is ``too_deep`` is no good.
+    """
+
+    def __init__(self, looks: Callable[[Element, bool], tuple[bool, bool]] | None = None) -> None:
         self.root = Element("html")
         self.open = [self.root]
+        self.count: Counter[str] = Counter()
         self.styles: list[str] = []
+        self.looks = looks
+        self.too_deep = False
+
+    def push(self, element: Element) -> None:
+        self.open.append(element)
+        self.count[element.tag] += 1
+
+    def cut(self, at: int) -> None:
+        """Ends the open elements from this place on."""
+        for element in self.open[at:]:
+            self.count[element.tag] -= 1
+        del self.open[at:]
+
+    def put(self, text: str) -> None:
+        """Text of the innermost open element."""
+        inner = self.open[-1]
+        if inner.seen is None:
+            inner.children.append(text)
+        else:
+            style = {"style": f"visibility: {'visible' if inner.seen else 'hidden'}"}
+            inner.children.append(Element("span", style, [text]))
+
+    def push_deep(self, element: Element) -> None:
+        """An element below the greatest depth: hidden ones keep their content to themselves."""
+        self.too_deep = True
+        outer = self.open[-1]
+        laid_out, seen = self.looks(element, outer.seen is not False) if self.looks else (True, True)
+        if laid_out:
+            if element.tag in BLOCK:
+                outer.children.append(Element("div"))
+            element.children = outer.children
+            element.seen = seen if seen != (outer.seen is not False) else outer.seen
+        self.push(element)
 
     def build(self, page: str) -> Element:
         at, size = 0, len(page)
@@ -115,7 +166,7 @@ class TreeBuilder:
             return len(page) if end < 0 else end + 3
         if page.startswith("<![CDATA[", at) and self.in_foreign():
             end = page.find("]]>", at + 9)
-            self.open[-1].children.append(page[at + 9 :] if end < 0 else page[at + 9 : end])
+            self.put(page[at + 9 :] if end < 0 else page[at + 9 : end])
             return len(page) if end < 0 else end + 3
         closing = page.startswith("</", at)
         name = _NAME.match(page, at + 1 + closing)
@@ -156,30 +207,36 @@ class TreeBuilder:
         if tag == "style":
             self.styles.append(body)
         elif body:
-            self.open[-1].children.append(unescape(body) if tag in ("textarea", "title") else body)
+            self.put(unescape(body) if tag in ("textarea", "title") else body)
         self.end(tag)
         return close.end() if close else len(page)
 
     def text(self, text: str) -> None:
         if len(self.open) > 1 and self.open[-1].tag == "head" and text.strip():
             self.end("head")
-        self.open[-1].children.append(unescape(text) if "&" in text else text)
+        self.put(unescape(text) if "&" in text else text)
+
+    def _inner(self) -> range:
+        """Places of the open elements, the innermost first."""
+        return range(len(self.open) - 1, max(0, len(self.open) - 1 - _SCAN), -1)
 
     def close_up_to(self, ends: set[str], fences: set[str]) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
+        if not any(self.count[tag] for tag in ends):
+            return
+        for k in self._inner():
             tag = self.open[k].tag
             if tag in fences or (self.open[k].foreign and tag in _HTML_INSIDE):
                 return
             if tag in ends:
-                del self.open[k:]
+                self.cut(k)
                 # the outer ones of the same kind, such as a row around a cell
                 self.close_up_to(ends, fences)
                 return
 
     def start(self, tag: str, attributes: dict[str, str], closed: bool = False) -> None:
         while tag in _BREAKS_OUT and self.in_foreign():
-            self.open.pop()
-        if tag == "html" or (tag == "body" and any(e.tag == "body" for e in self.open)):
+            self.cut(len(self.open) - 1)
+        if tag == "html" or (tag == "body" and self.count["body"]):
             return
         if tag not in _HEAD_ONLY and self.open[-1].tag == "head":
             self.end("head")
@@ -189,47 +246,126 @@ class TreeBuilder:
             self.close_up_to(*_IMPLIED[tag])
         foreign = tag in ("svg", "math") or self.in_foreign()
         element = Element(tag, attributes, foreign=foreign)
-        self.open[-1].children.append(element)
-        if foreign and closed:
+        holds = tag not in VOID if not foreign else not closed
+        if holds and len(self.open) >= _MAX_DEPTH:
+            self.push_deep(element)
             return
-        if (foreign or tag not in VOID) and len(self.open) < _MAX_DEPTH:
-            self.open.append(element)
+        self.open[-1].children.append(element)
+        if holds:
+            self.push(element)
 
     def end(self, tag: str) -> None:
-        if tag == "p" and not any(e.tag == "p" for e in self.open):
+        if tag == "p" and not self.count["p"]:
             self.open[-1].children.append(Element("p"))
             return
         if tag == "br":
             self.open[-1].children.append(Element("br"))
             return
-        for k in range(len(self.open) - 1, 0, -1):
+        if not self.count[tag]:
+            return
+        for k in self._inner():
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self.cut(k)
                 return
             if self.open[k].tag in ("td", "th", "table") and tag not in ("tr", "table", "tbody", "thead", "tfoot", "body", "html", "td", "th"):
                 return
 
 
-def _declared(style: str) -> dict[str, str]:
-    found = {}
-    for part in style.lower().split(";"):
+def _declared(style: str) -> dict[str, tuple[bool, str]]:
+    """Property → (important, value); of equal ones the later counts, unless the earlier is important."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub("", style).lower().split(";"):
         name, colon, value = part.partition(":")
         if colon:
-            found[name.strip()] = value.replace("!important", "").strip()
+            value, bang, mark = value.partition("!")
+            said = (bool(bang) and mark.strip() == "important", value.strip())
+            name = name.strip()
+            if name not in found or said[0] or not found[name][0]:
+                found[name] = said
     return found
 
 
-def hiding_rules(styles: list[str]) -> dict[str, dict[str, str]]:
-    """display and visibility by simple selector: ``tag``, ``.class`` or ``#id``."""
-    rules: dict[str, dict[str, str]] = {}
-    for style in styles:
-        for selectors, body in _CSS.findall(re.sub(r"/\*.*?\*/", "", style, flags=re.S)):
-            wanted = {k: v for k, v in _declared(body).items() if k in ("display", "visibility")}
-            if wanted:
-                for selector in selectors.split(","):
-                    if re.fullmatch(r"[.#]?[\w-]+", selector.strip()):
-                        rules.setdefault(selector.strip().lower(), {}).update(wanted)
-    return rules
+def _sheet_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of a style sheet that hold on any screen."""
+    at, size = 0, len(sheet)
+    while at < size:
+        stop = re.compile(r"[{};]").search(sheet, at)
+        if stop is None:
+            return
+        prelude, at = sheet[at : stop.start()].strip().lower(), stop.end()
+        if stop.group() != "{":
+            continue  # an at-rule without a block, or a stray mark
+        if prelude.startswith("@media") and any(
+            re.fullmatch(r"(?:only\s+)?(?:all|screen)|", q.strip()) for q in prelude[6:].split(",")
+        ):
+            continue  # what follows are its rules; its last brace is a stray mark
+        depth, begin = 1, at
+        for brace in re.compile(r"[{}]").finditer(sheet, at):
+            depth += 1 if brace.group() == "{" else -1
+            at = brace.end()
+            if not depth:
+                break
+        else:
+            at = size
+        if not prelude.startswith("@"):
+            yield prelude, sheet[begin : at - 1 if not depth else at]
+
+
+@dataclass(frozen=True)
+class HidingRule:
+    tag: str
+    classes: frozenset[str]
+    names: frozenset[str]
+    """Ids that the selector asks for."""
+    order: tuple[int, int, int, int]
+    """Specificity (ids, classes, tag), then the place in the sheets."""
+    declared: tuple[tuple[str, bool, str], ...]
+
+
+class HidingRules:
+    """display and visibility by compound selector (``tag``, ``.class``, ``#id`` and joins of them)."""
+
+    def __init__(self, styles: list[str]) -> None:
+        self.by_key: dict[str, list[HidingRule]] = {}
+        self.found: dict[tuple[str, str, str], dict[str, tuple[bool, str]]] = {}
+        place = 0
+        for style in styles:
+            for selectors, body in _sheet_rules(_COMMENT.sub("", style)):
+                wanted = tuple((k, *v) for k, v in _declared(body).items() if k in ("display", "visibility"))
+                for selector in selectors.split(",") if wanted else ():
+                    match = _SELECTOR.fullmatch(selector.strip())
+                    if not match or not selector.strip():
+                        continue
+                    tag = (match[1] or "*").lower()
+                    marks = re.findall(r"[.#][\w-]+", match[2].lower())
+                    classes = frozenset(m[1:] for m in marks if m[0] == ".")
+                    names = frozenset(m[1:] for m in marks if m[0] == "#")
+                    place += 1
+                    order = (sum(m[0] == "#" for m in marks), sum(m[0] == "." for m in marks), int(tag != "*"), place)
+                    key = next((f"#{n}" for n in sorted(names)), None) or next((f".{c}" for c in sorted(classes)), tag)
+                    self.by_key.setdefault(key, []).append(HidingRule(tag, classes, names, order, wanted))
+
+    def __bool__(self) -> bool:
+        return bool(self.by_key)
+
+    def style(self, tag: str, classes: str, name: str) -> dict[str, tuple[bool, str]]:
+        """What the sheets say of an element: property → (important, value)."""
+        key = (tag, classes, name)
+        if key not in self.found:
+            own = frozenset(classes.split())
+            fitting = [
+                r
+                for k in (tag, "*", f"#{name}", *(f".{c}" for c in own))
+                for r in self.by_key.get(k, ())
+                if r.tag in ("*", tag) and r.classes <= own and r.names <= {name}
+            ]
+            said: dict[str, tuple[bool, str]] = {}
+            for rule in sorted(fitting, key=lambda r: r.order):
+                for prop, important, value in rule.declared:
+                    if important or prop not in said or not said[prop][0]:
+                        said[prop] = (important, value)
+            self.found[key] = said
+        return self.found[key]
 
 
 class Lines:
@@ -281,35 +417,30 @@ class Lines:
 
 
 class Renderer:
-    def __init__(self, rules: dict[str, dict[str, str]]) -> None:
+    def __init__(self, rules: HidingRules) -> None:
         self.rules = rules
 
     def looks(self, element: Element, shown: bool) -> tuple[bool, bool]:
         """(in the layout, its own text visible); shown: inherited visibility."""
         a = element.attributes
-        if element.tag in UNSEEN or "hidden" in a:
-            return False, False
-        if element.foreign and element.tag in FOREIGN_UNSEEN:
-            return False, False
-        if element.tag == "dialog" and "open" not in a:
+        if element.tag in UNSEEN or (element.foreign and element.tag in FOREIGN_UNSEEN):
             return False, False
+        closed = "hidden" in a or (element.tag == "dialog" and "open" not in a)
         if not a and not self.rules:
-            return True, shown
-        style: dict[str, str] = {}
-        if self.rules:
-            for selector in (
-                element.tag,
-                *("." + c for c in a.get("class", "").lower().split()),
-                "#" + a.get("id", "").lower(),
-            ):
-                style.update(self.rules.get(selector, {}))
+            return not closed, shown
+        style: dict[str, tuple[bool, str]] = {}
         if element.foreign:  # these may stand as attributes there, below any rule
-            style = {k: a[k].strip().lower() for k in ("display", "visibility") if k in a} | style
+            style = {k: (False, a[k].strip().lower()) for k in ("display", "visibility") if k in a}
+        if self.rules:
+            style |= self.rules.style(element.tag, a.get("class", "").lower(), a.get("id", "").lower())
         if "style" in a:
-            style.update(_declared(a["style"]))
-        if style.get("display") == "none":
+            for name, said in _declared(a["style"]).items():
+                if said[0] or not style.get(name, (False,))[0]:
+                    style[name] = said
+        # an author's display stands above what hides the element by itself
+        if style.get("display", (False, "none" if closed else ""))[1] == "none":
             return False, False
-        sight = style.get("visibility")
+        sight = style.get("visibility", (False, ""))[1]
         if sight in ("hidden", "collapse"):
             shown = False
         elif sight == "visible":
@@ -484,16 +615,18 @@ class Renderer:
 
 
 def _texts(e: Element, renderer: Renderer, shown: bool) -> Iterator[str]:
-    for child in e.children:
+    queue = [(child, shown) for child in reversed(e.children)]
+    while queue:
+        child, seen = queue.pop()
         if isinstance(child, str):
-            if shown:
+            if seen:
                 yield child
             continue
-        laid_out, seen = renderer.looks(child, shown)
+        laid_out, seen = renderer.looks(child, seen)
         if child.tag == "br" and laid_out:
             yield "\n"
         elif laid_out:
-            yield from _texts(child, renderer, seen)
+            queue += [(c, seen) for c in reversed(child.children)]
 
 
 def _whole(text: str | None, otherwise: int) -> int:
@@ -504,15 +637,17 @@ def render(page: str) -> str:
     """Visible text of one page. Empty for an empty page."""
     builder = TreeBuilder()
     root = builder.build(page)
-    renderer = Renderer(hiding_rules(builder.styles))
+    renderer = Renderer(HidingRules(builder.styles))
+    if builder.too_deep:  # once more, knowing what is hidden below the greatest depth
+        root = TreeBuilder(renderer.looks).build(page)
     return "\n".join(renderer.inside(root, True)).strip("\n")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """page_id and text of every row. A null page has an empty text.
 
-    Broken markup is read as a browser would, elements below a depth of 200 lie
-    flat at it. Repeated rows are rendered row by row; an empty table gives an
+    Broken markup is read as a browser would; texts of elements below a depth of 200
+    lie flat at it, hidden ones stay hidden. Repeated rows are rendered row by row; an empty table gives an
     empty result; other columns are not read.
     """
 

@@ -129,12 +129,79 @@ def test_drawings_and_formulas_are_inline_text():
 @pytest.mark.parametrize(
     "page",
     ["", "<", "<a", '<a href="x', "</", "<div>" * 3000 + "deep", "<table>" * 300 + "<tr><td>z", "<" * 5000, "<a " * 3000,
-     '<p "' * 2000, "<!" * 3000, "<li>" * 3000, "<b" + ' x="' * 3000, "<table><tr><td rowspan=999999 colspan=-1>" * 40, "\0&#x110000;"],
+     '<p "' * 2000, "<!" * 3000, "<li>" * 3000, "<b" + ' x="' * 3000, "<div>" * 60_000 + "</p></b>" * 20_000 + "<li>" * 20_000, "<table><tr><td rowspan=999999 colspan=-1>" * 40, "\0&#x110000;"],
 )
 def test_any_markup_is_taken(page):
     assert isinstance(html.render(page), str)
 
 
+STYLED = [
+    # sheet, markup, what is seen
+    ("@media print{.x{display:none}}", "<p class=x>hello", "hello"),
+    ("@media print, screen{.x{display:none}}", "<p class=x>hello", ""),
+    ("@media screen{.x{display:none}} .y{display:none}", "<p class=x>a<p class=y>b<p>c", "c"),
+    ("@media (max-width: 9px){.x{display:none} .y{color:red}} .z{display:none}", "<p class=x>a<p class=z>b", "a"),
+    ("@import 'a;b'; @supports (a:b){.x{display:none}} .y{display:none}", "<p class=x>a<p class=y>b", "a"),
+    (".a{display:none} .b{display:block}", '<p class="b a">t', "t"),
+    (".b{display:block} .a{display:none}", '<p class="a b">t', ""),
+    ("div.x{display:none}", "<div class=x>a</div><p class=x>b", "b"),
+    (".x.y{display:none} .x{display:block}", "<p class='y x'>a<p class=x>b", "b"),
+    ("#i{display:none} p.x{display:block}", "<p id=i class=x>a<p>b", "b"),
+    (".x{display:none!important}", "<p class=x style='display:block'>a<p style='display:none'>b<p>c", "c"),
+    (".x{display:none}", "<p class=x style='display:block'>a", "a"),
+    ("*{visibility:hidden} b{visibility:visible}", "<p>a<b>b</b>", "b"),
+    ("p > b{display:none} .x:hover{display:none} [hidden]{color:red}", "<p class=x>a<b>b</b>", "ab"),
+    ("/* p{display:none} */ i{display:none/* x */}", "<p>a<i>b</i>", "a"),
+    (".x{display:none", "<p class=x>a<p>b", "b"),
+    ("p{display:block}", "<p hidden>a<div hidden>b</div>", "a"),
+    ("", "<dialog style='display:block'>a</dialog><dialog>b</dialog>", "a"),
+]
+
+
+@pytest.mark.parametrize("sheet, markup, seen", STYLED)
+def test_sheet_rules(sheet, markup, seen):
+    assert html.render(f"<style>{sheet}</style>{markup}") == seen
+
+
+@pytest.mark.parametrize("depth", [150, 199, 230, 5000])
+def test_hidden_parts_stay_hidden_at_any_depth(depth):
+    page = "<style>.no{display:none} .dim{visibility:hidden} .lit{visibility:visible}</style>" + "<div>" * depth + (
+        "a<script>x</script><p hidden>x<p>b<span class=no>x<b>x</b></span>c<div class=no><div>x</div>x</div>"
+        "<i style='display:none'>x</i><div class=dim>x<span class=lit>d</span>x</div><style>p{color:red}</style>"
+        "<noscript>x</noscript><template>x<b>x</b></template><textarea>e</textarea><ul><li>f<li hidden>x<li>g</ul>"
+        "<table><tr><td>h<td class=no>x</table><svg><title>x</title><text>i</text></svg>"
+    ) + "</div>" * depth + "z"
+    shown = html.render(page)
+    assert "x" not in shown
+    assert [c for c in shown if c.isalpha()] == list("abcdefghiz")
+
+
+def test_random_sheets_hide_what_they_say():
+    """Rules of random compounds on random elements, against a plain reading of the cascade."""
+    rng = random.Random(12)
+    for _ in range(300):
+        rules = []
+        for _ in range(rng.randint(1, 8)):
+            tag, ids = rng.choice(["", "", "p", "div", "*"]), rng.choice([[], [], [], ["i"], ["j"]])
+            classes = rng.sample(["a", "b", "c"], rng.choice([0, 1, 1, 2]))
+            selector = tag + "".join(f".{c}" for c in classes) + "".join(f"#{i}" for i in ids) or "*"
+            rules.append((selector, tag, classes, ids, rng.choice(["none", "block"]), rng.random() < 0.2))
+        sheet = " ".join(f"{r[0]} {{ color: red; display: {r[4]}{' !important' if r[5] else ''} }}" for r in rules)
+        page, want = f"<style>{sheet}</style>", []
+        for k in range(6):
+            tag, own = rng.choice(["p", "div", "h2"]), rng.sample(["a", "b", "c"], rng.randint(0, 3))
+            name, inline = rng.choice(["", "i", "j"]), rng.choice([None, None, "none", "block"])
+            fitting = [
+                (r[5], len(r[3]), len(r[2]), r[1] not in ("", "*"), at, r[4]) for at, r in enumerate(rules)
+                if r[1] in ("", "*", tag) and set(r[2]) <= set(own) and set(r[3]) <= {name}
+            ]
+            best = max(fitting, default=None)
+            said = best[5] if best and (best[0] or inline is None) else inline or "block"
+            page += f"<{tag} class='{' '.join(own)}' id='{name}'" + (f" style='display:{inline}'" if inline else "") + f">w{k}</{tag}>"
+            want += [f"w{k}"] * (said != "none")
+        assert html.render(page).split() == want, page
+
+
 def test_no_visible_text_is_lost():
     """Random trees: every visible word appears once and in order, tables and lists included."""
     rng = random.Random(4)
