@@ -4,7 +4,8 @@ Each source is to give words in proportion to its weight, but at most
 ``max_epochs`` times its own words. What a clamped source cannot give is shared
 out among the others by weight until none is above its cap. Repeating that
 ends at one water level, which a running sum over the sources finds directly:
-in order of cap per weight, the clamped sources are a prefix.
+in order of cap per weight, the clamped sources are a prefix. The running sums go over
+ranges of sources, so their number has no bound.
 
 A target of 2.3 epochs is two whole repetitions of every document and a seeded
 0.3 of one: documents are taken whole in the order of a seeded hash until the
@@ -28,55 +29,65 @@ from starloom.llm.common import settled, text_of, word_count
 _PREFIXES = (2, 5)
 
 
-def source_targets(
-    sizes: DataFrame,
-    weights: tuple[int, ...] = (5, 2, 1),
-    max_epochs: int = 3,
-    max_sources: int = 100_000,
-) -> DataFrame:
+#: Sources up to which their plan, a row of numbers for each, is broadcast; beyond, Spark joins as it sees fit.
+BROADCAST_SOURCES = 100_000
+
+
+def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """For each name of ``sums`` its sum over all earlier rows (``name_before``) and over all rows (``name_all``).
+
+    Rows are put into ranges and summed inside them; only one row per range meets the others.
+    """
+    ranged = settled(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+    )
+    per_range = ranged.groupBy("range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        "range",
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_offset") for n in sums],
+        *[F.sum(n).over(Window.partitionBy()).alias(f"{n}_all") for n in sums],
+    )
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: bounded by the number of partitions
+    joined = ranged.join(F.broadcast(offsets), "range")
+    return joined.withColumns(
+        {f"{n}_before": F.col(f"{n}_offset") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}
+    ).drop("range", *[f"{n}_offset" for n in sums])
+
+
+def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3) -> DataFrame:
     """Target words of each source; input and output hold one row per source.
 
     sizes: source, source_size. Weights go to the sources in code-point order,
-    null last, and repeat. The targets sum to the sum of all sizes. One task
-    sees one row per source; more than ``max_sources`` rows are an error.
-    An empty table gives an empty result; sources without words get 0.
+    null last, and repeat. The targets sum to the sum of all sizes. There may be any number of
+    sources. An empty table gives an empty result; sources without words get 0.
     """
     if not weights or any(not isinstance(w, int) or w < 1 for w in weights):
         raise ValueError("weights must be positive whole numbers")
     common = math.lcm(*weights)
-    everything = Window.partitionBy()
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(by_name) - 1) % len(weights)
-    ranked = (
-        sizes.withColumn("n", F.count("*").over(everything))
-        .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), place + 1).cast("long"))
-        .withColumn("total", F.sum("source_size").over(everything))
-        .withColumn(
-            "total",
-            F.when(
-                F.col("n") > max_sources, F.raise_error(F.lit(f"more than {max_sources} sources"))
-            ).otherwise(F.col("total")),
-        )
-    )
-    by_level = Window.orderBy(
-        F.col("source_size") * F.lit(common) / F.col("weight"), F.col("source").asc_nulls_last()
+    by_name = F.col("source").asc_nulls_last()
+    named = _running(sizes.select("source", "source_size"), [by_name], {"place": F.lit(1).cast("long")})
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place_before") % len(weights) + 1).cast("int"))
+    weighed = named.select(
+        "source", "source_size", weight.cast("long").alias("weight"), (F.col("source_size") * max_epochs).alias("cap")
     )
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    onwards = by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    cap = F.col("source_size") * max_epochs
-    filled = (
-        ranked.withColumn("cap", cap)
-        .withColumn("left", F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("weights_left", F.sum("weight").over(onwards))
+    by_level = F.col("source_size") * F.lit(common) / F.col("weight")
+    filled = _running(
+        weighed,
+        [by_level.asc(), by_name],
+        {"cap": F.col("cap"), "weight": F.col("weight"), "words": F.col("source_size")},
+    ).withColumns(
+        {"left": F.col("words_all") - F.col("cap_before"), "weights_left": F.col("weight_all") - F.col("weight_before")}
     )
+    filled = settled(filled.select("source", "source_size", "weight", "cap", "left", "weights_left"))
     fits = (
         F.col("left").cast("double") * F.col("weight")
         <= F.col("cap").cast("double") * F.col("weights_left")
     )
     # the first source that is not clamped has the most weight left
-    level = F.max(
-        F.when(fits, F.struct(F.col("weights_left").alias("w"), F.col("left").alias("words")))
-    ).over(everything)
+    first = F.max(F.when(fits, F.struct(F.col("weights_left").alias("w"), F.col("left").alias("words"))))
+    level = filled.agg(first.alias("level")).scalar()
     share = level["words"].cast("double") * F.col("weight") / level["w"].cast("double")
     return filled.select(
         "source",
@@ -152,15 +163,16 @@ def mix_sources(
     plan = settled(
         targets.withColumn("copies", F.coalesce(F.floor(goal / some), F.lit(0)).cast("long"))
         .withColumn("quota", F.coalesce(goal - F.col("copies") * F.col("source_size"), F.lit(0)))
-        .coalesce(1)
     )
+    small = plan.count() <= BROADCAST_SOURCES
+    per_source = F.broadcast if small else lambda rows: rows
     # the limit of the last, partial repetition: among few prefixes, then under one, then exactly
     open_ = plan.filter("quota > 0").select("source", "quota", F.lit(0).cast("long").alias("under"))
     rows = sized
     for digits in _PREFIXES:
         found = _limit(rows, open_, F.substring("h", 1, digits))
         rows = rows.join(
-            F.broadcast(found.select(F.col("source").alias("s"), F.col("at").alias("p"))),
+            per_source(found.select(F.col("source").alias("s"), F.col("at").alias("p"))),
             F.col("source").eqNullSafe(F.col("s")) & (F.substring("h", 1, digits) == F.col("p")),
         ).drop("s", "p")
         open_ = found.select("source", "quota", "under")
@@ -171,7 +183,8 @@ def mix_sources(
         F.col("words").alias("limit_words"),
     )
     plan = plan.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "weight")
-    plan = settled(plan.withColumnRenamed("source", "s").coalesce(1))
+    plan = plan.withColumnRenamed("source", "s")
+    plan = settled(plan.coalesce(1) if small else plan)
     part = (
         F.when(F.col("limit").isNull() | (F.col("h") > F.col("limit")), F.lit(0))
         .when(F.col("h") < F.col("limit"), F.col("size"))
@@ -188,9 +201,8 @@ def mix_sources(
         )
     else:
         read = sized
-    # one row per source, at most max_sources of them: a bounded broadcast
     return (
-        read.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")))
+        read.join(per_source(plan), F.col("source").eqNullSafe(F.col("s")))
         .withColumn("part", part)
         .select(
             F.col("id").alias(id_col),

@@ -150,10 +150,36 @@ def test_mix_of_an_empty_table_and_of_empty_texts(spark):
     assert {r["taken"] for r in mixing.mix_sources(blank).collect()} == {0}
 
 
-def test_too_many_sources_are_an_error(spark):
-    df = spark.range(20).select(F.col("id").cast("string").alias("source"), F.lit(1).cast("long").alias("source_size"))
-    with pytest.raises(Exception, match="more than 10 sources"):
-        mixing.source_targets(df, max_sources=10).collect()
+def test_many_sources(spark):
+    """200,001 sources: the running sums over ranges give what one sorted pass gives."""
+    count = 200_001
+    size = F.pmod(F.xxhash64("id"), F.lit(1000)) * F.pmod(F.col("id"), F.lit(3))
+    name = F.when(F.col("id") > 0, F.concat(F.lit("s"), F.col("id").cast("string")))
+    df = spark.range(count).select(name.alias("source"), size.cast("long").alias("source_size"))
+    sizes = [(r["source"], r["source_size"]) for r in df.collect()]
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df.repartition(5)).collect()}
+    order = sorted(sizes, key=lambda r: (r[0] is None, r[0] or ""))
+    rows = sorted((Fraction(n, (5, 2, 1)[k % 3]), n, (5, 2, 1)[k % 3], s) for k, (s, n) in enumerate(order) if s is not None)
+    k = len(order) - 1
+    rows.append((Fraction(order[k][1], (5, 2, 1)[k % 3]), order[k][1], (5, 2, 1)[k % 3], None))
+    rows.sort(key=lambda r: r[0])
+    left, weight, level = sum(r[1] for r in rows), sum(r[2] for r in rows), None
+    for ratio, n, w, _ in rows:
+        if Fraction(left, weight) <= 3 * ratio:
+            level = Fraction(left, weight)
+            break
+        left, weight = left - 3 * n, weight - w
+    assert len(got) == count
+    for _, n, w, s in rows:
+        assert got[s] == pytest.approx(float(min(3 * n, level * w)), rel=1e-12)
+
+
+def test_sources_beyond_the_broadcast(spark, rows, monkeypatch):
+    df = mix_table(spark)
+    want = rows(mixing.mix_sources(df))
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert rows(mixing.mix_sources(df)) == want
+    assert mixing.mix_sources(df.limit(0)).collect() == []
 
 
 def test_first_words(spark):
