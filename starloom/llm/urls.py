@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import product
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -136,30 +136,14 @@ def train(
     return UrlModel(w.astype(np.float32), float(b), bits)
 
 
-#: The small labelled table: words that make up blocked and ordinary host names.
-_BLOCKED = (
-    "cheap-pills", "casino-win", "free-bets", "adult-x", "spam-farm", "ads-track", "online-casino",
-    "poker-bonus", "viagra-shop", "sexcams", "xxx-video", "payday-loans", "ad-server", "tracker",
-    "win-prizes", "pills-online", "bets-live", "link-farm", "click-ads", "porn-tube",
-)
-_ORDINARY = (
-    "thother", "weather", "station", "nation", "bread", "thread", "rehash", "mother", "onset", "trestle",
-    "garden", "library", "school", "history", "science", "music", "travel", "kitchen", "football", "museum",
-    "tionon", "thande", "therly", "whitener", "eastern", "nounted", "sheet", "lyrics", "inning", "ouster",
-)
-
-
-def seed_urls(spark: SparkSession) -> DataFrame:
-    """The default labelled table (url, blocked), 600 rows made from the words above."""
-    hosts = [(w, True) for w in _BLOCKED] + [(w, False) for w in _ORDINARY]
-    shapes = list(product(("", "www.", "blog.", "m."), ("com", "net", "org")))
-    tails = ("/en/1.html", "/de/20/", "/fr/3?page=2", "/es/444")
-    rows = [
-        (f"http://{front}{word}.example.{top}{tails[(i + k) % 4]}", blocked)
-        for i, (word, blocked) in enumerate(hosts)
-        for k, (front, top) in enumerate(shapes)
-    ]
-    return spark.createDataFrame(rows, "url string, blocked boolean")
+#: The small labelled table: URLs, each written out by hand, with "blocked" or "allowed" before a tab.
+LABELLED = Path(__file__).with_name("labelled_urls.tsv")
+
+
+def seed_urls(spark: SparkSession, path: Path = LABELLED) -> DataFrame:
+    """The default labelled table (url, blocked): some hundred distinct URLs of many kinds of hosts and paths."""
+    rows = [line.split("\t") for line in path.read_text(encoding="utf-8").splitlines() if line]
+    return spark.createDataFrame([(url, label == "blocked") for label, url in rows], "url string, blocked boolean")
 
 
 def judge_urls(
