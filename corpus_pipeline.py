@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Every stage takes (spark, docs, sf_dir) and returns a table: the columns of
-documents from all but the last, the packed pieces from the last.
+documents from all but the last, the packed pieces from the last. Stages judge rows, not
+ids: a repeated row or one without an id counts for itself. A null text counts as
+empty. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -15,28 +17,42 @@ from starloom.session import work_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good ones."""
+    """Documents that the classifier takes for good ones: a score of 0.7 or more.
+
+    Repeated rows are kept or dropped alike; an empty text is scored like any other. Without two
+    labelled rows of both kinds every score is 0.5, and no document is kept.
+    """
     scored = classifier.score_documents(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
     return scored.filter("predicted = 1").select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every rule."""
+    """Documents that pass every rule; empty ones fail. Repeated rows are kept or dropped alike."""
     return rules.judge(docs, keep=tuple(docs.columns)).filter("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    """One row of each group of near-duplicates: five-word shingles, similarity 0.8.
+
+    Of equal rows one stays, also of those without an id; texts without words are linked with nothing,
+    and of each id of theirs one row stays.
+    """
     return neardup.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, at most three times.
+
+    Repeated rows are taken alike up to the row at their source's limit; a null source is a source.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with their ids."""
+    """Pieces of token sequences, with their ids; a text without tokens is its end id alone.
+
+    Repeated rows are documents of their own.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -48,7 +64,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: A fitted classifier, MinHash and a tokenizer have no SQL form; see tests/llm.
+#: A fitted classifier, MinHash and a tokenizer have no SQL form: stages and run() are tested against
+#: plain ones in tests/llm/test_pipeline.py.
 ORACLE_SQL: str | None = None
 
 
