@@ -31,6 +31,10 @@ from starloom.llm.common import settled, python_ready
 from starloom.llm.components import by_group, components
 
 
+#: Rows of a filter up to which it is compared together with others.
+_SHORT = 24
+
+
 @lru_cache(maxsize=8)
 def product_code(dim: int, size: int, seed: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """A rotation, and ``size`` unit directions for each half of the dimensions."""
@@ -114,6 +118,27 @@ def _links_of_block(
     return close
 
 
+def _with_links(x: np.ndarray, first: np.ndarray, least: float) -> np.ndarray:
+    """For each run of rows, which ``first`` begins, whether two of its unit vectors are ``least`` close or more.
+
+    Most runs are short and hold no such pair: rows are compared with the one that stands
+    k places on, for all runs at once.
+    """
+    sizes = np.diff(np.append(first, len(x)))
+    run = np.repeat(np.arange(len(first)), sizes)
+    close = np.zeros(len(first), dtype=bool)
+    for k in range(1, int(sizes[sizes <= _SHORT].max(initial=0))):
+        left = np.flatnonzero((run[:-k] == run[k:]) & (sizes[run[:-k]] <= _SHORT))
+        near = np.einsum("ij,ij->i", x[left], x[left + k]) >= least
+        close[run[left[near]]] = True
+    for r in np.flatnonzero(sizes > _SHORT):
+        part = x[first[r] : first[r] + sizes[r]]
+        products = part @ part.T
+        np.fill_diagonal(products, -2.0)
+        close[r] = bool((products >= least).any())
+    return close
+
+
 def link_vectors(
     vectors: DataFrame,
     least: float = 0.9,
@@ -138,8 +163,10 @@ def link_vectors(
     pairs at 0.95 of 0.99 (64 dimensions, see the tests).
     """
     python_ready(vectors.sparkSession)
+    # single-precision entries travel as such, and are compared in double precision
+    width = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
     source = vectors.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v")
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{vector_col}`").cast(f"array<{width}>").alias("v")
     )
     sound = (
         F.col("id").isNotNull()
@@ -147,7 +174,7 @@ def link_vectors(
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     )
-    rows = source.select("id", F.when(sound, F.transform("v", lambda x: x + 0.0)).alias("v"))
+    rows = source.select("id", F.when(sound, F.transform("v", lambda x: x + F.lit(0.0).cast(width))).alias("v"))
     valid = rows.filter(F.col("v").isNotNull())
     classes = settled(
         valid.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
@@ -158,6 +185,7 @@ def link_vectors(
     floor = math.ceil(filters_per_doubling * math.log2(max(count, 2)))
     tail = min(0.5, filters_per_vector / size**2)
     z = NormalDist().inv_cdf(1 - tail)
+    number = "int" if size**2 < 1 << 31 else "bigint"
 
     def cap_of(dim: int) -> float:
         # P(<x, c> > t) on the sphere falls as (1 - t^2)^((d-1)/2): equal to the normal tail at z
@@ -171,6 +199,7 @@ def link_vectors(
                 found = decode(_unit(list(part["v"])), size, cap_of(dim), floor, seed)
                 yield pd.DataFrame(
                     {
+                        "cls": part["cls"].to_numpy(),
                         "rep": part["rep"].to_numpy(),
                         "weight": part["weight"].to_numpy(),
                         "dim": np.full(len(part), dim, dtype="int32"),
@@ -181,8 +210,8 @@ def link_vectors(
 
     kind = dict(source.dtypes)["id"]
     decoded = settled(
-        classes.mapInPandas(
-            passes, f"rep {kind}, weight long, dim int, v array<double>, passed array<bigint>"
+        classes.withColumn("cls", F.monotonically_increasing_id()).mapInPandas(
+            passes, f"cls long, rep {kind}, weight long, dim int, v array<{width}>, passed array<{number}>"
         )
     )
     crowds = settled(
@@ -194,9 +223,17 @@ def link_vectors(
             F.col("dim").alias("d"), F.col("f").alias("g"), F.ceil(F.col("members") / block).cast("int").alias("blocks")
         )
     )
-    members = decoded.select("*", F.explode("passed").alias("f")).join(
-        crowds, (F.col("dim") == F.col("d")) & (F.col("f") == F.col("g"))
+    # which filters of a vector have other members is found by numbers alone; then vectors travel once to
+    # meet that list, and once to each filter on it
+    shared = (
+        decoded.select("cls", "dim", F.explode("passed").alias("f"))
+        .join(crowds, (F.col("dim") == F.col("d")) & (F.col("f") == F.col("g")))
+        .groupBy("cls")
+        .agg(F.collect_list(F.struct("f", "blocks")).alias("filters"))
     )
+    members = decoded.join(shared.withColumnRenamed("cls", "of"), F.col("cls") == F.col("of")).select(
+        *[c for c in decoded.columns if c != "cls"], F.explode("filters").alias("filter")
+    ).select("*", "filter.f", "filter.blocks")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = members.withColumn("mine", mine).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -208,25 +245,32 @@ def link_vectors(
     keys = ["dim", "f", "lo", "hi"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_group(batches, keys, 2_000):
+        for frame in by_group(batches, keys, 4_000):
             out: list[tuple] = []
-            for (_, f, lo, hi), at in frame.groupby(keys, sort=False).indices.items():
-                if len(at) < 2:
-                    continue
-                reps, weights = frame["rep"].to_numpy()[at], frame["weight"].to_numpy()[at]
-                mine = frame["mine"].to_numpy()[at]
-                links = _links_of_block(
-                    f, _unit([frame["v"].iat[k] for k in at]), [frame["passed"].iat[k] for k in at],
-                    mine == lo, mine == hi, least,
-                )
-                busy = np.flatnonzero(links.any(axis=1))
-                if not len(busy):
-                    continue
-                busy = busy[np.argsort(reps[busy], kind="stable")]
-                part = links[np.ix_(busy, busy)]
-                roots = _roots(part)
-                sums = part @ weights[busy]
-                out += zip(reps[busy], sums, reps[busy][roots], strict=True)
+            names = [frame[k].to_numpy() for k in keys]
+            reps, weights, mine = (frame[c].to_numpy() for c in ("rep", "weight", "mine"))
+            new = np.concatenate([[True], np.any([n[1:] != n[:-1] for n in names], axis=0)])
+            for dim in np.unique(names[0]):
+                own = np.flatnonzero(names[0] == dim)  # sorted by it: one stretch of the frame
+                x = _unit(list(frame["v"].iloc[own[0] : own[-1] + 1]))
+                first = np.flatnonzero(new[own])
+                # a little lower, as sums in another order may differ in the last digit
+                close = _with_links(x, first, least - 1e-9)
+                ends = np.append(first[1:], len(own))
+                for a, b in zip(first[close], ends[close], strict=True):
+                    at = own[a:b]
+                    f, lo, hi = (n[at[0]] for n in names[1:])
+                    links = _links_of_block(
+                        f, x[a:b], [frame["passed"].iat[k] for k in at], mine[at] == lo, mine[at] == hi, least
+                    )
+                    busy = np.flatnonzero(links.any(axis=1))
+                    if not len(busy):
+                        continue
+                    busy = busy[np.argsort(reps[at][busy], kind="stable")]
+                    part = links[np.ix_(busy, busy)]
+                    roots = _roots(part)
+                    sums = part @ weights[at][busy]
+                    out += zip(reps[at][busy], sums, reps[at][busy][roots], strict=True)
             if out:
                 yield pd.DataFrame(out, columns=["a", "links", "b"])
 
