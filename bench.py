@@ -1,7 +1,9 @@
 """Time the queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
 Every query is built and run to a no-op sink: one warm-up, then the median of
-``$BENCH_RUNS`` runs (default 2). Query names as arguments restrict the run.
+``$BENCH_RUNS`` runs (default 2). Query names as arguments restrict the run. Beside them
+stands the time of one fixed piece of work (``reference_sec``, the median of three runs, not part
+of the total): divide by it to compare runs on machines of different speed.
 """
 
 from __future__ import annotations
@@ -25,9 +27,21 @@ HEADLINE = [
     "songplays_dense_key", "dense_id_orders", "users_new_only", "top_songs_by_artist",
     "session_music", "song_per_session", "song_listen_history", "upsert_status",
     "quality_report", "duplicate_line_keys", "json_path_stage", "partitioned_write", "csv_merge",
+    "identity_over_loads", "bucketed_lookup", "insert_new_by_bucket", "geojson_two_files",
 ]
 
 
+def reference_seconds(spark) -> float:
+    """Arithmetic and one shuffle over generated numbers, the same on every machine."""
+    seconds = []
+    for _ in range(4):
+        began = time.perf_counter()
+        numbers = spark.range(0, 40_000_000, 1, 8).selectExpr("id % 1000 AS k", "xxhash64(id) % 7919 AS v")
+        numbers.groupBy("k").sum("v").write.format("noop").mode("overwrite").save()
+        seconds.append(time.perf_counter() - began)
+    return round(statistics.median(seconds[1:]), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -53,6 +67,7 @@ def main() -> None:
             spark.catalog.clearCache()
         timings[name] = round(statistics.median(seconds[1:]), 3)
         print(f"{name}: {timings[name]} (first {seconds[0]:.2f})", file=sys.stderr, flush=True)
+    reference = reference_seconds(spark)
     spark.stop()
     print(
         json.dumps(
@@ -62,6 +77,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": timings,
                 "sf": float(Path(sf_dir).name.removeprefix("sf") or 0),
+                "reference_sec": reference,
             }
         )
     )

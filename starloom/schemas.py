@@ -57,12 +57,6 @@ STAGING_SONGS = _schema(
     year=INT,
 )
 
-APP_LOG_CSV_COLUMNS = [
-    "artist", "auth", "firstName", "gender", "itemInSession", "lastName", "length",
-    "level", "location", "method", "page", "registration", "sessionId", "song",
-    "status", "ts", "userId",
-]
-
 PLAY_LOG_COLUMNS = [
     "artist", "firstName", "gender", "itemInSession", "lastName", "length", "level",
     "location", "sessionId", "song", "userId",
