@@ -1,17 +1,17 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-A document is its set of distinct word shingles. Its MinHash values are sorted
-into several signature orders (trees). A region of a tree is a run of documents
-with a common prefix; its depth adapts: a region with many documents is split
-by one more value, up to the tree's depth. Within a region the candidates are
-the neighbours with the most equal values: a maximum spanning tree over the
-agreement of whole signatures.
-
-Candidates are then confirmed on full sets, recomputed from the texts. A
-spanning tree is enough where its links hold. Where a cluster of candidates
-falls apart on confirmation, all its pairs across the parts that could reach the
-threshold are confirmed too, so no link is lost to the tree's choice. Crowded
-regions and clusters are cut into blocks, so no task holds a whole group. Equal
+A document is its set of distinct word shingles. Its MinHash values are written
+into several signature orders (trees), each a short run of values. Every tree is
+sorted as a whole, over ranges; neighbours in this order have the longest common prefixes.
+Candidates are neighbours whose common prefix reaches the depth of their region. The depth
+adapts: four values where few documents share them, five or six where many do.
+Neighbours whose whole signatures do not allow a link are dropped.
+
+Candidates are then confirmed on full sets, recomputed from the texts, for each
+document those with the most equal values. That is enough where these links hold. Where a
+cluster of candidates falls apart on confirmation, all its pairs across the parts that could reach the
+threshold are confirmed too, so no link is lost to that choice. Crowded
+clusters are cut into blocks, so no task holds a whole group. Equal
 sets are one class with a number of its own, signature and text are those of one
 of its rows, and only classes are paired; ids come back in at the end.
 """
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +31,15 @@ from starloom.llm.common import python_ready, settled, stored, text_of
 from starloom.llm.components import by_group, components
 
 _TREES = 20
-#: Prefix lengths of a region, from the shallowest; each tree has this many values at most.
+#: Common prefixes that make candidates, from the shallowest; each tree has this many values at most.
 _DEPTHS = (4, 5, 6)
 _VALUES = _TREES * _DEPTHS[-1]
+#: How far apart neighbours stand at most in a short region, and in one of more than ``_LONG`` documents.
+_NEAR, _NEXT, _LONG = 8, 2, 64
+#: Candidates of a document that are confirmed first: those with the most equal values.
+_BEST = 3
+#: Rows of a signature order that are held at a time.
+_STRETCH = 20_000
 _U = np.uint64
 
 
@@ -96,39 +103,49 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _region_keys(values: np.ndarray) -> np.ndarray:
-    """Keys of every tree at every depth: trees x depths per row."""
-    keys = []
-    for tree in range(_TREES):
-        code = np.full(len(values), tree + 1, dtype=np.uint64)
-        for k in range(_DEPTHS[-1]):
-            code = _mixed((code ^ values[:, tree * _DEPTHS[-1] + k]) * _U(0x9E3779B97F4A7C15))
-            if k + 1 in _DEPTHS:
-                keys.append(code)
-    return np.stack(keys, axis=1).view(np.int64)
+def _orders(values: np.ndarray) -> list[list[bytes]]:
+    """Every tree's values of each row, as bytes that sort like the values."""
+    width = _DEPTHS[-1]
+    laid = values.astype(">u4")
+    return [[row[t * width : (t + 1) * width].tobytes() for t in range(_TREES)] for row in laid]
 
 
-def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a[:, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int32)
+def _neighbours(
+    tree: np.ndarray, order: np.ndarray, known: int, crowded: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of neighbours with a common prefix of their region's depth, in sorted rows of trees.
+
+    Pairs within the first ``known`` rows were told before.
+    """
+    count = len(tree)
+    if count < 2:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    equal = (order[1:] == order[:-1]) & (tree[1:] == tree[:-1])[:, None]
+    common = np.cumprod(equal, axis=1).sum(axis=1)
+
+    def members(depth: int) -> np.ndarray:
+        run = np.concatenate([[0], np.cumsum(common < depth)])
+        return np.bincount(run)[run]
+
+    depth, size = np.full(count, _DEPTHS[-1]), members(_DEPTHS[-1])
+    for shallower in reversed(_DEPTHS[:-1]):
+        found = members(shallower)
+        lowered = found <= crowded
+        depth[lowered], size[lowered] = shallower, found[lowered]
+    left, right = [], []
+    shared = common
+    for k in range(1, min(_NEAR, count - 1) + 1):
+        if k > 1:
+            shared = np.minimum(shared[:-1], common[k - 1 :])
+        at = np.flatnonzero(shared >= depth[: count - k])
+        at = at[(at + k >= known) & ((k <= _NEXT) | (size[at] <= _LONG))]
+        left.append(at)
+        right.append(at + k)
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _spanning(ids: np.ndarray, marks: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Maximum spanning forest over agreements of ``least`` or more, as pairs of ids."""
-    n = len(ids)
-    if n == 2:
-        return [(ids[0], ids[1])] if (marks[0] == marks[1]).sum() >= least else []
-    best, source = np.full(n, -1), np.zeros(n, dtype=np.int64)
-    inside = np.zeros(n, dtype=bool)
-    pairs = []
-    for _ in range(n):
-        k = int(np.where(inside, -2, best).argmax())
-        if best[k] >= least:
-            pairs.append((ids[source[k]], ids[k]))
-        inside[k] = True
-        seen = (marks == marks[k]).sum(axis=1)
-        better = (seen > best) & ~inside
-        best[better], source[better] = seen[better], k
-    return pairs
+def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a[:, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int32)
 
 
 def _blocked(df: DataFrame, id_name: str, blocks: str) -> DataFrame:
@@ -146,59 +163,95 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
 
 
-def _candidates(reps: DataFrame, kind: str, least: int, crowded: int, block: int) -> DataFrame:
-    """Pairs (a, b) of spanning trees of the regions of every tree."""
-    step = len(_DEPTHS)
-    named = [
-        F.array(*[F.col("keys")[t * step + d] for t in range(_TREES)]).alias(f"k{d}") for d in range(step)
+def _candidates(reps: DataFrame, least: int, crowded: int) -> DataFrame:
+    """Neighbours (a, b, agree) of all signature orders whose signatures agree in ``least`` values or more."""
+    spark = reps.sparkSession
+    keys = ["tree", "order", "rep"]
+    rows = reps.select("rep", F.posexplode("orders").alias("tree", "order")).select(*keys)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
+        held: list[pd.DataFrame] = []
+        known = 0
+
+        def told(frame: pd.DataFrame) -> pd.DataFrame:
+            order = np.frombuffer(b"".join(frame["order"]), dtype=">u4").reshape(len(frame), -1)
+            left, right = _neighbours(frame["tree"].to_numpy(), order, known, crowded)
+            rep = frame["rep"].to_numpy()
+            a, b = np.minimum(rep[left], rep[right]), np.maximum(rep[left], rep[right])
+            return pd.DataFrame({"a": a, "b": b, "part": -1, "tree": -1, "order": b""})
+
+        def end(frame: pd.DataFrame, last: int) -> pd.DataFrame:
+            row = frame.iloc[-1 if last else 0]
+            return pd.DataFrame({"a": [row["rep"]], "b": [last], "part": [part], "tree": [row["tree"]], "order": [row["order"]]})
+
+        for batch in batches:
+            if batch.empty:
+                continue
+            if not held:
+                yield end(batch, 0)
+            held.append(batch)
+            if sum(map(len, held)) >= _STRETCH:
+                frame = pd.concat(held, ignore_index=True)
+                yield told(frame)
+                held, known = [frame.iloc[-_NEAR:]], _NEAR
+        if held:
+            frame = pd.concat(held, ignore_index=True)
+            if len(frame) > 1:
+                yield told(frame)
+            yield end(frame, 1)
+
+    walked = settled(
+        rows.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInPandas(walk, "a long, b long, part int, tree int, order binary")
+    )
+    # the ends of each range: two rows per partition, where neighbours may stand in two of them
+    ends = sorted(walked.filter("part >= 0").collect(), key=lambda r: (r["part"], r["b"]))
+    least_common = 4 * _DEPTHS[0]
+    over = [
+        (min(x["a"], y["a"]), max(x["a"], y["a"]))
+        for x, y in zip(ends[1::2], ends[2::2], strict=False)
+        if x["tree"] == y["tree"] and x["order"][:least_common] == y["order"][:least_common]
     ]
-    rows = settled(
-        reps.select("rep", *named)
-        .select("rep", F.explode(F.arrays_zip(*[f"k{d}" for d in range(step)])).alias("k"))
-        .select("rep", *[F.col(f"k.k{d}").alias(f"k{d}") for d in range(step)])
+    pairs = walked.filter("part < 0").select("a", "b").unionByName(spark.createDataFrame(over, "a long, b long")).distinct()
+
+    @F.pandas_udf("int")
+    def agreement(x: pd.Series, y: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(m), dtype=np.uint8).reshape(len(x), _VALUES) for m in (x, y))
+        return pd.Series((a == b).sum(axis=1), index=x.index, dtype="int32")
+
+    marks = reps.select(F.col("rep").alias("r"), "marks")
+    seen = (
+        pairs.join(marks, F.col("a") == F.col("r"))
+        .select("a", "b", F.col("marks").alias("x"))
+        .join(marks, F.col("b") == F.col("r"))
+        .select("a", "b", agreement("x", "marks").alias("agree"))
     )
-    regions: DataFrame | None = None
-    for d in range(step):
-        counts = settled(
-            rows.groupBy(f"k{d}").agg(F.count("*").alias("members")).filter("members > 1")
-            .select(F.col(f"k{d}").alias("region"), "members")
-        )
-        joined = rows.join(counts, F.col(f"k{d}") == F.col("region"))
-        deepest = d == step - 1
-        here = joined if deepest else joined.filter(F.col("members") <= crowded)
-        here = here.select("rep", "region", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
-        regions = here if regions is None else regions.unionByName(here)
-        if deepest or counts.filter(F.col("members") > crowded).isEmpty():
-            break
-        rows = settled(joined.filter(F.col("members") > crowded).select("rep", *[f"k{e}" for e in range(d + 1, step)]))
-    dealt = _blocked(regions, "rep", "blocks").select("region", "lo", "hi", F.col("rep").alias("r"))
-    marks = reps.select("rep", "marks")
-    dealt = dealt.join(marks, F.col("r") == F.col("rep")).select("region", "lo", "hi", "rep", "marks")
-    keys = ["region", "lo", "hi"]
-
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in by_group(batches, keys):
-            ids, marks = frame["rep"].to_numpy(), frame["marks"].to_numpy()
-            codes = np.frombuffer(b"".join(marks), dtype=np.uint8).reshape(len(ids), _VALUES)
-            change = (frame[keys].to_numpy()[1:] != frame[keys].to_numpy()[:-1]).any(axis=1)
-            bounds = np.concatenate([[0], np.flatnonzero(change) + 1, [len(ids)]])
-            sizes = np.diff(bounds)
-            twos = bounds[:-1][sizes == 2]
-            good = twos[(codes[twos] == codes[twos + 1]).sum(axis=1) >= least]
-            found = list(zip(ids[good], ids[good + 1], strict=True))
-            for at, n in zip(bounds[:-1], sizes, strict=True):
-                if n > 2:
-                    found += _spanning(ids[at : at + n], codes[at : at + n], least)
-            if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
-
-    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(pair, f"a {kind}, b {kind}")
-    return settled(_ordered(found))
+    return settled(seen.filter(F.col("agree") >= least))
+
+
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """Of each document's candidates the best few, as pairs; a document has a bounded number of them."""
+    sides = pairs.select(F.col("a").alias("v"), F.col("b").alias("w"), "agree").unionByName(
+        pairs.select(F.col("b").alias("v"), F.col("a").alias("w"), "agree")
+    )
+    place = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("agree"), "w"))
+    best = sides.withColumn("place", place).filter(F.col("place") <= _BEST)
+    return settled(_ordered(best.select(F.col("v").alias("a"), F.col("w").alias("b"))))
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Candidates whose documents are in different parts, as the parts' names (a, b)."""
+    own = parts.select(F.col("id").alias("i"), "component")
+    left = pairs.join(own, F.col("a") == F.col("i"), "left").select("b", F.coalesce("component", "a").alias("pa"))
+    both = left.join(own, F.col("b") == F.col("i"), "left").select("pa", F.coalesce("component", "b").alias("pb"))
+    return settled(both.filter("pa != pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct())
 
 
 def _crossing(
     reps: DataFrame,
-    clusters: DataFrame,
+    apart: DataFrame,
     parts: DataFrame,
     texts: DataFrame,
     kind: str,
@@ -213,14 +266,14 @@ def _crossing(
     full sets, best agreement first, until their parts are linked. The texts meet in
     pairs of blocks; only links leave a task.
     """
-    named = clusters.withColumnRenamed("component", "cluster").join(
-        parts.select(F.col("id").alias("i"), F.col("component").alias("part")), F.col("id") == F.col("i"), "left"
-    )
-    named = settled(named.select("id", "cluster", F.coalesce("part", "id").alias("part")))
+    clusters = components(apart).select(F.col("id").alias("p"), F.col("component").alias("cluster"))
+    inside = parts.select("id", F.col("component").alias("part"))
+    # a document without any link is a part of its own
+    alone = clusters.select(F.col("p").alias("id"), F.col("p").alias("part")).join(inside.select("id"), "id", "left_anti")
+    named = settled(inside.unionByName(alone).join(clusters, F.col("part") == F.col("p")).select("id", "cluster", "part"))
     broken = settled(
         named.groupBy("cluster")
-        .agg(F.count("*").alias("members"), F.min("part").alias("x"), F.max("part").alias("y"))
-        .filter("x != y")
+        .agg(F.count("*").alias("members"))
         .select(F.col("cluster").alias("c"), F.ceil(F.col("members") / block).cast("int").alias("blocks"))
     )
     members = settled(
@@ -295,30 +348,21 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _confirmed(
-    pairs: DataFrame, clusters: DataFrame, texts: DataFrame, kind: str, width: int, percent: int, salt_rows: int
+    pairs: DataFrame, texts: DataFrame, kind: str, width: int, percent: int, salt_rows: int
 ) -> DataFrame:
     """The pairs whose full sets reach the threshold.
 
-    Texts come to their cluster once; the pairs of a large cluster are dealt out by
-    hash, and a text goes where its pairs are.
+    Pairs are dealt out by their first document, and a text goes where its pairs are: a
+    document has a bounded number of them, so it is copied as often at most.
     """
-    named = pairs.join(clusters, F.col("a") == F.col("id")).select("a", "b", F.col("component").alias("cluster"))
-    named = settled(named)
-    sizes = settled(
-        named.groupBy("cluster").agg(F.ceil(F.count("*") / salt_rows).cast("int").alias("salts"))
-        .withColumnRenamed("cluster", "c")
-    )
-    salted = settled(
-        named.join(sizes, F.col("cluster") == F.col("c")).select(
-            "cluster", F.pmod(F.xxhash64("a", "b"), F.col("salts")).cast("int").alias("salt"), "a", "b"
-        )
-    )
-    wanted = salted.select("cluster", "salt", F.explode(F.array("a", "b")).alias("want")).distinct()
+    buckets = max(1, -(-pairs.count() // salt_rows))
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(buckets)))
+    wanted = dealt.select("salt", F.explode(F.array("a", "b")).alias("want")).distinct()
     keyed = texts.join(wanted, F.col("id") == F.col("want")).select(
-        "cluster", "salt", F.col("id").alias("a"), F.col("id").alias("b"), "text"
+        "salt", F.col("id").alias("a"), F.col("id").alias("b"), "text"
     )
-    asked = salted.select("cluster", "salt", "a", "b", F.lit(None).cast("string").alias("text"))
-    keys = ["cluster", "salt"]
+    asked = dealt.select("salt", "a", "b", F.lit(None).cast("string").alias("text"))
+    keys = ["salt"]
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in by_group(batches, keys, 400):
@@ -363,49 +407,51 @@ def _grouped(
             sets = shingle_sets(list(batch["text"]), width)
             full = [k for k, s in enumerate(sets) if len(s)]
             marks: list[bytes | None] = [None] * len(sets)
-            keys: list[np.ndarray | None] = [None] * len(sets)
+            orders: list[list[bytes] | None] = [None] * len(sets)
             digests: list[bytes | None] = [None] * len(sets)
             if full:
                 values = signatures([sets[k] for k in full])
                 bytes_ = ((values * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
-                regions = _region_keys(values.astype(np.uint64))
+                laid = _orders(values)
                 for row, k in enumerate(full):
-                    marks[k], keys[k] = bytes_[row].tobytes(), regions[row]
+                    marks[k], orders[k] = bytes_[row].tobytes(), laid[row]
                     digests[k] = xxhash.xxh3_128_digest(sets[k].tobytes())
             yield pd.DataFrame(
                 {
                     "id": batch["id"], "key": batch["key"], "n": [len(s) for s in sets],
-                    "digest": digests, "marks": marks, "keys": keys,
+                    "digest": digests, "marks": marks, "orders": orders,
                 }
             )
 
     # ids travel as text: pandas would turn whole numbers with nulls into doubles
     facts = settled(
         source.withColumn("id", F.col("id").cast("string"))
-        .mapInPandas(describe, "id string, key string, n long, digest binary, marks binary, keys array<bigint>")
+        .mapInPandas(describe, "id string, key string, n long, digest binary, marks binary, orders array<binary>")
         .withColumn("id", F.col("id").cast(kind))
     )
     first_row = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     classes = settled(
         facts.filter(F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min(first_row).alias("row"), F.first("marks").alias("marks"), F.first("keys").alias("keys"))
-        .select(F.monotonically_increasing_id().alias("rep"), F.col("digest").alias("set"), "row", "marks", "keys")
+        .agg(F.min(first_row).alias("row"), F.first("marks").alias("marks"), F.first("orders").alias("orders"))
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("digest").alias("set"), "row", "marks", "orders")
     )
-    reps = classes.select("rep", "marks", "keys")
-    first = _candidates(reps, "long", least, crowded, block)
-    clusters = settled(components(first))
-    wanted = clusters.join(classes, F.col("id") == F.col("rep")).select("rep", F.col("row.key").alias("want"))
+    reps = classes.select("rep", "marks", "orders")
+    first = _candidates(reps, least, crowded)
+    meet = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = meet.join(classes, F.col("id") == F.col("rep")).select("rep", F.col("row.key").alias("want"))
     texts = stored(
         source.groupBy("key").agg(F.first("text").alias("text"))
         .join(wanted, F.col("key") == F.col("want"))
         .select(F.col("rep").alias("id"), "text")
     )
-    links = _confirmed(first, clusters, texts, "long", width, percent, salt_rows)
+    links = _confirmed(_best_pairs(first), texts, "long", width, percent, salt_rows)
     parts = settled(components(links))
-    more = _crossing(reps, clusters, parts, texts, "long", width, percent, least, block // 2)
-    if not more.isEmpty():
-        parts = settled(components(links.unionByName(more)))
+    apart = _apart(first, parts)
+    if not apart.isEmpty():
+        more = _crossing(reps, apart, parts, texts, "long", width, percent, least, block // 2)
+        if not more.isEmpty():
+            parts = settled(components(links.unionByName(more)))
     placed = settled(
         classes.select("rep", "set", "row")
         .join(parts, F.col("rep") == F.col("id"), "left")
@@ -440,9 +486,9 @@ def near_duplicates(
     named by the smallest id in it. A null id links with nothing and is kept. Empty tables give an empty result;
     other columns are not read. Ids are whole numbers.
 
-    A signature has 120 values in 20 trees. A pair at the threshold is missed by
-    every tree with a chance of 3 in 100,000 at depth 4, 2 in 1,000 at depth 6
-    (crowded regions), where its cluster then offers it again.
+    A signature has 120 values in 20 trees. A pair at the threshold shares no prefix of
+    four values in any of them with a chance of 3 in 100,000, of six (crowded regions) with 2 in
+    1,000; there, and where others stand between the two, its cluster offers it again.
     """
     source = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     kind = dict(source.dtypes)["id"]

@@ -295,3 +295,46 @@ def test_words_of_a_batch_equal_whole_texts(monkeypatch):
                 assert flat[ends[k] : ends[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids, text
     flat, ends = encode(pa.array([], pa.string()))
     assert len(flat) == 0 and ends.tolist() == [0]
+
+
+@pytest.mark.parametrize("crowded", [1, 6, 1000])
+def test_neighbours_have_common_prefixes_of_their_depth(crowded, monkeypatch):
+    monkeypatch.setattr(neardup, "_LONG", 5)
+    rng = np.random.default_rng(crowded)
+    rows = sorted((int(t), *map(int, v)) for t, v in zip(rng.integers(0, 3, 400), rng.integers(0, 3, (400, 6)), strict=True))
+    tree, order = np.array([r[0] for r in rows]), np.array([r[1:] for r in rows], dtype=">u4")
+
+    def run(i, depth):
+        return sum(r[: depth + 1] == rows[i][: depth + 1] for r in rows)
+
+    want = set()
+    for i in range(len(rows)):
+        depth = next((d for d in neardup._DEPTHS[:-1] if run(i, d) <= crowded), neardup._DEPTHS[-1])
+        for k in range(1, neardup._NEAR + 1):
+            if i + k < len(rows) and rows[i][: depth + 1] == rows[i + k][: depth + 1]:
+                if k <= neardup._NEXT or run(i, depth) <= 5:
+                    want.add((i, i + k))
+    left, right = neardup._neighbours(tree, order, 0, crowded)
+    assert set(zip(left.tolist(), right.tolist(), strict=True)) == want
+    late = neardup._neighbours(tree, order, 100, crowded)
+    assert set(zip(*(x.tolist() for x in late), strict=True)) == {p for p in want if p[1] >= 100}
+    for few in (0, 1):
+        assert len(neardup._neighbours(tree[:few], order[:few], 0, crowded)[0]) == 0
+
+
+def test_neighbours_meet_over_ranges(spark):
+    """Equal signatures dealt over many ranges, with a few rows each, stay one chain in every tree."""
+    count = 60
+    marks, orders = bytes(neardup._VALUES), [bytes(4 * neardup._DEPTHS[-1])] * neardup._TREES
+    reps = spark.createDataFrame([(k, marks, orders) for k in range(count)], "rep long, marks binary, orders array<binary>")
+    kept = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = {(r["a"], r["b"]) for r in neardup._candidates(reps, 80, 2048).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept[1])
+    assert {(k, k + 1) for k in range(count - 1)} <= pairs
+    best = neardup._best_pairs(spark.createDataFrame([(a, b, 100) for a, b in pairs], "a long, b long, agree int"))
+    assert 0 < best.count() <= 3 * count
