@@ -298,7 +298,7 @@ hits AS (
 SELECT event_id, ord AS location_id FROM points LEFT JOIN hits USING (event_id)
 """)
 def locate_points_in_a_pile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thousands of equally large squares over one spot, one per order: crowded cells are split."""
+    """Many equally large squares over one spot, one per customer: crowded cells are split."""
     points = table(spark, sf_dir, "events").select(
         "event_id", (F.col("event_id") * 7919 % 800).cast("double") / 64, (F.col("event_id") * 104729 % 800).cast("double") / 64
     ).toDF("event_id", "x", "y")

@@ -289,8 +289,8 @@ def area_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENTS_PILE_SQL = """
 pile AS (
-  SELECT o_orderkey AS ord, CAST(o_orderkey * 6101 % 257 AS DOUBLE) / 64 AS px,
-         CAST(o_custkey * 3571 % 257 AS DOUBLE) / 64 AS py FROM orders
+  SELECT c_custkey AS ord, CAST(c_custkey * 6101 % 257 AS DOUBLE) / 64 AS px,
+         CAST(c_custkey * 3571 % 251 AS DOUBLE) / 64 AS py FROM customer
 ),
 points AS (
   SELECT event_id, CAST(event_id * 7919 % 800 AS DOUBLE) / 64 AS x,
@@ -299,12 +299,12 @@ points AS (
 
 
 def piled_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One square of 8 by 8 per order, all over one spot."""
-    x = (F.col("o_orderkey") * 6101 % 257).cast("double") / 64
-    y = (F.col("o_custkey") * 3571 % 257).cast("double") / 64
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("bigint").alias("ord"),
-        F.col("o_orderkey").cast("int").alias("location_id"),
+    """One square of 8 by 8 per customer, all over one spot."""
+    x = (F.col("c_custkey") * 6101 % 257).cast("double") / 64
+    y = (F.col("c_custkey") * 3571 % 251).cast("double") / 64
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("ord"),
+        F.col("c_custkey").cast("int").alias("location_id"),
         F.lit("").alias("zone"),
         F.lit("").alias("borough"),
         _edges([(x, y), (x + 8, y), (x + 8, y + 8), (x, y + 8)]).alias("edges"),
