@@ -103,31 +103,42 @@ class PolygonGrid:
         return 4.0 ** (level - depth) / self.per_level
 
 
+def _once(column: Column, name: str) -> Column:
+    """A column that is evaluated once however often it is used: the optimizer copies no generator."""
+    return F.explode(F.array(column)).alias(name)
+
+
+def _bounded(pieces: DataFrame, size: Column) -> DataFrame:
+    """Adds ``_box``: a cell's bounds, widened a little so that rounding cannot lose an edge."""
+    box = F.expr(f"""named_struct(
+        'left', _cx * _size - _size * {_MARGIN}, 'right', (_cx + 1) * _size + _size * {_MARGIN},
+        'bottom', _cy * _size - _size * {_MARGIN}, 'top', (_cy + 1) * _size + _size * {_MARGIN},
+        'x', (_cx + 0.5D) * _size, 'y', (_cy + 0.5D) * _size)""")
+    return pieces.select("*", _once(size, "_size")).select("*", _once(box, "_box")).drop("_size")
+
+
 def _classified(pieces: DataFrame, size: Column) -> DataFrame:
     """Pieces (cell and edges) that matter in their cell: ``_edges`` that do, NULL for inside ones.
 
     ``_edges`` comes in as a superset of what a ray through the cell can meet.
     """
-    # cell bounds, widened a little so that rounding cannot lose an edge
-    margin = size * _MARGIN
-    left, right = F.col("_cx") * size - margin, (F.col("_cx") + 1) * size + margin
-    bottom, top = F.col("_cy") * size - margin, (F.col("_cy") + 1) * size + margin
-    band = F.filter(
-        "_edges",
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= bottom)
-        & (F.least(e["y1"], e["y2"]) <= top)
-        & (F.greatest(e["x1"], e["x2"]) >= left),
-    )
-    reached = F.exists("_band", lambda e: F.least(e["x1"], e["x2"]) <= right)
-    centre_x, centre_y = (F.col("_cx") + 0.5) * size, (F.col("_cy") + 0.5) * size
+    box = F.col("_box")
+    band = F.expr("""filter(_edges, e -> greatest(e.y1, e.y2) >= _box.bottom AND least(e.y1, e.y2) <= _box.top
+        AND greatest(e.x1, e.x2) >= _box.left)""")
+    reached = F.expr("exists(_band, e -> least(e.x1, e.x2) <= _box.right)")
     whole = F.col("_edges").isNull()
-    odd = crossings(F.col("_band"), centre_x, centre_y) % 2 == 1
-    judged = pieces.withColumn("_band", band).withColumn("_boundary", ~whole & reached)
+    odd = crossings(F.col("_band"), box["x"], box["y"]) % 2 == 1
+    judged = _bounded(pieces, size).select("*", _once(band, "_band")).select("*", _once(~whole & reached, "_boundary"))
     return judged.where(whole | F.col("_boundary") | odd).select(
         *_CELL, "_ord", "_zone", F.when(F.col("_boundary"), F.col("_band")).alias("_edges")
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to all cores: they are few bytes, but much is computed from each."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * 2)
+
+
 def _kept(df: DataFrame, name: str) -> DataFrame:
     """df through files on the shared storage."""
     path = work_path(df.sparkSession, name)
@@ -137,7 +148,7 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 def _first_level(polygons: DataFrame, order_by: Sequence[str], payload: Sequence[str], per_level: float) -> DataFrame:
     """Every polygon's cells on the grid of its level."""
-    boxed = _boxes(polygons).where(_extent() > 0).withColumn("_level", _level(_extent()))
+    boxed = _boxes(_spread(polygons)).where(_extent() > 0).withColumn("_level", _level(_extent()))
     size = F.pow(F.lit(4.0), F.col("_level")) / F.lit(per_level)
     cell = lambda c: F.floor(F.col(c) / size).cast("bigint")
     pieces = boxed.select(
@@ -169,16 +180,45 @@ def _parts(crowded: DataFrame, per_level: float) -> DataFrame:
     return _classified(split, size)
 
 
-def _visible(pieces: DataFrame) -> DataFrame:
-    """Pieces that no earlier inside polygon hides, and of copies of one piece the first.
+def _clipped() -> Column:
+    """What ``_edges`` do inside ``_box``, in one form for all that do the same there.
+
+    Upright and level edges end at the box, and an edge to the right of it counts as an upright one
+    there. Slanted edges that reach the box stay as they are: cutting them would round.
+    """
+    # as text: built call by call, it takes the driver seconds at each split
+    beside = "(e.x1 > _box.right AND e.x2 > _box.right)"
+    upright = (
+        "named_struct('x1', {0}, 'y1', greatest(least(e.y1, e.y2), _box.bottom),"
+        " 'x2', {0}, 'y2', least(greatest(e.y1, e.y2), _box.top))"
+    )
+    lying = (
+        "named_struct('x1', greatest(least(e.x1, e.x2), _box.left), 'y1', e.y1,"
+        " 'x2', least(greatest(e.x1, e.x2), _box.right), 'y2', e.y1)"
+    )
+    return F.expr(f"""
+        sort_array(transform(
+          filter(_edges, e -> NOT coalesce({beside} AND e.y1 = e.y2, false)),
+          e -> CASE WHEN {beside} AND e.y1 != e.y2 THEN {upright.format("_box.right + (_box.right - _box.left)")}
+                    WHEN e.x1 = e.x2 AND e.y1 != e.y2 THEN {upright.format("e.x1")}
+                    WHEN e.y1 = e.y2 AND e.x1 != e.x2 THEN {lying}
+                    ELSE named_struct('x1', e.x1, 'y1', e.y1, 'x2', e.x2, 'y2', e.y2) END))""")
+
+
+def _visible(pieces: DataFrame, per_level: float) -> DataFrame:
+    """Pieces that no earlier inside polygon hides, and of those that are the same within their cell the first.
 
     Counts and minima per cell are aggregates, so no task holds a crowded cell.
     """
-    shape = F.coalesce(F.md5(F.to_json("_edges")), F.lit(""))
-    single = (
-        pieces.groupBy(*_CELL, shape.alias("_shape"))
+    size = F.pow(F.lit(4.0), F.col("_level") - F.col("_depth")) / F.lit(per_level)
+    shape = F.coalesce(F.md5(F.to_json(_clipped())), F.lit(""))
+    single = _kept(
+        _bounded(pieces, size)
+        .withColumn("_shape", shape)
+        .groupBy(*_CELL, "_shape")
         .agg(F.min(F.struct("_ord", "_zone", "_edges")).alias("_first"))
-        .select(*_CELL, "_first.*")
+        .select(*_CELL, "_first.*"),
+        "grid_shapes",
     )
     cover = single.where(F.col("_edges").isNull()).groupBy(*_CELL).agg(F.min("_ord").alias("_cover"))
     joined = single.join(cover, _CELL, "left")
@@ -203,21 +243,19 @@ def polygon_grid(
     cells per split; after eight splits a cell keeps what is left.
     """
     pieces = _kept(_first_level(polygons, order_by, payload, cells), "grid")
-    leaves = []
-    for depth in range(_DEPTH + 1):
-        busy = pieces.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if busy is None or busy <= crowded:
-            leaves.append(pieces)
-            break
-        full = _crowds(pieces, crowded)
-        leaves.append(pieces.join(full, _CELL, "left_anti"))
-        seen = _kept(_visible(pieces.join(full, _CELL, "left_semi")), "grid_crowd")
-        if depth == _DEPTH:
-            leaves.append(seen)
-            break
-        still = _crowds(seen, crowded)
-        leaves.append(seen.join(still, _CELL, "left_anti"))
-        pieces = _kept(_parts(seen.join(still, _CELL, "left_semi"), cells), "grid")
+    full = _crowds(pieces, crowded)
+    leaves = [pieces]
+    if not full.isEmpty():
+        leaves = [pieces.join(full, _CELL, "left_anti")]
+        seen = _kept(_spread(_visible(pieces.join(full, _CELL, "left_semi"), cells)), "grid_crowd")
+        for _ in range(_DEPTH):
+            still = _crowds(seen, crowded)
+            if still.isEmpty():
+                break
+            leaves.append(seen.join(still, _CELL, "left_anti"))
+            parts = _parts(seen.join(still, _CELL, "left_semi"), cells)
+            seen = _kept(_spread(_visible(parts, cells)), "grid_crowd")
+        leaves.append(seen)
     kept = leaves[0]
     for more in leaves[1:]:
         kept = kept.unionByName(more)

@@ -197,3 +197,24 @@ def test_no_polygons(spark):
     point = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
     located = locate_points(point, frame.limit(0), "x", "y", alias="z")
     assert located.collect() == [(1.0, 1.0, None)] and located.columns == ["x", "y", "z"]
+
+
+def test_pieces_that_are_the_same_in_their_cell_are_one(spark):
+    # sides on a few lines, no two squares alike: splitting cannot part them, so it must not go on
+    rng = random.Random(11)
+    corners = [(rng.randrange(3) / 64, rng.uniform(0, 4)) for _ in range(150)]
+    corners += [(rng.uniform(0, 4), rng.randrange(3) / 64) for _ in range(150)]
+    squares = [(i, [tuple(map(float, (*a, *b))) for a, b in zip(r, r[1:], strict=False)])
+               for i, (x, y) in enumerate(corners) for r in [box(x, y, x + 8, y + 8)]]
+    frame = spark.createDataFrame(
+        [(i, i, "Z", "B", edges) for i, edges in squares],
+        f"ord bigint, location_id int, zone string, borough string, edges {EDGE_DDL}",
+    )
+    grid = polygon_grid(frame, ["location_id"], ["ord"])
+    assert max(depth for _, depth in grid.layers) < 6 and grid.cells.count() < 20_000
+    points = [(i, rng.randrange(-1, 6) / 64, rng.uniform(0, 12)) for i in range(150)]
+    points += [(i + 150, y, x) for i, x, y in points]
+    points += [(i + 300, corners[i][0] + 8 * (i % 2), corners[i][1] + 8 * (i % 3)) for i in range(300)]
+    found = locate_points(spark.createDataFrame(points, "id int, x double, y double"), grid, "x", "y", alias="z")
+    got = {r["id"]: r["z"] and r["z"]["location_id"] for r in found.collect()}
+    assert got == {i: brute_force(squares, x, y) for i, x, y in points}
