@@ -87,9 +87,12 @@ odd AS (
 def _odd_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log without some sessions, and with two items in one millisecond of others."""
     log = inputs.events(spark, sf_dir)
-    more = log.where("userId % 4 = 1").withColumn("itemInSession", F.col("itemInSession") + 100)
+    # from one scan of the log: an item that is doubled is two rows
+    item = F.col("itemInSession")
+    items = F.when(F.col("userId") % 4 == 1, F.array(item, item + 100)).otherwise(F.array(item))
     session = F.when(F.col("userId") % 10 != 3, F.col("sessionId"))
-    return log.unionByName(more).withColumn("sessionId", session)
+    doubled = log.select("*", F.explode(items).alias("_item"))
+    return doubled.withColumns({"itemInSession": F.col("_item"), "sessionId": session}).drop("_item")
 
 
 def _published(spark: SparkSession, root: str) -> DataFrame:

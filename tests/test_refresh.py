@@ -1,10 +1,12 @@
 """Batch-wise refresh, publishing after checks, and checks in one scan."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.catalog import inputs, refresh
 from starloom.operators import publish
 from starloom.operators.quality import CheckSpec, DataQualityError, check_table, run_checks
 from starloom.schemas import MUSIC_MODEL
@@ -144,3 +146,27 @@ def test_one_scan_checks_equal_the_single_ones(spark):
     assert [(r["row_count"], r["failed_count"], r["passed"]) for r in none.collect()] == [
         (0, 0, False), (0, 0, True), (0, 0, True), (0, 0, True),
     ]
+
+
+def test_the_odd_log_takes_one_scan_of_the_events(spark, tmp_path, plan):
+    kinds, users = ("purchase", "error", "view"), (1, 3, 4, 5, 13, 33, None)
+    events = [
+        (i, datetime(2024, 1, 1 + i % 3, i % 24), users[i % 7], kinds[i % 3], i % 40 * 1.0, f'{{"k": {i % 5}}}')
+        for i in range(60)
+    ]
+    events += events[:9]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    parts = [(i, f"N{i}", "B", "T", 1, 2.0) for i in range(4)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    log = inputs.events(spark, str(tmp_path))
+    more = log.where("userId % 4 = 1").withColumn("itemInSession", F.col("itemInSession") + 100)
+    wanted = log.unionByName(more).withColumn("sessionId", F.when(F.col("userId") % 10 != 3, F.col("sessionId")))
+    odd = refresh._odd_log(spark, str(tmp_path))
+    # the events and the parts, each once
+    assert plan(odd).count("FileScan") == 2
+    assert odd.dtypes == wanted.dtypes
+    assert sorted(odd.collect(), key=str) == sorted(wanted.collect(), key=str)
